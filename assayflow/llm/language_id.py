@@ -22,9 +22,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 #: Bounds of the sample that the machines are fitted on; predictions read whole texts.
-SAMPLE_PER_LANGUAGE, SAMPLE_CHARS = 300, 20_000
+SAMPLE_PER_LANGUAGE, SAMPLE_CHARS = 250, 20_000
 UNDETERMINED = "und"
 # Families of languages.
 FAMILIES = {
@@ -40,15 +40,15 @@ def features(text: str) -> np.ndarray:
     if len(raw) < 3:
         return np.zeros(BUCKETS, dtype=np.float32)
     grams = (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]
-    cells = ((grams * np.uint32(2654435761)) >> np.uint32(18)).astype(np.intp)
+    cells = ((grams * np.uint32(2654435761)) >> np.uint32(19)).astype(np.intp)
     counts = np.bincount(cells, minlength=BUCKETS).astype(np.float32)
     return counts / max(float(np.sqrt(counts @ counts)), 1e-12)
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) -> np.ndarray:
     """Weights of a linear SVM with hinge loss, by dual coordinate descent; a constant feature is the bias."""
-    x = np.hstack([x, np.full((len(x), 1), 0.5, dtype=x.dtype)]).astype(np.float64)
-    w, alpha, norms = np.zeros(x.shape[1]), np.zeros(len(x)), np.einsum("ij,ij->i", x, x)
+    x = np.hstack([x, np.full((len(x), 1), 0.5, dtype=x.dtype)])
+    w, alpha, norms = np.zeros(x.shape[1], dtype=x.dtype), np.zeros(len(x)), np.einsum("ij,ij->i", x, x)
     order = np.random.default_rng(7)
     for _ in range(epochs):
         moved = 0.0
@@ -56,11 +56,11 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 30) ->
             new = min(max(alpha[i] - (y[i] * (w @ x[i]) - 1) / norms[i], 0.0), c)
             if new != alpha[i]:
                 moved = max(moved, abs(new - alpha[i]))
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += np.float32((new - alpha[i]) * y[i]) * x[i]
                 alpha[i] = new
         if moved < 1e-3:
             break
-    return w.astype(np.float32)
+    return w
 
 
 class Model:
