@@ -5,9 +5,9 @@ its pages with that line, divided by the host's page total, exceeds ``ratio``.
 Pages with the same host and text count once, so that copies of a page don't
 turn its own lines into boilerplate.  Lines are compared after trimming.
 
-A count is one partial aggregate per (host, line); a very common line or a host
-with a third of all pages therefore costs one row per map task.  Dropping joins
-line positions, not texts, to the boilerplate lines.
+Only hashes of lines are shuffled, with partial aggregation, so that a very common line
+or a host with a third of all pages doesn't gather in a task.  Texts stay where they are: each page
+gets its host's short list of boilerplate lines, broadcast after the lines were counted.
 
 Edge cases: a null text stays null and an empty one empty; a null host is a host of
 its own; blank lines are never dropped; repeated rows are treated alike; hosts
@@ -19,8 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import broadcast_if_small, checkpointed
+
 #: A line goes when it is on more than this share of a host's pages, and on this many at least.
 RATIO, MIN_PAGES = 0.05, 5
+#: Boilerplate lines of all hosts up to which their lists are broadcast; beyond it the join shuffles.
+BROADCAST_LINES = 200_000
 _STRIP = r"^[\x20\t\r]+|[\x20\t\r]+$"
 
 
@@ -43,44 +47,33 @@ def html_lines(html: Column) -> Column:
 
 
 def drop_boilerplate(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``pages`` with ``text_col`` cleaned, and struct ``__lines`` (n_lines, n_dropped, dropped positions) added.
+    """``pages`` with ``text_col`` cleaned, and struct ``__lines`` (n_lines, n_dropped) added.
 
-    A page is known by two 64-bit hashes of its host and text, so that rows
-    need no key and repeated rows share one answer.
+    Pages and lines are known by two 64-bit hashes each.  A host has fewer boilerplate lines than its
+    mean number of lines per page divided by ``ratio``, so they fit in one array per host.
     """
     site = F.coalesce(host, F.lit("\u0000"))
-    keyed = pages.withColumns({"__host": site, "__text": F.col(text_col)}).withColumns(
-        {"__k1": F.xxhash64("__host", "__text"), "__k2": F.xxhash64("__text", F.lit(1), "__host")}
-    )
-    once = keyed.where(F.col("__text").isNotNull()).select("__host", "__text", "__k1", "__k2").dropDuplicates(["__k1", "__k2"])
-    line = F.explode(F.array_distinct(F.transform(F.split("__text", "\n"), trimmed)))
-    total = once.groupBy("__host").agg(F.count(F.lit(1)).alias("__pages"))
-    boiler = (
-        once.select("__host", line.alias("l"))
-        .where("l <> ''")
-        .groupBy("__host", F.xxhash64("l").alias("__l1"), F.xxhash64(F.lit(1), "l").alias("__l2"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+    key = lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+    keyed = pages.withColumns({"__host": site, "__text": F.col(text_col)})
+    page = keyed.where(F.col("__text").isNotNull()).select("__host", key(F.col("__text")).alias("__page"), F.split("__text", "\n").alias("__all"))
+    total = page.groupBy("__host").agg(F.count_distinct("__page").alias("__pages"))
+    each = F.explode(F.array_distinct(F.transform(F.filter(F.transform("__all", trimmed), lambda x: x != ""), key)))
+    boiler = checkpointed(
+        page.select("__host", "__page", each.alias("__line"))
+        .groupBy("__host", "__line")
+        .agg(F.count_distinct("__page").alias("__n"))
         .where(F.col("__n") >= min_pages)
         .join(total, "__host")
         .where(F.col("__n") > F.lit(ratio) * F.col("__pages"))
-        .select("__host", "__l1", "__l2")
-    )
-    at = F.posexplode(F.split("__text", "\n")).alias("__pos", "__line")
-    spots = keyed.where(F.col("__text").isNotNull()).select("__host", "__k1", "__k2", at).withColumn("__line", trimmed(F.col("__line")))
-    drops = (
-        spots.where("__line <> ''")
-        .select("__host", "__k1", "__k2", "__pos", F.xxhash64("__line").alias("__l1"), F.xxhash64(F.lit(1), "__line").alias("__l2"))
-        .join(boiler, ["__host", "__l1", "__l2"])
-        .groupBy("__k1", "__k2")
-        .agg(F.collect_set("__pos").alias("__drop"))
-    )
-    lines = F.split(F.col("__text"), "\n")
-    left = F.when(F.col("__drop").isNull(), F.col("__text")).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__drop", i)), "\n")
-    )
-    joined = keyed.join(drops, ["__k1", "__k2"], "left")
-    info = F.struct(
-        F.coalesce(F.size(F.filter(F.transform(lines, trimmed), lambda x: x != "")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        .select("__host", "__line")
     )
-    return joined.withColumn("__lines", info).withColumn(text_col, left).select(*pages.columns, "__lines")
+    per_host = boiler.groupBy("__host").agg(F.collect_list("__line").alias("__boiler"))
+    joined = keyed.join(broadcast_if_small(per_host, boiler.count(), BROADCAST_LINES), "__host", "left")
+    lines, none = F.split("__text", "\n"), F.col("__boiler").isNull()
+    kept = F.filter(lines, lambda x: ~F.array_contains("__boiler", key(trimmed(x))))
+    full = F.coalesce(F.size(F.filter(F.transform(lines, trimmed), lambda x: x != "")), F.lit(0)).cast("long")
+    joined = joined.withColumns({"__kept": F.when(~none & F.col("__text").isNotNull(), kept), "__full": full})
+    dropped = F.when(F.col("__kept").isNull(), 0).otherwise(F.size(lines) - F.size("__kept")).cast("long")
+    info = F.struct(F.col("__full").alias("n_lines"), dropped.alias("n_dropped"))
+    clean = F.when(F.col("__kept").isNull(), F.col("__text")).otherwise(F.array_join("__kept", "\n"))
+    return joined.withColumns({"__lines": info, text_col: clean}).select(*pages.columns, "__lines")
