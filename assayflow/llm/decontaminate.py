@@ -24,8 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import broadcast_if_small, checkpointed
+
 WIDTH, THRESHOLD = 5, 0.75
-#: Shingles of all items up to which they are broadcast; beyond it the joins shuffle.
+#: Shingles of all items, and documents with a candidate, up to which they are broadcast; beyond it the joins shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -58,13 +60,11 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
     length = (part - F.ceil(part * threshold) + 1).cast("int")
     sizes = sizes.withColumn("signature", F.slice("minima", F.lit(1), F.least(length, F.size("minima")))).select("item_id", "n_item", "signature")
     rows = tests.count()
-
-    def small(frame: DataFrame) -> DataFrame:
-        return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+    small = lambda frame: broadcast_if_small(frame, rows, BROADCAST_ROWS)
 
     texts = docs.where(F.col("text").isNotNull()).select(F.col(doc_id).alias("doc_id"), words(F.col("text")).alias("__w"))
     signature = sizes.select("item_id", F.explode("signature").alias("__h"))
-    found = (
+    found = checkpointed(
         texts.select("doc_id", F.explode(hashed_shingles("__w", width)).alias("__h"))
         .join(small(signature.select("__h").distinct()), "__h", "left_semi")
         .distinct()
@@ -73,6 +73,7 @@ def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width:
         .distinct()
     )
     suspects = found.select("doc_id").distinct()
+    suspects = broadcast_if_small(suspects, found.count(), BROADCAST_ROWS)
     again = texts.join(suspects, texts["doc_id"].eqNullSafe(suspects["doc_id"]), "left_semi")
     again = again.select("doc_id", F.explode(shingles(again, "__w", width)).alias("__s")).join(small(tests.select("__s").distinct()), "__s", "left_semi").distinct()
     shared = (
