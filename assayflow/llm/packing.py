@@ -16,53 +16,91 @@ other columns are not carried along, so their names don't matter.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import checkpointed
+from .common import checkpointed, python_batches
 
 CAPACITY, END_ID = 1024, 2
 #: Entries of the cache of encoded words in each Python worker.
 CACHE = 400_000
+#: Texts that a Python worker holds at a time.
+TEXTS = 512
+# Letters of Latin texts, and how the tokenizer's own pattern splits a text of these, blanks, digits and signs.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+LATIN = re.compile(r"[\t\n\r\x20-\x7e¡-±´-¸º»¿-ɏ]*")
+LATIN_WORDS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+_ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes, by the tokenizer file at ``path``.
 
-    A text is split by the file's own pre-tokenisation pattern; each distinct word is
-    encoded by the tokenizer once and then looked up.
+    A byte-level tokenizer encodes the words of its pre-tokenisation one by one.  Latin texts
+    are split here, and each distinct word is encoded by the tokenizer once and then looked up;
+    any other text is given to the tokenizer whole.  Both give the same ids.
     """
 
-    def __init__(self, path: str, pattern: str):
-        import os
-
-        import regex
-        from tokenizers import Tokenizer
-
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split, self.known = regex.compile(pattern).findall, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for e in found for ids in (e.ids,)]
+
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each word with its ids.  Words of a blank and letters are encoded in runs: every one
+        starts a pre-token, so that a token with a blank in front marks where its ids begin."""
+        spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        rest = [w for w in words if not (w[0] == " " and w[1:].isalpha())]
+        runs = [spaced[i : i + 200] for i in range(0, len(spaced), 200)]
+        for run, raw in zip(runs, self._encoded(["".join(r) for r in runs]) if runs else [], strict=True):
+            starts = np.flatnonzero(self.opens[np.frombuffer(raw, dtype="<u4")])
+            if len(starts) == len(run):
+                cuts = [*(4 * starts).tolist(), len(raw)]
+                yield from zip(run, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True)
+            else:
+                rest += run
+        yield from zip(rest, self._encoded(rest) if rest else [], strict=True)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.split(t) for t in texts]
+        latin = [bool(LATIN.fullmatch(t)) for t in texts]
+        words = [LATIN_WORDS.findall(t) for t, ok in zip(texts, latin, strict=True) if ok]
         known = self.known
-        new = list(set().union(*words) - known.keys()) if words else []
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set().union(*words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        new = list(set().union(*words) - known.keys())
+        if new and len(known) + len(new) > CACHE:
+            known.clear()
+            new = list(set().union(*words))
+        known.update(self._words(new))
+        get = known.__getitem__
+        whole = [t for t, ok in zip(texts, latin, strict=True) if not ok]
+        ours, theirs = iter([b"".join(map(get, w)) for w in words]), iter(self._encoded(whole) if whole else [])
+        return [next(ours if ok else theirs) for ok in latin]
+
 
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a file; tasks that share a worker share its cache."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
-def pieces(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+
+def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and, on request, ``ids`` of each piece.
 
     Of a longer document the first piece takes what ``capacity`` doesn't divide.
@@ -71,7 +109,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id_
 
     @F.pandas_udf(kind)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode, end = Encoder(path, pattern), np.array([END_ID], dtype="<u4").tobytes()
+        encode, end = encoder(path), np.array([END_ID], dtype="<u4").tobytes()
         for texts in batches:
             values, out = ["" if t is None else t for t in texts], []
             for at in range(0, len(values), 256):
@@ -126,10 +164,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -
     """Add ``sequence_id`` and ``offset`` to the pieces; ``cut`` is materialised first, as it is read twice."""
     spark = cut.sparkSession
     buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = checkpointed(cut.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")))
+    with python_batches(spark, TEXTS):
+        cut = checkpointed(cut.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")))
     sizes = cut.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-
     before = Window.partitionBy("length").orderBy("__bucket")
     base = sizes.select("length", "__bucket", (F.sum("n").over(before) - F.col("n")).alias("__base"))
     counts = {int(r["length"]): int(r["n"]) for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -13,7 +13,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(cut)
 
 
