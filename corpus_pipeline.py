@@ -45,7 +45,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pack what is left into sequences of at most 1024 tokens; one row per piece."""
     import public_tokenizers
 
-    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN))
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [
