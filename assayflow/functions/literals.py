@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 _ODD = re.compile(r"\b(nan|inf)\b")
 
@@ -19,7 +20,7 @@ def _is_collection(text: str) -> bool:
         return False
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _parsed(values: pd.Series) -> pd.Series:
     return values.map(lambda v: v is not None and _is_collection(v)).astype(bool)
 

@@ -11,7 +11,7 @@ from ..streaming import ingest
 from .registry import query
 
 _TOPIC = P.TOPIC.replace("(?i)", "")
-RE2_MAIN = r"(?i)\bTable\s*\d+[A-Za-z]?\b"
+RE2_MAIN = r"(?i)\bTable\s*\d+[A-Za-z]?\b\s*([^\sS]|$)"
 CLASSIFY = rf"""
 c AS (SELECT pmid, text, contains(lower(text), '<body') AS body, regexp_matches(text, '(?i){_TOPIC}') AS topical, regexp_matches(text, '{P.SUPPLEMENT}') AS sup, regexp_matches(text, '{RE2_MAIN}') AS main,
   regexp_matches(text, '{P.ACCESSION}') AS acc, list_transform(regexp_extract_all(text, '(?i){_TOPIC}'), lambda x: lower(x)) AS hits FROM papers),
@@ -195,9 +195,9 @@ def union_records(get):
     return sets.union_records([s, c])
 
 
-@query("sheets_except", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("sheets_except", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 10 = 0)")
 def sheets_except(get):
-    done = get("orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    done = get("orders").where("o_orderkey % 10 = 0").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return sets.not_processed(get("customer").select("c_custkey", "c_name"), done, ["c_custkey"])
 
 

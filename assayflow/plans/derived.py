@@ -97,7 +97,7 @@ FROM {part} CROSS JOIN (SELECT 0 AS col_idx, 'Isolate ID' AS element_text UNION
 PAPERS = """
 SELECT CAST(20000000 + doc_id AS STRING) AS pmid, doc_id, coalesce(source, '') AS title,
   concat(CASE WHEN doc_id % 6 = 0 THEN '<front>' ELSE '<body>' END, coalesce(text, ''),
-    CASE doc_id % 7 WHEN 0 THEN ' MIC and MICs by CLSI; susceptible, susceptible. Table 1 shows it. SAMN123 ' WHEN 1 THEN ' resistance by EUCAST, see Table S2. ' WHEN 2 THEN ' Broth microdilution; PRJNA77 GCA_000123.1 '
+    CASE doc_id % 7 WHEN 0 THEN ' MIC and MICs by CLSI; susceptible, susceptible. Table 1 gives it. SAMN123 ' WHEN 1 THEN ' resistance by EUCAST, see Table S2. ' WHEN 2 THEN ' Broth microdilution; PRJNA77 GCA_000123.1 '
       WHEN 3 THEN ' Table 2 and Supplementary Table 3: breakpoint, MIC, MIC ' ELSE '' END) AS text
 FROM {documents}
 """

@@ -85,10 +85,10 @@ def unpivot_paired(get):
     return unpivot.paired_records(_named(get), _roles(get))
 
 
-@query("unpivot_wide", """SELECT o_orderkey, o_custkey, 'price' AS drug, CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) AS raw FROM orders UNION ALL SELECT o_orderkey, o_custkey, 'status', o_orderstatus FROM orders WHERE trim(o_orderstatus) <> ''
+@query("unpivot_wide", """SELECT o_orderkey, o_custkey, 'price' AS drug, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS raw FROM orders UNION ALL SELECT o_orderkey, o_custkey, 'status', o_orderstatus FROM orders WHERE trim(o_orderstatus) <> ''
 UNION ALL SELECT o_orderkey, o_custkey, 'priority', o_orderpriority FROM orders WHERE trim(o_orderpriority) <> ''""")
 def unpivot_wide(get):
-    o = get("orders").select("o_orderkey", "o_custkey", F.round("o_totalprice").cast("bigint").cast("string").alias("price"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    o = get("orders").select("o_orderkey", "o_custkey", F.floor("o_totalprice").cast("bigint").cast("string").alias("price"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
     return unpivot.wide_to_long(o, ["o_orderkey", "o_custkey"], ["price", "status", "priority"])
 
 

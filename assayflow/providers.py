@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .operators import cells as cell_ops
@@ -18,12 +18,21 @@ class Provider(Protocol):
         """A role for each column of each sheet."""
 
 
+def unique_names(names: DataFrame) -> DataFrame:
+    """Column names that are unique in a sheet: blank ones by place, repeated ones with a number."""
+    again = F.row_number().over(Window.partitionBy("sheet", "col_name").orderBy("col_idx")) - 1
+    named = F.when(F.col("col_name") == "Unnamed", F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string")))
+    return names.withColumn("again", again).select(
+        "sheet", "col_idx", named.when(F.col("again") > 0, F.concat_ws(".", "col_name", F.col("again").cast("string"))).otherwise(F.col("col_name")).alias("col_name")
+    )
+
+
 class RuleProvider:
     """Header detection, column profiles and role rules, all as DataFrame expressions."""
 
     def roles(self, cells: DataFrame) -> DataFrame:
         headers = cell_ops.header_rows(cells)
-        names = cell_ops.flat_headers(cells, headers)
+        names = unique_names(cell_ops.flat_headers(cells, headers))
         body = cells.join(headers, "sheet").where(F.col("row_idx") > F.col("header_row")).drop("header_row")
         return sheets.column_roles(sheets.column_profiles(body, names))
 

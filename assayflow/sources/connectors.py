@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import publication_year
 
-_SUMMARY = "struct<uid:string,title:string,sortfirstauthor:string,pubdate:string,articleids:array<struct<idtype:string,value:string>>>"
+_SUMMARY = "title string, sortfirstauthor string, pubdate string, articleids array<struct<idtype: string, value: string>>"
 _GENOME = "genome_id string, biosample_accession string, assembly_accession string, genbank_accessions string, refseq_accessions string, sra_accession string, bioproject_accession string"
 
 
 def article_summaries(answers: DataFrame) -> DataFrame:
     """``pmid, title, first_author, year, pmcid, doi`` from answers with column ``json``: ``{"result": {pmid: {..}}}``."""
-    parsed = answers.select(F.from_json("json", f"result map<string,{_SUMMARY}>").alias("j")).select(F.explode("j.result").alias("pmid", "s")).where("pmid rlike '^[0-9]+$'")
+    entries = answers.select(F.from_json("json", "result map<string,string>").alias("j")).select(F.explode("j.result").alias("pmid", "entry"))
+    parsed = entries.where("pmid rlike '^[0-9]+$'").select("pmid", F.from_json("entry", _SUMMARY).alias("s"))
     one = lambda kind: F.get(F.transform(F.filter("s.articleids", lambda a: a["idtype"] == kind), lambda a: a["value"]), F.lit(0))
     pmc = one("pmc")
     return parsed.select(

@@ -35,6 +35,11 @@ def _text(element) -> str:
     return " ".join("".join(element.itertext()).split()) if element is not None else ""
 
 
+def _spaced_text(element) -> str:
+    """Text of a section, with a blank between its elements."""
+    return " ".join(" ".join(element.itertext()).split())
+
+
 def _all(root, *names: str) -> Iterator:
     return (e for e in root.iter() if local_name(e.tag) in names)
 
@@ -79,7 +84,7 @@ class AvailabilitySections:
             kind = " ".join(v for k, v in e.attrib.items() if k.endswith("type")).lower()
             titled = any(local_name(c.tag) == "title" and _HEADING.search(_text(c)) for c in e)
             if "data-availability" in kind or titled:
-                yield n, _text(e)
+                yield n, _spaced_text(e)
                 n += 1
 
 

@@ -2,6 +2,7 @@
 
 import io
 import zipfile
+from xml.sax.saxutils import escape
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def workbook(rows):
     with zipfile.ZipFile(out, "w") as z:
         z.writestr("xl/workbook.xml", f'<workbook {NS}><sheets><sheet name="One" sheetId="1" r:id="rId1"/></sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="x"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
-        z.writestr("xl/sharedStrings.xml", f"<sst {NS}>" + "".join(f"<si><t>{s}</t></si>" for s in shared) + "</sst>")
+        z.writestr("xl/sharedStrings.xml", f"<sst {NS}>" + "".join(f"<si><t>{escape(s)}</t></si>" for s in shared) + "</sst>")
         body = "".join(f'<row r="{r + 1}">' + "".join(cell(r, c, v) for c, v in enumerate(row) if v is not None) + "</row>" for r, row in enumerate(rows))
         z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {NS}><sheetData>{body}</sheetData></worksheet>")
     return out.getvalue()
