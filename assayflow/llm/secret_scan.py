@@ -7,7 +7,7 @@ outgoing frequencies compatible.  All other candidate tokens of a text are score
 the mean log likelihood per symbol under every automaton; a token that reaches the format's own level, set on labelled strings kept
 out of the inference, becomes a span of that format.
 
-Symbols are characters at the start of a token, where formats have their marks, and
+Symbols are characters and their place at the start of a token, where formats have their marks, and
 character classes after it.  Labelled strings are generated from public formats
 with a fixed seed, so that the automata don't depend on the corpus.
 
@@ -42,7 +42,7 @@ FORMATS = {
     "stripe": (("sk_live_", "rk_live_"), _ALNUM, (24, 32)),
     "jwt": (("eyJhbGciOi",), _ALNUM + "_-.", (80, 160)),
 }
-PREFIX, FLOOR, ALPHA = 4, 1e-4, 0.05
+PREFIX, FLOOR, ALPHA = 4, 1e-4, 0.5
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -56,8 +56,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def symbols(token: str) -> list[str]:
-    """Characters of the first ``PREFIX`` places, then classes; marks are kept."""
-    return list(token[:PREFIX]) + ["d" if c in "0123456789" else "U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else c for c in token[PREFIX:]]
+    """Characters of the first ``PREFIX`` places with their place, then classes; marks are kept."""
+    return [f"{i}{c}" for i, c in enumerate(token[:PREFIX])] + ["d" if c in "0123456789" else "U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else c for c in token[PREFIX:]]
 
 
 class Automaton:
@@ -142,7 +142,7 @@ def labelled(name: str, n: int, seed: int = 11) -> list[str]:
     return [r.choice(marks) + "".join(r.choice(alphabet) for _ in range(r.randint(low, high))) for _ in range(n)]
 
 
-def fit(n: int = 60) -> dict[str, tuple[Automaton, float]]:
+def fit(n: int = 120) -> dict[str, tuple[Automaton, float]]:
     """For every format its automaton and the level that its own strings reach."""
     out = {}
     for name in FORMATS:
