@@ -127,16 +127,40 @@ def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(cut(F.col(text_col))).alias("piece", "p")).select("doc_id", "piece", "p.*")
 
 
-def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[tuple[int, int]], int]]:
-    """Minimum bin slack over a histogram: a list of (combination as (length, times), repeats)."""
+Plan = list[tuple[list[tuple[int, int]], int]]
+#: Slacks that are tried; a little slack leaves short lengths for later bins.
+SLACKS = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
+
+
+def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The plan with the fewest bins among ``SLACKS``, the strictest first."""
+    best, fewest = [], None
+    least = -(-sum(n * c for n, c in counts.items() if c > 0 and 0 < n <= capacity) // capacity)
+    for slack in SLACKS:
+        plan = minimum_slack(counts, capacity, slack)
+        bins = sum(repeats for _, repeats in plan)
+        if fewest is None or bins < fewest:
+            best, fewest = plan, bins
+        if fewest == least:
+            break
+    return best
+
+
+def minimum_slack(counts: dict[int, int], capacity: int, slack: int = 0) -> Plan:
+    """Minimum bin slack over a histogram: a list of (combination as (length, times), repeats).
+
+    Lengths enter the subset sums from the longest on, until a sum leaves no more than ``slack``; else
+    the fullest sum of all is taken.
+    """
     left = {n: c for n, c in counts.items() if c > 0 and 0 < n <= capacity}
     plan = []
     while left:
         first = max(left)
         room = capacity - first
         own = {n: c - (n == first) for n, c in left.items() if n <= room and c - (n == first) > 0}
-        lengths, reach, steps, full = sorted(own, reverse=True), 1, [], 1 << room
+        lengths, reach, steps = sorted(own, reverse=True), 1, []
         mask = (1 << (room + 1)) - 1
+        full = mask >> max(0, room - slack) << max(0, room - slack)
         for n in lengths:
             most, times = min(own[n], room // n), 1
             while most > 0 and not reach & full:  # binary splitting of a bounded count
