@@ -25,11 +25,10 @@ from .common import broadcast_if_small, checkpointed
 RATIO, MIN_PAGES = 0.05, 5
 #: Boilerplate lines of all hosts up to which their lists are broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 200_000
-_STRIP = r"^[\x20\t\r]+|[\x20\t\r]+$"
 
 
 def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, _STRIP, "")
+    return F.btrim(line, F.lit("\x20\t\r"))
 
 
 def host_of(url: Column) -> Column:
@@ -38,8 +37,8 @@ def host_of(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """Visible text of a page, one block element or source line per line."""
-    text = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?i)</?(p|div|li|ul|ol|h[1-6]|br|tr|td|th|table|article|section|nav|header|footer|title|body|head|html)(\s[^>]*)?/?>", "\n")
+    text = F.regexp_replace(html, r"(?is)<(?:script[^>]*>.*?</script>|style[^>]*>.*?</style>|!--.*?-->)", "")
+    text = F.regexp_replace(text, r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|td|th|table|article|section|nav|header|footer|title|body|head|html)(?:\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -56,13 +55,14 @@ def drop_boilerplate(pages: DataFrame, host: Column, text_col: str = "text", rat
     key = lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
     keyed = pages.withColumns({"__host": site, "__text": F.col(text_col)})
     page = keyed.where(F.col("__text").isNotNull()).select("__host", key(F.col("__text")).alias("__page"), F.split("__text", "\n").alias("__all"))
-    total = page.groupBy("__host").agg(F.count_distinct("__page").alias("__pages"))
-    each = F.explode(F.array_distinct(F.transform(F.filter(F.transform("__all", trimmed), lambda x: x != ""), key)))
+    # Every page also counts for the null line, whose number of pages is the host's total.
+    hashes = F.array_distinct(F.transform(F.filter(F.transform("__all", trimmed), lambda x: x != ""), key))
+    each = F.explode(F.concat(hashes, F.array(F.lit(None).cast("struct<a:bigint,b:bigint>"))))
+    counts = page.select("__host", "__page", each.alias("__line")).groupBy("__host", "__line").agg(F.count_distinct("__page").alias("__n"))
+    counts = checkpointed(counts.where(F.col("__line").isNull() | (F.col("__n") >= min_pages)))
+    total = counts.where(F.col("__line").isNull()).select("__host", F.col("__n").alias("__pages"))
     boiler = checkpointed(
-        page.select("__host", "__page", each.alias("__line"))
-        .groupBy("__host", "__line")
-        .agg(F.count_distinct("__page").alias("__n"))
-        .where(F.col("__n") >= min_pages)
+        counts.where(F.col("__line").isNotNull())
         .join(total, "__host")
         .where(F.col("__n") > F.lit(ratio) * F.col("__pages"))
         .select("__host", "__line")

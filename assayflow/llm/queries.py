@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, decontaminate, embedding_dedup, language_id, line_dedup, near_dedup, packing, pii, secret_scan, sharding
-from .common import table
+from .common import checkpointed, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    lined = pages.select("page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("text"))
+    lined = checkpointed(pages.select("page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("text")))
     return line_dedup.drop_boilerplate(lined, F.col("host")).select("page_id", "host", "__lines.n_lines", "__lines.n_dropped", "text")
 
 
