@@ -23,6 +23,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sized(df: DataFrame, rows: int, per: int = 200_000) -> DataFrame:
+    """``df`` in no more partitions than ``rows`` at most need, ``per`` rows each.
+
+    Small intermediate results otherwise go through every later shuffle as one file per
+    partition of the session.  Large ones keep all their partitions.
+    """
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 @contextmanager
 def python_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Hand at most ``rows`` rows to Python at a time in what runs meanwhile, which bounds a worker's memory."""
@@ -51,30 +60,31 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = checkpointed(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    seen = None
+    rows, seen = edges.count(), None
+    small = lambda df: sized(df, 2 * rows)
+    edges = small(edges)
     for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(low, "u")
-        small = (
+        both = small(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        low = small(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = small(small(both.join(low, "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = small(large.groupBy("u").agg(F.min("v").alias("m")))
+        pairs = small(large.join(low, "u"))
+        stars = (
             pairs.where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v")))
             .where("u <> v")
-            .distinct()
         )
-        edges = checkpointed(small)
+        edges = checkpointed(small(small(stars).distinct()))
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == (now["n"], now["h"]):
             break
         seen = (now["n"], now["h"])
     else:
         raise RuntimeError("connected components did not settle")
-    stars = edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("label"))
-    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
-    return stars.unionByName(roots.join(stars, "id", "left_anti"))
+    # Settled edges are stars: every vertex but a root has one edge, to its root.
+    roots = small(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
+    return small(edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots))
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
