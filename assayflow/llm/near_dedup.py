@@ -8,10 +8,10 @@ arrival x as floor(1 - log_b x).  Equal registers become likely with
 similarity, sketches of parts merge by their maxima.
 
 1. Documents with the same set of words in order are one class; a class has one sketch.
-2. Bands of ``ROWS`` registers are bucketed.  In each bucket the other members are compared
-   with a few pivots; members already known to be connected need no comparison.  Pivots are
-   removed, their pairs being settled, and the rest goes on with more pivots until a
-   bucket has one component left.  Nothing is capped and no bucket is gathered.
+2. Bands of ``ROWS`` registers are bucketed.  Members of a bucket are first compared with its
+   smallest id.  Then small buckets are compared whole, and in larger ones those outside the largest
+   component with random members of that one, and at last the few that are still outside with all
+   members of other components, block by block.  Members already known to be connected need no comparison.  No pair is dropped and no bucket is gathered.
 3. A pair goes on when the joint likelihood of its registers at the threshold is
    within ``SIGMAS`` standard deviations of the best one.
 4. Its full shingle sets, built anew from whole texts, confirm or refute the link exactly.
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, connected_components
+from .common import broadcast_if_small, checkpointed, connected_components, python_batches, sized
 
 WIDTH, THRESHOLD_PERCENT = 5, 75
 REGISTERS, ROWS = 128, 4
@@ -42,6 +42,10 @@ BASE, RATE, LAST = 1.02, 20.0, (1 << 12) - 1
 SIGMAS = 5.0
 #: Ids up to which the documents to compare are filtered by a broadcast; beyond it by a shuffle join.
 BROADCAST_IDS = 1_000_000
+#: Texts that a Python worker holds at a time.
+TEXTS = 400
+#: Members of a small bucket, random pivots of a larger one, members of a block compared at a time; none limits the pairs.
+SMALL, PIVOTS, BLOCK = 32, 4, 1000
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +59,7 @@ class WordHashes(dict):
     """64-bit hashes of words; forgotten when there are too many of them."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -150,7 +154,52 @@ def _estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for at in range(0, len(whole), 2000):
             b = whole.iloc[at : at + 2000]
             ra, rb = (np.frombuffer(b"".join(b[c]), dtype=np.uint16).reshape(len(b), -1) for c in ("ra", "rb"))
-            yield b.loc[may_link(b["na"].to_numpy(float), b["nb"].to_numpy(float), ra, rb, THRESHOLD_PERCENT / 100), ["a", "b"]]
+            likely = may_link(b["na"].to_numpy(float), b["nb"].to_numpy(float), ra, rb, THRESHOLD_PERCENT / 100)
+            yield b[["a", "b"]].assign(score=(ra == rb).mean(1)).loc[likely]
+
+
+def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """Spanning links among the components in one block of a bucket, each confirmed on full sets.
+
+    Every outlier is compared with every member of another component, unless they share an earlier
+    band as well: that band's bucket compares them.  Registers rule out most pairs first.
+    """
+    first, second = rows[rows["outlier"]], rows[~rows["outlier"]]
+    links: list[tuple] = []
+    if len(first) and len(second):
+        ro, rm = (np.frombuffer(b"".join(x["regs"]), dtype=np.uint16).reshape(len(x), -1) for x in (first, second))
+        bo, bm = (np.stack(x["bands"].to_list()) for x in (first, second))
+        no, nm, lo, lm, io, im = (x[c].to_numpy() for c in ("n", "label", "id") for x in (first, second))
+        band = int(np.argmax(bm[0] == rows["h"].iloc[0]))
+        hashes = WordHashes()
+        so, sm = ([shingle_hashes(tokens(t), hashes) for t in x["text"]] for x in (first, second))
+        known, dense = np.unique(np.concatenate(sm), return_inverse=True)
+        starts, marked = np.concatenate([[0], np.cumsum([len(x) for x in sm])[:-1]]), np.zeros(len(known) + 1, dtype=np.int64)
+        root: dict = {}
+
+        def find(v):
+            while root.setdefault(v, v) != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        least = (THRESHOLD_PERCENT / 100 - SIGMAS * 0.5 / np.sqrt(ro.shape[1])) * ro.shape[1]
+        for i in range(len(first)):
+            fits = (lm != lo[i]) & (100 * np.minimum(nm, no[i]) >= THRESHOLD_PERCENT * np.maximum(nm, no[i])) & ((rm == ro[i]).sum(1) >= least) & ~(bm[:, :band] == bo[i, :band]).any(1)
+            j = np.flatnonzero(fits)
+            if len(j):
+                j = j[may_link(np.full(len(j), float(no[i])), nm[j].astype(float), np.broadcast_to(ro[i], (len(j), ro.shape[1])), rm[j], THRESHOLD_PERCENT / 100)]
+            if len(j):
+                at = np.minimum(np.searchsorted(known, so[i]), len(known) - 1)
+                mine = at[known[at] == so[i]]
+                marked[mine] = 1
+                inter = np.add.reduceat(marked[dense], starts)[j]
+                marked[mine] = 0
+                for k in j[100 * inter >= THRESHOLD_PERCENT * (no[i] + nm[j] - inter)]:
+                    x, y = find(lo[i]), find(lm[k])
+                    if x != y:
+                        root[x] = y
+                        links.append((io[i], im[k]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=rows["id"].dtype)
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,59 +214,155 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield b[["a", "b"]].assign(linked=found)
 
 
+class _Search:
+    """The state of one run: sketches of classes, links found, labels of components, refuted pairs."""
+
+    def __init__(self, nodes: DataFrame, texts: DataFrame, kind: str):
+        self.nodes, self.texts, self.kind = nodes, texts, kind
+        self.labels: DataFrame | None = None
+        self.refuted: DataFrame | None = None
+
+    def among(self, frame: DataFrame, ids: DataFrame, per: int = 20_000) -> DataFrame:
+        """Rows of ``frame`` with one of the ``ids``, by a broadcast if these are few; materialised."""
+        n = ids.count()
+        return checkpointed(sized(frame.join(broadcast_if_small(ids, n, BROADCAST_IDS), "id", "left_semi"), n, per))
+
+    def _ends(self, pairs: DataFrame, rows: int) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+        return checkpointed(sized(sized(ends, 2 * rows).distinct(), 2 * rows))
+
+    def relabel(self, slots: DataFrame) -> DataFrame:
+        rest = slots.drop("label")
+        if self.labels is None:
+            return rest.withColumn("label", F.col("id"))
+        return rest.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs ``a, b, score`` whose registers don't rule out the threshold."""
+        pairs = checkpointed(pairs)
+        n = pairs.count()
+        pairs = sized(pairs, n)
+        side = self.among(self.nodes.select("id", "n", "regs"), self._ends(pairs, n))
+        joined = sized(pairs.join(side.toDF("a", "na", "ra"), "a"), n, 20_000).join(side.toDF("b", "nb", "rb"), "b")
+        fits = joined.where(F.lit(100) * F.least("na", "nb") >= F.lit(THRESHOLD_PERCENT) * F.greatest("na", "nb"))
+        return sized(fits, n, 20_000).mapInPandas(_estimate, f"a {self.kind}, b {self.kind}, score double")
+
+    def settle(self, likely: DataFrame, best_first: bool) -> None:
+        """Confirm or refute pairs on full sets.  ``best_first`` tries the best partner of each class
+        before the others, which need no comparison where that one connected them."""
+        pending = checkpointed(likely)
+        if self.refuted is not None:
+            pending = checkpointed(pending.join(self.refuted, ["a", "b"], "left_anti"))
+        n = pending.count()
+        pending = sized(pending, n)
+        if best_first:
+            both = pending.select(F.col("a").alias("v"), "a", "b", "score").unionByName(pending.select(F.col("b").alias("v"), "a", "b", "score"))
+            best = sized(sized(both, 2 * n).groupBy("v").agg(F.max_by(F.struct("a", "b"), F.struct("score", "a", "b")).alias("p")), 2 * n)
+            best = checkpointed(sized(best.select("p.*").distinct(), 2 * n))
+            self._check(best)
+            pending = sized(pending.join(best, ["a", "b"], "left_anti"), n)
+            la, lb = (sized(self.relabel(sized(pending.select(F.col(c).alias("id")).distinct(), n)), n).select(F.col("id").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
+            pending = checkpointed(sized(sized(pending.join(la, "a"), n).join(lb, "b").where("la <> lb"), n))
+        self._check(pending.select("a", "b"))
+
+    def _check(self, pairs: DataFrame) -> None:
+        n = pairs.count()
+        if not n:
+            return
+        texts = self.among(self.texts, self._ends(pairs, n), TEXTS)
+        both = sized(pairs.join(texts.toDF("b", "tb"), "b"), n, 10 * TEXTS).join(texts.toDF("a", "ta"), "a")
+        with python_batches(pairs.sparkSession, TEXTS):
+            checked = checkpointed(sized(both, n, 10 * TEXTS).mapInPandas(_confirm, f"a {self.kind}, b {self.kind}, linked boolean"))
+        failed = sized(checked.where("not linked").select("a", "b"), n)
+        self.refuted = failed if self.refuted is None else self.refuted.unionByName(failed)
+        self.link(sized(checked.where("linked").select("a", "b"), n))
+
+    def link(self, links: DataFrame) -> None:
+        if self.labels is not None:
+            links = links.unionByName(self.labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
+        self.labels = connected_components(links)
+
+    def open_slots(self, slots: DataFrame, rows: int | None = None) -> tuple[DataFrame, int]:
+        """``h, id, label, size``: slots of the buckets that hold more than one component, and their number."""
+        fit = (lambda df: sized(df, rows)) if rows is not None else (lambda df: df)
+        named = fit(self.relabel(slots.select("h", "id")))
+        split = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("h", "size")
+        found = checkpointed(fit(named.join(fit(split), "h")))
+        n = found.count()
+        return sized(found, n), n
+
+
+def _by_smallest(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each bucket's smallest id with the other members, and the slots of these."""
+    rest = slots.join(slots.groupBy("h").agg(F.min("id").alias("p")), "h").where("id > p")
+    return rest.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct(), rest
+
+
+def _with_mode(slots: DataFrame) -> DataFrame:
+    return slots.join(slots.groupBy("h").agg(F.mode("label", True).alias("mode")), "h")
+
+
+def _in_small(slots: DataFrame) -> DataFrame:
+    """All pairs with different labels of buckets with ``SMALL`` members at most."""
+    members = slots.where(F.col("size") <= SMALL).groupBy("h").agg(F.collect_list(F.struct("id", "label")).alias("m"))
+    pairs = "flatten(transform(m, x -> transform(filter(m, y -> y.id > x.id AND y.label <> x.label), y -> struct(x.id AS a, y.id AS b))))"
+    return members.select(F.explode(F.expr(pairs)).alias("p")).select("p.*")
+
+
+def _by_random_pivots(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of ``PIVOTS`` random members of a large bucket's largest component with the members
+    outside it, and the slots without these pivots, which are settled."""
+    moded = _with_mode(slots.where(F.col("size") > SMALL)).withColumn("inside", F.col("label") == F.col("mode"))
+    rank = F.row_number().over(Window.partitionBy("h", "inside").orderBy(F.xxhash64("id"), "id"))
+    ranked = checkpointed(moded.withColumn("pivot", F.col("inside") & (rank <= PIVOTS)))
+    heads = ranked.where("pivot").groupBy("h").agg(F.collect_list("id").alias("p"))
+    rivals = ranked.where("not inside").join(heads, "h").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
+    pairs = rivals.select("id", F.explode("p").alias("p")).select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
+    return pairs, ranked.where("not pivot")
+
+
+def _by_blocks(slots: DataFrame, nodes: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """Links of all members outside a bucket's largest component with all members of other components, in blocks."""
+    full = nodes.join(texts, "id")
+    moded = _with_mode(slots).withColumn("outlier", F.col("label") != F.col("mode")).select("h", "id", "label", "outlier")
+    plan = moded.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("outlier") / BLOCK).cast("int").alias("guests"))
+    planned, salt = moded.join(plan, "h"), F.xxhash64("id", F.lit(5))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = planned.withColumns({"block": F.pmod(salt, F.col("blocks")).cast("int"), "guest": spread("guests"), "outlier": F.lit(False)})
+    outliers = planned.where("outlier").withColumns({"guest": F.pmod(salt, F.col("guests")).cast("int"), "block": spread("blocks")})
+    columns = ["h", "block", "guest", "outlier", "id", "label"]
+    rows = members.select(*columns).unionByName(outliers.select(*columns)).join(full, "id")
+    return rows.groupBy("h", "block", "guest").applyInPandas(_compare_block, f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(docs.dtypes)[id_col]
-    rows = checkpointed(texts.mapInPandas(_sketches, f"id {kind}, k1 bigint, k2 bigint, n bigint, regs binary, bands array<bigint>"))
+    with python_batches(docs.sparkSession, TEXTS):
+        rows = checkpointed(texts.mapInPandas(_sketches, f"id {kind}, k1 bigint, k2 bigint, n bigint, regs binary, bands array<bigint>"))
     live = rows.where("id is not null and n > 0")
     classes = live.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
     nodes = checkpointed(
         live.groupBy("k1", "k2").agg(F.min_by(F.struct("n", "regs", "bands"), "id").alias("s"), F.min("id").alias("id")).select("id", "s.*")
     )
-    slots = nodes.select("id", F.explode("bands").alias("h"))
-    shared = slots.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    open_slots = checkpointed(slots.join(shared, "h").withColumn("label", F.col("id")))
-    edges, tested, pivots = None, None, 1
-    labels = None
-    while True:
-        split = open_slots.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("h")
-        members = checkpointed(open_slots.join(split, "h"))
-        if members.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("h").orderBy("id"))
-        heads = members.withColumn("r", rank).where(F.col("r") <= pivots).select("h", F.col("id").alias("p"), F.col("label").alias("pl"))
-        pairs = (
-            members.join(heads, "h")
-            .where("label <> pl and id <> p")
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        side = nodes.select("id", "n", "regs")
-        sized = pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
-        sized = sized.where(F.lit(100) * F.least("na", "nb") >= F.lit(THRESHOLD_PERCENT) * F.greatest("na", "nb"))
-        likely = checkpointed(sized.mapInPandas(_estimate, f"a {kind}, b {kind}"))
-        ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = texts.where("text is not null").join(broadcast_if_small(ids, 2 * likely.count(), BROADCAST_IDS), "id", "left_semi")
-        both = likely.join(wanted.toDF("b", "tb"), "b").join(wanted.toDF("a", "ta"), "a")
-        checked = checkpointed(both.mapInPandas(_confirm, f"a {kind}, b {kind}, linked boolean"))
-        links = checked.where("linked").select("a", "b")
-        edges = links if labels is None else links.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-        labels = connected_components(edges)
-        seen = likely.select("a", "b")
-        tested = seen if tested is None else tested.unionByName(seen)
-        rest = members.join(heads.select("h", F.col("p").alias("id")), ["h", "id"], "left_anti").drop("label")
-        open_slots = checkpointed(
-            rest.join(labels, "id", "left").select("h", "id", F.coalesce("label", "id").alias("label"))
-        )
-        pivots *= 8
+    search = _Search(nodes, texts.where("text is not null"), kind)
+    slots, n = search.open_slots(nodes.select("id", F.explode("bands").alias("h")))
+    if n:
+        pairs, slots = _by_smallest(slots)
+        search.settle(search.likely(sized(pairs, n)), best_first=False)
+        slots, n = search.open_slots(sized(slots, n), n)
+    if n:
+        pairs, rest = _by_random_pivots(slots)
+        search.settle(search.likely(sized(_in_small(slots).unionByName(pairs).distinct(), n)), best_first=True)
+        slots, n = search.open_slots(sized(rest, n), n)
+    if n:
+        ids = checkpointed(sized(slots.select("id").distinct(), n))
+        search.link(_by_blocks(slots, search.among(nodes, ids), search.among(search.texts, ids), kind))
     out = rows.join(classes, ["k1", "k2"], "left")
     found = out.withColumn("rep", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("rep")))
-    if labels is not None:
-        found = found.join(labels.toDF("rep", "label"), "rep", "left")
-        found = found.withColumn("rep", F.coalesce("label", "rep"))
+    if search.labels is not None:
+        found = found.join(search.labels.toDF("rep", "label"), "rep", "left").withColumn("rep", F.coalesce("label", "rep"))
     component = F.coalesce("rep", "id")
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
