@@ -5,18 +5,15 @@ sample of unit vectors, assigns every vector to its nearest list.  Within a
 list, residuals are coded subspace by subspace, and asymmetric distances from a query to the coded vectors
 come from lookup tables:
 
-* Probes: a partner of query q can only be in list c if q is close to the bisector between c
-  and its own list.  How close is calibrated: sample vectors are turned at random by just
-  the threshold's angle, and the largest margin that any of ``TURNED`` such partners needed
-  decides which lists every query visits.  Random partners at the very threshold are found
-  with a measured recall over 0.999, closer ones more surely.
+* Probes: a partner of query q can only be in list c if q is within r of the bisector between c
+  and its own list.  q visits every such list, so no partner is lost, however the vectors lie.
 * Codes: a coded vector keeps its quantisation error e; if q's table distance exceeds
   r + e, the vector is farther than r.  This bound is exact, and so is the rerank by cosine
   in double precision.  r follows from the threshold: |q - x|^2 = 2 - 2 cos for unit vectors.
 
-Equal vectors of one label are one class with a weight.  Lists are cut into blocks of about
-``BLOCK`` members, and visitors too, so that a task holds one block pair whatever
-the size of a list; from each pair of blocks come a count per query and a spanning forest of its links,
+Equal vectors of one label are one class with a weight.  Neighbouring lists of a label are joined to
+cells of about ``BLOCK`` members, to which a query travels once however many of their lists it visits.  Larger cells are cut
+into blocks, and visitors too, so that a task holds one block pair whatever the size of a list; from each pair of blocks come a count per query and a spanning forest of its links,
 never all pairs.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and
@@ -31,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, connected_components
@@ -39,9 +36,11 @@ from .common import checkpointed, connected_components
 THRESHOLD = 0.93
 #: Bounds of the sample that the quantisers are fitted on, and of their sizes.
 SAMPLE, LISTS, SUBSPACES, CODES = 10_000, 1024, 8, 64
-#: Vectors per list that are aimed at; partners for the calibration of the probes.
-PER_LIST, TURNED = 512, 10_000
+#: Vectors per list that are aimed at.
+PER_LIST = 512
 BLOCK = 4096
+#: Rows of a plan over lists up to which it is broadcast.
+FEW = 100_000
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -60,32 +59,28 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray
     return centres
 
 
+def chain(centres: np.ndarray) -> np.ndarray:
+    """An order of the centres in which neighbours are near each other: from each to the nearest that is left."""
+    out, left = [0], np.arange(1, len(centres))
+    while len(left):
+        k = int(((centres[left] - centres[out[-1]]) ** 2).sum(1).argmin())
+        out.append(int(left[k]))
+        left = np.delete(left, k)
+    return np.array(out)
+
+
 class Quantiser:
     """Coarse centres and one codebook of residuals per subspace."""
 
     def __init__(self, sample: np.ndarray, lists: int, threshold: float):
-        self.centres = kmeans(sample, max(1, min(lists, LISTS, len(sample) // 20)))
+        self.reach = float(np.sqrt(max(2 - 2 * threshold, 0.0))) + 1e-6
+        centres = kmeans(sample, max(1, min(lists, LISTS, len(sample) // 20)))
+        self.centres = centres[chain(centres)]
         residual = sample - self.centres[nearest(sample, self.centres)]
         self.cuts = [c for c in np.array_split(np.arange(sample.shape[1]), SUBSPACES) if len(c)]
         self.books = [kmeans(residual[:, c], CODES) for c in self.cuts]
         norms = (self.centres**2).sum(1)
         self.between = np.sqrt(np.maximum(norms[:, None] + norms - 2 * self.centres @ self.centres.T, 0))
-        self.margin = self._calibrate(sample, threshold)
-
-    def _calibrate(self, sample: np.ndarray, threshold: float) -> float:
-        rng, most = np.random.default_rng(9), 0.0
-        if len(self.centres) < 2 or sample.shape[1] < 2:
-            return np.inf
-        for at in range(0, TURNED, 1000):
-            x = sample[rng.integers(0, len(sample), 1000)]
-            side = rng.normal(size=x.shape)
-            side -= (side * x).sum(1, keepdims=True) * x
-            side /= np.maximum(np.sqrt((side * side).sum(1, keepdims=True)), 1e-12)
-            partner = threshold * x + np.sqrt(max(1 - threshold**2, 0)) * side
-            own, its = nearest(x, self.centres), nearest(partner, self.centres)
-            gap = ((x - self.centres[its]) ** 2).sum(1) - ((x - self.centres[own]) ** 2).sum(1)
-            most = max(most, float((gap[own != its] / np.maximum(2 * self.between[own, its][own != its], 1e-12)).max(initial=0)))
-        return most
 
     def encode(self, residual: np.ndarray) -> np.ndarray:
         return np.stack([nearest(residual[:, c], b) for c, b in zip(self.cuts, self.books, strict=True)], 1).astype(np.uint8)
@@ -97,14 +92,14 @@ class Quantiser:
         return out
 
     def tables(self, queries: np.ndarray) -> list[np.ndarray]:
-        return [((queries[:, c][:, None] - b[None]) ** 2).sum(2) for c, b in zip(self.cuts, self.books, strict=True)]
+        """Products of the queries with the codes of each subspace; the same for every list."""
+        return [queries[:, c] @ b.T for c, b in zip(self.cuts, self.books, strict=True)]
 
     def probes(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
         """For each row the lists that it visits, as a mask; its own is among them."""
         square = (self.centres**2).sum(1) - 2 * x @ self.centres.T
         gap = square - square[np.arange(len(x)), own][:, None]
-        with np.errstate(invalid="ignore"):
-            return (gap <= 2 * self.margin * self.between[own] + 1e-9) | (np.arange(len(self.centres)) == own[:, None])
+        return (gap <= 2 * self.reach * self.between[own] + 1e-9) | (np.arange(len(self.centres)) == own[:, None])
 
 
 def _usable(values) -> bool:
@@ -154,8 +149,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
     """Spanning links ``a, b`` between classes, and for each ``id`` the weight ``n`` it is linked with."""
-    reach = float(np.sqrt(max(2 - 2 * threshold, 0.0))) + 1e-6
-
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for at in range(0, len(whole), 500):
@@ -167,31 +160,43 @@ def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: floa
                 yield b[["rep", "weight", "label"]].assign(x=[v.tobytes() for v in x], own=own.astype(np.int32), lists=[np.flatnonzero(m).astype(np.int32) for m in mask])
 
     placed = checkpointed(classes.select("rep", "weight", "label", "v").mapInPandas(assign, f"rep {kind}, weight bigint, label string, x binary, own int, lists array<int>"))
-    blocks = placed.groupBy("label", F.col("own").alias("list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    visits = placed.select("rep", "weight", "label", "x", F.explode("lists").alias("list"))
-    guests = visits.groupBy("label", "list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("guests"))
-    plan = blocks.join(guests, ["label", "list"])
+    lists = checkpointed(placed.groupBy("label", F.col("own").alias("list")).agg(F.count(F.lit(1)).alias("n")))
+    small = F.broadcast if lists.count() <= FEW else lambda df: df
+    ahead = F.sum("n").over(Window.partitionBy("label").orderBy("list")) - F.col("n")
+    celled = lists.withColumn("cell", F.floor(ahead / BLOCK).cast("int"))
+    sizes = celled.groupBy("label", "cell").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    entry = F.map_from_entries(F.collect_list(F.struct("list", F.struct("cell", "blocks"))))
+    cells = celled.join(sizes, ["label", "cell"]).groupBy("label").agg(entry.alias("m"))
+    cells = cells.select("label", F.transform(F.sequence(F.lit(0), F.lit(len(quantiser.centres) - 1)), lambda i: F.col("m")[i]).alias("cells"))
+    routed = placed.join(small(cells), "label")
+    there = F.array_distinct(F.filter(F.transform("lists", lambda c: F.get("cells", c)), lambda c: c.isNotNull()))
+    visits = routed.select("rep", "weight", "label", "x", "own", F.explode(there).alias("at")).select("*", "at.cell", "at.blocks")
+    guests = small(checkpointed(visits.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("guests"))))
     salt = F.xxhash64("rep", F.lit(3))
     member = (
-        placed.withColumn("list", F.col("own")).join(plan, ["label", "list"])
+        routed.withColumn("at", F.get("cells", F.col("own"))).select("rep", "weight", "label", "x", "own", "at.cell", "at.blocks").join(guests, ["label", "cell"])
         .withColumns({"block": F.pmod(salt, F.col("blocks")), "guest": F.explode(F.sequence(F.lit(0), F.col("guests") - 1)), "member": F.lit(True)})
     )
     guest = (
-        visits.join(plan, ["label", "list"])
+        visits.join(guests, ["label", "cell"])
         .withColumns({"guest": F.pmod(salt, F.col("guests")), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "member": F.lit(False)})
     )
-    columns = ["label", "list", "block", "guest", "member", "rep", "weight", "x"]
+    columns = ["label", "cell", "block", "guest", "member", "rep", "weight", "x", "own"]
     both = member.select(*[F.col(c).cast("int") if c in ("block", "guest") else c for c in columns]).unionByName(guest.select(*[F.col(c).cast("int") if c in ("block", "guest") else c for c in columns]))
 
     def compare(b: pd.DataFrame) -> pd.DataFrame:
-        m, g = b[b["member"]], b[~b["member"]]
+        m, g = b[b["member"]].sort_values("own"), b[~b["member"]].sort_values("own")
         empty = pd.DataFrame({"a": [], "b": [], "n": []})
         if not len(m) or not len(g):
             return empty
         x = np.frombuffer(b"".join(m["x"]), dtype=np.float64).reshape(len(m), size)
-        centre = quantiser.centres[int(m["list"].iloc[0])]
+        lists = m["own"].to_numpy()
+        centre = quantiser.centres[lists]
         codes = quantiser.encode(x - centre)
-        error = np.sqrt(((x - centre - quantiser.decode(codes)) ** 2).sum(1))
+        coded = centre + quantiser.decode(codes)
+        error = np.sqrt(((x - coded) ** 2).sum(1))
+        # |q - coded|^2 = |q|^2 - 2 q.centre - 2 q.code + |coded|^2, of which q.code is looked up.
+        square = (coded * coded).sum(1)
         mid, gid, weight = m["rep"].to_numpy(), g["rep"].to_numpy(), m["weight"].to_numpy()
         root: dict = {}
 
@@ -204,8 +209,15 @@ def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: floa
         for at in range(0, len(g), 256):
             ids = gid[at : at + 256]
             q = np.frombuffer(b"".join(g["x"].iloc[at : at + 256]), dtype=np.float64).reshape(-1, size)
-            table = sum(t[:, codes[:, k]] for k, t in enumerate(quantiser.tables(q - centre)))
-            i, j = np.nonzero((np.sqrt(np.maximum(table, 0)) <= reach + error) & (ids[:, None] != mid[None]))
+            visited = quantiser.probes(q, g["own"].to_numpy()[at : at + 256])
+            use = np.flatnonzero(visited.any(0)[lists])
+            if not len(use):
+                continue
+            product = sum(t[:, codes[use, k]] for k, t in enumerate(quantiser.tables(q)))
+            product += (q @ quantiser.centres.T)[:, lists[use]]
+            distance = (q * q).sum(1)[:, None] - 2 * product + square[use]
+            i, j = np.nonzero((distance <= (quantiser.reach + error[use]) ** 2) & visited[:, lists[use]] & (ids[:, None] != mid[use][None]))
+            j = use[j]
             for s in range(0, len(i), 200_000):
                 cos = np.einsum("ij,ij->i", q[i[s : s + 200_000]], x[j[s : s + 200_000]])
                 near = cos >= threshold
@@ -220,5 +232,5 @@ def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: floa
                         out_a.append(u), out_b.append(v), out_n.append(0)
         return pd.DataFrame({"a": out_a, "b": out_b, "n": out_n}) if out_a else empty
 
-    found = checkpointed(both.groupBy("label", "list", "block", "guest").applyInPandas(compare, f"a {kind}, b {kind}, n bigint"))
+    found = checkpointed(both.groupBy("label", "cell", "block", "guest").applyInPandas(compare, f"a {kind}, b {kind}, n bigint"))
     return found.where("a <> b").select("a", "b"), found.where("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))

@@ -176,6 +176,25 @@ def test_embeddings_equal_brute_force(spark):
     assert [(r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df.limit(1).withColumn("vec_id", F.lit(None).cast("long"))).collect()] == [(None, True)]
 
 
+@pytest.mark.parametrize("rank", [4, 8])
+def test_embeddings_of_low_rank_lose_no_link_between_lists(spark, monkeypatch, rank):
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", 60)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 300)
+    rng = np.random.default_rng(rank)
+    vectors = rng.normal(size=(3000, rank)) @ rng.normal(size=(rank, 32))
+    labels = (np.arange(len(vectors)) % 10 == 0).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(vectors, labels, strict=True))], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    link = (unit @ unit.T >= embedding_dedup.THRESHOLD) & (labels[:, None] == labels)
+    np.fill_diagonal(link, False)
+    root = np.arange(len(link))
+    while (low := np.minimum(root, np.where(link, root, len(link)).min(1))).tolist() != root.tolist():
+        root = low
+    assert link.sum() > 1000
+    assert got == {i: (int(link[i].sum()), int(root[i])) for i in range(len(link))}
+
+
 def test_shards_are_even_and_mostly_stay(spark):
     names = [f"s{k}" for k in range(10)]
     before, after = sharding.lookup_table(names, 1009), sharding.lookup_table(names[:-1], 1009)
