@@ -3,9 +3,11 @@
 Base spans of three kinds (assign, access, hex) follow fixed patterns and always stay.
 For every labelled credential format a probabilistic automaton is inferred: its labelled strings
 form a prefix tree, whose states are merged, red-blue order, wherever a Hoeffding test finds their
-outgoing frequencies compatible.  All other candidate tokens of a text are scored by
-the mean log likelihood per symbol under every automaton; a token that reaches the format's own level, set on labelled strings kept
-out of the inference, becomes a span of that format.
+outgoing frequencies compatible.  Candidates are the substrings of a run of token characters that start
+with the run or after a separator in it, so that a credential is found behind ``KEY=``, in an address or in a path.
+One whose first places an automaton knows is scored by the mean log likelihood per symbol under it, up to each place where it can end: the
+end of the run, a separator, or a character that the format doesn't have.  The longest that reaches the format's own level, set on
+labelled strings kept out of the inference, becomes a span of that format; of spans that overlap the one furthest above its level stays.
 
 Symbols are characters and their place at the start of a token, where formats have their marks, and
 character classes after it.  Labelled strings are generated from public formats
@@ -21,7 +23,7 @@ from __future__ import annotations
 import math
 import random
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,7 +46,8 @@ FORMATS = {
 }
 PREFIX, FLOOR, ALPHA = 4, 1e-4, 0.5
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
-_DIGIT = re.compile(r"[0-9]")
+_START = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9]")
+SHORTEST = 20
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -55,9 +58,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def _class(c: str) -> str:
+    return "d" if c in "0123456789" else "U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else c
+
+
+#: Symbols that a format has after its mark.
+_BODY = {name: frozenset(map(_class, alphabet)) for name, (_, alphabet, _) in FORMATS.items()}
+
+
 def symbols(token: str) -> list[str]:
     """Characters of the first ``PREFIX`` places with their place, then classes; marks are kept."""
-    return [f"{i}{c}" for i, c in enumerate(token[:PREFIX])] + ["d" if c in "0123456789" else "U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else c for c in token[PREFIX:]]
+    return [f"{i}{c}" for i, c in enumerate(token[:PREFIX])] + [_class(c) for c in token[PREFIX:]]
 
 
 class Automaton:
@@ -135,6 +146,31 @@ class Automaton:
             at = self.next[at].get(c, at)
         return (total + math.log(max(self.end[at] / self.total[at] if self.total[at] else 0, FLOOR))) / (len(s) + 1)
 
+    def knows(self, start: str) -> bool:
+        """Whether a labelled string begins with the ``PREFIX`` characters ``start``."""
+        at = 0
+        for c in symbols(start):
+            if c not in self.next[at]:
+                return False
+            at = self.next[at][c]
+        return True
+
+    def longest(self, token: str, level: float, body: frozenset[str]) -> tuple[float, int] | None:
+        """Score above ``level`` and length of the longest start of ``token`` that reaches it and can end there."""
+        at, total, best = 0, 0.0, None
+        for i in range(len(token) + 1):
+            c = None if i == len(token) else f"{i}{token[i]}" if i < PREFIX else _class(token[i])
+            stop = c is None or (i >= PREFIX and c not in body and c not in self.next[at])
+            if i >= SHORTEST and token[i - 1] != "." and (stop or not token[i].isalnum()):
+                n = self.total[at]
+                score = (total + math.log(max(self.end[at] / n if n else 0, FLOOR))) / (i + 1)
+                best = (score - level, i) if score >= level else best
+            if stop:
+                return best
+            total += math.log(max(self.count[at].get(c, 0) / self.total[at] if self.total[at] else 0, FLOOR))
+            at = self.next[at].get(c, at)
+        return best
+
 
 def labelled(name: str, n: int, seed: int = 11) -> list[str]:
     r = random.Random(f"{seed} {name}")
@@ -153,6 +189,19 @@ def fit(n: int = 120) -> dict[str, tuple[Automaton, float]]:
     return out
 
 
+def _formats(start: str, automata: dict[str, tuple[Automaton, float]]) -> list[str]:
+    return [name for name, (automaton, _) in automata.items() if automaton.knows(start)] if len(start) == PREFIX else []
+
+
+def _disjoint(found: list[tuple[float, str, int, int]]) -> list[tuple[float, str, int, int]]:
+    """The spans that are left when each, best first, displaces those that overlap it."""
+    out, starts, ends = [], [], []
+    for span in sorted(found, reverse=True):
+        if bisect_left(starts, span[3]) == bisect_right(ends, span[2]):
+            insort(starts, span[2]), insort(ends, span[3]), out.append(span)
+    return out
+
+
 def spans(text: str | None, automata: dict[str, tuple[Automaton, float]]) -> list[tuple[str, int, int, bool]]:
     """All spans (kind, start, end, whether it is a base one), by start, then kind as listed."""
     if not text:
@@ -161,13 +210,18 @@ def spans(text: str | None, automata: dict[str, tuple[Automaton, float]]) -> lis
     starts, ends = sorted(a for _, a, _ in base), sorted(b for _, _, b in base)
     out = [(k, a, b, True) for k, a, b in base]
     for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        if bisect_left(starts, b) != bisect_right(ends, a) or not _DIGIT.search(m[0]):
-            continue
-        s = symbols(m[0].rstrip("."))
-        best = max(((score - level, name) for name, (automaton, level) in automata.items() if (score := automaton.score(s)) >= level), default=None)
-        if best:
-            out.append((best[1], a, a + len(m[0].rstrip(".")), False))
+        found, done = [], {}
+        for start in _START.finditer(m[0]):
+            at = start.start()
+            for name in _formats(m[0][at : at + PREFIX], automata):
+                automaton, level = automata[name]
+                if at >= done.get(name, 0) and (hit := automaton.longest(m[0][at:], level, _BODY[name])):
+                    done[name] = at + hit[1]
+                    found.append((hit[0], name, m.start() + at, m.start() + at + hit[1]))
+        for _, name, a, b in _disjoint(found):
+            # Disjoint from every base span: as many base spans start before its end as end before its start.
+            if bisect_left(starts, b) == bisect_right(ends, a):
+                out.append((name, a, b, False))
     order = [*KINDS, *FORMATS]
     return sorted(out, key=lambda s: (s[1], order.index(s[0]), s[2]))
 

@@ -211,6 +211,27 @@ def test_automata_know_their_formats():
     assert secret_scan.spans(None, automata) == []
 
 
+def test_secrets_behind_keys_in_addresses_and_paths():
+    automata = secret_scan.fit()
+    places = [("", ""), ("STRIPE_KEY=", ""), ("see https://example.com/v1?key=", "&page=2"), ("src/lib.d/", ""), ("a/b/", "/c.d/e"), ("export GITHUB_PAT='", "'"), ("key:", "."), ("x.y_", "=z")]
+    for name in secret_scan.FORMATS:
+        fresh = secret_scan.labelled(name, 40, seed=78)
+        plain = [s for s in fresh if s[-1].isalnum()]
+        known = [s for s in plain if (name, 2, 2 + len(s), False) in secret_scan.spans(f"x {s} y", automata)]
+        assert len(known) >= 0.9 * len(plain), name
+        for before, after in places:
+            for s in known:
+                got = secret_scan.spans(f"x {before}{s}{after} y", automata)
+                assert (name, 2 + len(before), 2 + len(before) + len(s), False) in got, (name, before, after)
+    rng = random.Random(8)
+    letters = ["sk_live_" + "".join(rng.choice(secret_scan._ALNUM[:52]) for _ in range(24)) for _ in range(40)]
+    assert sum(bool(secret_scan.spans(f"x {s} y", automata)) for s in letters) >= 36
+    two = f"{secret_scan.labelled('github', 1, seed=5)[0]}/{secret_scan.labelled('github', 2, seed=5)[1]}"
+    assert len(secret_scan.spans(two, automata)) == 2
+    for clean in ("A" * 400, "AAAA/" * 200, "x" * 5000, "some_long_name-with.many/parts=and_more_parts", "-" * 300, "ACGT" * 100):
+        assert secret_scan.spans(f"x {clean} y", automata) == []
+
+
 def test_secret_query_equals_brute_force(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     for r in queries.op8_secret_scan(spark, "/root/testdata/sf0.001").collect():
