@@ -4,7 +4,7 @@ Base spans of four kinds (email, ip, card, phone) follow fixed patterns and chec
 and always stay.  The field adds spans that the patterns miss, such as masked addresses
 (``name [at] host [dot] org``), phones without a plus and addresses with masked dots.
 
-Around digits, ``@`` and masked signs a window of tokens is cut out.  Every run of up to
+Around digits, ``@`` and masked signs and dots a window of ``LONGEST`` tokens on each side is cut out.  Every run of up to
 ``LONGEST`` tokens in it that starts and ends on a likely token is a candidate, scored
 per kind by features of the whole span (digit count, grouping, checksum, octets,
 separators, the word before).  A dynamic programme over token positions chooses
@@ -41,7 +41,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 LONGEST = 24
-_TRIGGER = re.compile(r"[0-9@]|[\[({]\x20?(?:[aA][tT]|@)\x20?[\])}]")
+_TRIGGER = re.compile(r"[0-9]+|@|[\[({]\x20?(?:[aA][tT]|@|[dD][oO][tT]|\.)\x20?[\])}]")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
 _HINTS = {"mail": "email", "email": "email", "contact": "email", "tel": "phone", "phone": "phone", "call": "phone", "fax": "phone", "mobile": "phone", "card": "card", "visa": "card", "pan": "card", "ip": "ip", "server": "ip", "address": "ip"}
 
@@ -93,6 +93,8 @@ def span_features(kind: str, words: list[str], span: str, before: str, after: st
     dot = bool(re.search(r"[\w)\]}]\s?(?:\.|[\[({]\s?(?:dot|\.)\s?[\])}])\s?[a-z]{2,}$", lower))
     out = [f"size {size}", f"seps {seps}", f"at {at} dot {dot} letters {min(letters, 5)}", f"shape {'-'.join(str(len(g)) for g in groups) if len(groups) < 6 else 'many'}"]
     out += [f"plus {span[0] == '+'} size {size}", f"letters {letters > 0}", f"glued {bool(before and before[-1].isalnum())}{bool(after and after[:1].isalnum())}", f"tail {after[:1] in '.-' and after[1:2].isalnum()}"]
+    out.append(f"words apart {bool(re.search(r'[^\W\d_]\s[^\W_]', span))}")
+    out.append(f"inside a name {bool(re.search(r'[^\W_][._%+-]$', before))} {span[0].isalpha()}")
     if len(d) >= 13:
         out.append(f"luhn {luhn(d)} {13 <= len(d) <= 19}")
     masked = re.sub(r"\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?", ".", lower)
@@ -119,7 +121,7 @@ class Window:
         self.segments: list[list[tuple[int, str, list[str]]]] = [[] for _ in range(len(words) + 1)]
         strong = [w[0] in "0123456789@" or (w.lower() in ("at", "@") and i and words[i - 1] in "[({") for i, w in enumerate(words)]
         for i, w in enumerate(words):
-            if not _starts(w) or (w[0].isalpha() and i and self.spans[i - 1][1] == self.spans[i][0] and words[i - 1] in "._%+-"):
+            if not _starts(w) or not any(strong[i : i + LONGEST]):
                 continue
             hit, digits, signs = False, 0, 0
             for j in range(i, min(len(words), i + LONGEST)):
@@ -128,7 +130,7 @@ class Window:
                 hit |= strong[j]
                 digits += len(words[j]) if words[j][0] in "0123456789" else 0
                 signs += words[j] == "@" or words[j].lower() == "at"
-                if signs > 1 or digits > 40 or (w[0].isalpha() and j > i + 3 and not signs):
+                if signs > 1 or digits > 40:
                     break
                 last = words[j][0]
                 if not hit or not (last in "0123456789" or last.isalpha()) or (not signs and (digits < 4 or last.isalpha())):
@@ -201,7 +203,9 @@ def examples(n: int, seed: int = 3) -> list[tuple[str, set[tuple[str, int, int]]
     def email() -> str:
         o, c = r.choice(["[]", "()", "{}"])
         at, dot = r.choice([("@", "."), (f" {o}at{c} ", f" {o}dot{c} "), (f"{o}at{c}", "."), (f" {o}at{c} ", ".")])
-        return f"{word()}{r.choice(['', '.' + word(), num(2)])}{at}{word()}{dot}{r.choice(['com', 'org', 'net', 'de'])}"
+        local = r.choice(["", "." + word(), num(2), f".{word()}.{word()}", f"_{word()}{num(2)}", f"-{word()}_{word()}"])
+        host = r.choice([word(), word(), f"{word()}-{word()}", f"{word()}{word()}{word()}{word()}{word()}", f"{word()}{dot}{word()}"])
+        return f"{word()}{local}{at}{host}{dot}{r.choice(['com', 'org', 'net', 'de'])}"
 
     def phone() -> str:
         return r.choice([f"+{num(1)} ({num(3)}) {num(3)}-{num(4)}", f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"{num(3)}.{num(3)}.{num(4)}", f"+{num(2)} {num(3)} {num(4)} {num(3)}"])
@@ -247,24 +251,53 @@ def fit(n: int = 700, epochs: int = 6) -> dict[str, float]:
     return dict(w)
 
 
-def windows(text: str, near: int = 32) -> Iterator[Window]:
-    """Pieces of text around triggers that stand within ``2 * near`` of each other, cut at blanks."""
+def _ahead(text: str, end: int) -> int:
+    """Where the ``LONGEST`` tokens after ``end`` end; a run doesn't go on behind a wider gap."""
+    for n, m in enumerate(_TOKEN.finditer(text, end)):
+        if n == LONGEST or m.start() - end > 1:
+            break
+        end = m.end()
+    return end
+
+
+def _back(text: str, start: int, low: int) -> int:
+    """Where the ``LONGEST`` tokens before ``start`` start, ``low`` at least."""
+    size = 256
+    while True:
+        a = max(low, start - size)
+        tokens = [m.span() for m in _TOKEN.finditer(text, a, start)]
+        at, n = start, 0
+        for x, y in reversed(tokens):
+            if n == LONGEST or at - y > 1:
+                return at
+            if x > a or a == low:
+                at, n = x, n + 1
+        if a == low:
+            return at
+        size *= 4
+
+
+def windows(text: str, near: int = 64) -> Iterator[Window]:
+    """Pieces of text that hold every run of ``LONGEST`` tokens with a trigger; those that touch are one."""
     start = end = None
     for m in _TRIGGER.finditer(text):
-        if end is not None and m.start() - end > 2 * near:
-            yield _window(text, start, end, near)
-            start = None
-        start, end = m.start() if start is None else start, m.end()
+        if end is None:
+            start = _back(text, m.start(), 0)
+        elif m.start() - end > near:
+            a, b = _back(text, m.start(), end), _ahead(text, end)
+            if a > b + 1:
+                yield _window(text, start, b)
+                start = a
+        end = m.end()
     if end is not None:
-        yield _window(text, start, end, near)
+        yield _window(text, start, _ahead(text, end))
 
 
-def _window(text: str, start: int, end: int, near: int) -> Window:
-    a, b = max(0, start - near), min(len(text), end + near)
-    while a > 0 and a > start - 2 * near and not text[a - 1].isspace():
+def _window(text: str, start: int, end: int) -> Window:
+    """The piece with what the features see before and after it."""
+    a, b = start, min(len(text), end + 2)
+    while a > 0 and a > start - 24 and (a > start - 12 or not text[a].isspace()):
         a -= 1
-    while b < len(text) and b < end + 2 * near and not text[b].isspace():
-        b += 1
     return Window(text[a:b], a)
 
 

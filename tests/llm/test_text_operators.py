@@ -190,6 +190,25 @@ def test_field_adds_masked_data_and_keeps_base(weights):
     assert len(pii.spans("".join(random.choice("0123456789 .") for _ in range(100_000)), weights)) >= 0
 
 
+LONG = ["mary.ann.smith [at] host [dot] org", "john_doe42 [at] host [dot] org", "mary.ann.smith@host [dot] com", "joe [at] averyveryverylonghostnameofalarge [dot] edu", "anna (at) " + "department" * 6 + " (dot) org", "joe.b.smith-lee [at] mail.some-institute [dot] com"]
+
+
+def test_field_finds_long_names_and_domains(weights):
+    for address in LONG:
+        for before, after in [("please write to ", " for more"), ("", ""), ("mail: ", ", thanks for it")]:
+            text = before + address + after
+            got = [(k, text[a:b]) for k, a, b, o in pii.spans(text, weights) if not o]
+            assert got == [("email", address)], text
+
+
+def test_every_run_is_a_candidate():
+    words = ["a." * 7 + "b [at] host.c.d", "plain words " * 30 + LONG[0] + " and more" * 30, "x" * 300 + "_y [at] " + "z" * 300 + " [dot] org", "中文。" * 200 + LONG[1]]
+    for text in words:
+        address = re.search(r"[a-z0-9._]+ \[at\] [a-z.]+(?: \[dot\] org)?", text).span()
+        found = {(w.base + w.spans[s][0], w.base + w.spans[end - 1][1]) for w in pii.windows(text) for end, segments in enumerate(w.segments) for s, *_ in segments}
+        assert address in found, text[:60]
+
+
 def test_pii_query_equals_brute_force(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     for r in queries.op6_pii(spark, "/root/testdata/sf0.001").collect():
