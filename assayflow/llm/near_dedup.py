@@ -11,7 +11,9 @@ similarity, sketches of parts merge by their maxima.
 2. Bands of ``ROWS`` registers are bucketed.  Members of a bucket are first compared with its
    smallest id.  Then small buckets are compared whole, and in larger ones those outside the largest
    component with random members of that one, and at last the few that are still outside with all
-   members of other components, block by block.  Members already known to be connected need no comparison.  No pair is dropped and no bucket is gathered.
+   members of other components, block by block.  Members already known to be connected need no comparison.  No pair is dropped and no bucket is gathered
+   or sorted in a task: what is known of a bucket comes from partial aggregates and is joined back by a broadcast
+   of all buckets, or of the large ones where there are too many.
 3. A pair goes on when the joint likelihood of its registers at the threshold is
    within ``SIGMAS`` standard deviations of the best one.
 4. Its full shingle sets, built anew from whole texts, confirm or refute the link exactly.
@@ -19,9 +21,11 @@ similarity, sketches of parts merge by their maxima.
 With 32 bands of 4 registers a pair at similarity 0.75 shares no bucket with a
 probability of 5e-6.
 
-Edge cases: null and empty texts have an empty set and link with nothing; a
+Edge cases: ids are integers below 2^62; null and empty texts have an empty set and link with nothing; a
 null doc_id gets component null and is kept; rows that share a doc_id count as
-one document and share a component; an empty table gives no rows; other columns don't matter.
+one document and share a component, whatever their texts, so that these link each other's groups (rows without
+words stay by themselves); an empty table gives no rows; other columns don't matter.  A text is held whole by a Python worker, very long ones fewer
+at a time (``BYTES``).
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, connected_components, python_batches, sized
+from .common import broadcast_if_small, checkpointed, connected_components, join_by_key, python_batches, release, sized
 
 WIDTH, THRESHOLD_PERCENT = 5, 75
 REGISTERS, ROWS = 128, 4
@@ -42,10 +46,14 @@ BASE, RATE, LAST = 1.02, 20.0, (1 << 12) - 1
 SIGMAS = 5.0
 #: Ids up to which the documents to compare are filtered by a broadcast; beyond it by a shuffle join.
 BROADCAST_IDS = 1_000_000
-#: Texts that a Python worker holds at a time.
-TEXTS = 400
+#: Texts that a Python worker holds at a time, and about how many bytes of them.
+TEXTS, BYTES = 400, 64 << 20
 #: Members of a small bucket, random pivots of a larger one, members of a block compared at a time; none limits the pairs.
 SMALL, PIVOTS, BLOCK = 32, 4, 1000
+#: Shingles of a block's members, about, which bounds its bytes.
+BLOCK_SHINGLES = 2_000_000
+#: Ids from here on stand for the further texts of a repeated id.
+SURROGATE = 1 << 62
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -143,7 +151,7 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             regs = sketch(sets)
             yield pd.DataFrame(
                 {
-                    "id": batch["id"].array, "k1": [k[0] for k in keys], "k2": [k[1] for k in keys],
+                    "id": batch["id"].array, "th": batch["th"].array, "k1": [k[0] for k in keys], "k2": [k[1] for k in keys],
                     "n": np.array([len(s) for s in sets], dtype=np.int64), "regs": [r.tobytes() for r in regs], "bands": list(band_keys(regs)),
                 }
             )
@@ -217,15 +225,23 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class _Search:
     """The state of one run: sketches of classes, links found, labels of components, refuted pairs."""
 
-    def __init__(self, nodes: DataFrame, texts: DataFrame, kind: str):
-        self.nodes, self.texts, self.kind = nodes, texts, kind
+    def __init__(self, nodes: DataFrame, texts: DataFrame, longest: int):
+        self.nodes, self.texts, self.longest = nodes, texts, longest
         self.labels: DataFrame | None = None
         self.refuted: DataFrame | None = None
 
     def among(self, frame: DataFrame, ids: DataFrame, per: int = 20_000) -> DataFrame:
-        """Rows of ``frame`` with one of the ``ids``, by a broadcast if these are few; materialised."""
+        """Rows of ``frame`` with one of the ``ids``, by a broadcast if these are few; materialised.
+
+        The scan keeps its tasks; only the reading of the materialised rows is merged into fewer.
+        """
         n = ids.count()
-        return checkpointed(sized(frame.join(broadcast_if_small(ids, n, BROADCAST_IDS), "id", "left_semi"), n, per))
+        self.found = checkpointed(frame.join(broadcast_if_small(ids, n, BROADCAST_IDS), "id", "left_semi"))
+        return sized(self.found, n, per)
+
+    def batch(self) -> int:
+        """Rows of two texts that go to Python at a time."""
+        return max(1, min(TEXTS, BYTES // (16 * max(1, self.longest))))
 
     def _ends(self, pairs: DataFrame, rows: int) -> DataFrame:
         ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -245,7 +261,7 @@ class _Search:
         side = self.among(self.nodes.select("id", "n", "regs"), self._ends(pairs, n))
         joined = sized(pairs.join(side.toDF("a", "na", "ra"), "a"), n, 20_000).join(side.toDF("b", "nb", "rb"), "b")
         fits = joined.where(F.lit(100) * F.least("na", "nb") >= F.lit(THRESHOLD_PERCENT) * F.greatest("na", "nb"))
-        return sized(fits, n, 20_000).mapInPandas(_estimate, f"a {self.kind}, b {self.kind}, score double")
+        return sized(fits, n, 20_000).mapInPandas(_estimate, "a bigint, b bigint, score double")
 
     def settle(self, likely: DataFrame, best_first: bool) -> None:
         """Confirm or refute pairs on full sets.  ``best_first`` tries the best partner of each class
@@ -271,8 +287,9 @@ class _Search:
             return
         texts = self.among(self.texts, self._ends(pairs, n), TEXTS)
         both = sized(pairs.join(texts.toDF("b", "tb"), "b"), n, 10 * TEXTS).join(texts.toDF("a", "ta"), "a")
-        with python_batches(pairs.sparkSession, TEXTS):
-            checked = checkpointed(sized(both, n, 10 * TEXTS).mapInPandas(_confirm, f"a {self.kind}, b {self.kind}, linked boolean"))
+        with python_batches(pairs.sparkSession, self.batch()):
+            checked = checkpointed(sized(both, n, 10 * TEXTS).mapInPandas(_confirm, "a bigint, b bigint, linked boolean"))
+        release(self.found)
         failed = sized(checked.where("not linked").select("a", "b"), n)
         self.refuted = failed if self.refuted is None else self.refuted.unionByName(failed)
         self.link(sized(checked.where("linked").select("a", "b"), n))
@@ -282,24 +299,28 @@ class _Search:
             links = links.unionByName(self.labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
         self.labels = connected_components(links)
 
-    def open_slots(self, slots: DataFrame, rows: int | None = None) -> tuple[DataFrame, int]:
+    def open_slots(self, slots: DataFrame, rows: int) -> tuple[DataFrame, int]:
         """``h, id, label, size``: slots of the buckets that hold more than one component, and their number."""
-        fit = (lambda df: sized(df, rows)) if rows is not None else (lambda df: df)
-        named = fit(self.relabel(slots.select("h", "id")))
-        split = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("h", "size")
-        found = checkpointed(fit(named.join(fit(split), "h")))
+        named = sized(self.relabel(slots.select("h", "id")), rows)
+        split = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+        split = split.select("h", "size", F.col("size").alias("n"))
+        found = checkpointed(sized(join_by_key(named, sized(split, rows), "h", "n", rows), rows))
         n = found.count()
         return sized(found, n), n
 
 
-def _by_smallest(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _by_smallest(slots: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of each bucket's smallest id with the other members, and the slots of these."""
-    rest = slots.join(slots.groupBy("h").agg(F.min("id").alias("p")), "h").where("id > p")
+    least = slots.groupBy("h").agg(F.min("id").alias("p"), F.count(F.lit(1)).alias("n"))
+    rest = join_by_key(slots, least, "h", "n", rows).where("id > p")
     return rest.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct(), rest
 
 
-def _with_mode(slots: DataFrame) -> DataFrame:
-    return slots.join(slots.groupBy("h").agg(F.mode("label", True).alias("mode")), "h")
+def _with_mode(slots: DataFrame, rows: int) -> DataFrame:
+    """Slots with the label that most members of their bucket have, the smallest of these."""
+    labels = slots.groupBy("h", "label").agg(F.count(F.lit(1)).alias("k"))
+    modes = labels.groupBy("h").agg(F.max_by("label", F.struct("k", -F.col("label"))).alias("mode"), F.sum("k").alias("n"))
+    return join_by_key(slots, modes, "h", "n", rows)
 
 
 def _in_small(slots: DataFrame) -> DataFrame:
@@ -309,62 +330,91 @@ def _in_small(slots: DataFrame) -> DataFrame:
     return members.select(F.explode(F.expr(pairs)).alias("p")).select("p.*")
 
 
-def _by_random_pivots(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of ``PIVOTS`` random members of a large bucket's largest component with the members
+def _by_random_pivots(slots: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of up to ``PIVOTS`` random members of a large bucket's largest component with the members
     outside it, and the slots without these pivots, which are settled."""
-    moded = _with_mode(slots.where(F.col("size") > SMALL)).withColumn("inside", F.col("label") == F.col("mode"))
-    rank = F.row_number().over(Window.partitionBy("h", "inside").orderBy(F.xxhash64("id"), "id"))
-    ranked = checkpointed(moded.withColumn("pivot", F.col("inside") & (rank <= PIVOTS)))
-    heads = ranked.where("pivot").groupBy("h").agg(F.collect_list("id").alias("p"))
-    rivals = ranked.where("not inside").join(heads, "h").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
+    moded = checkpointed(_with_mode(slots.where(F.col("size") > SMALL), rows).withColumn("inside", F.col("label") == F.col("mode")))
+    pick = lambda k: F.min_by("id", F.struct(F.xxhash64("id", F.lit(k)), "id"))
+    heads = moded.where("inside").groupBy("h").agg(F.array_distinct(F.array(*map(pick, range(PIVOTS)))).alias("p"), F.count(F.lit(1)).alias("n"))
+    headed = join_by_key(moded, heads, "h", "n", rows)
+    rivals = headed.where("not inside").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("p"))).alias("p"))
     pairs = rivals.select("id", F.explode("p").alias("p")).select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-    return pairs, ranked.where("not pivot")
+    return pairs, headed.where(~F.col("inside") | ~F.array_contains("p", F.col("id")))
 
 
-def _by_blocks(slots: DataFrame, nodes: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+def _by_blocks(slots: DataFrame, rows: int, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of all members outside a bucket's largest component with all members of other components, in blocks."""
     full = nodes.join(texts, "id")
-    moded = _with_mode(slots).withColumn("outlier", F.col("label") != F.col("mode")).select("h", "id", "label", "outlier")
-    plan = moded.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("outlier") / BLOCK).cast("int").alias("guests"))
-    planned, salt = moded.join(plan, "h"), F.xxhash64("id", F.lit(5))
+    moded = _with_mode(slots, rows).withColumn("outlier", F.col("label") != F.col("mode")).join(nodes.select("id", "n"), "id")
+    moded = checkpointed(moded.select("h", "id", "label", "outlier", "n"))
+    blocks = lambda own, n: F.greatest(F.ceil(F.count_if(own) / BLOCK), F.ceil(F.sum(F.when(own, n)) / BLOCK_SHINGLES)).cast("int")
+    plan = moded.groupBy("h").agg(blocks(F.lit(True), F.col("n")).alias("blocks"), blocks(F.col("outlier"), F.col("n")).alias("guests"), F.count(F.lit(1)).alias("m"))
+    planned, salt = join_by_key(moded.drop("n"), plan, "h", "m", rows), F.xxhash64("id", F.lit(5))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = planned.withColumns({"block": F.pmod(salt, F.col("blocks")).cast("int"), "guest": spread("guests"), "outlier": F.lit(False)})
     outliers = planned.where("outlier").withColumns({"guest": F.pmod(salt, F.col("guests")).cast("int"), "block": spread("blocks")})
     columns = ["h", "block", "guest", "outlier", "id", "label"]
-    rows = members.select(*columns).unionByName(outliers.select(*columns)).join(full, "id")
-    return rows.groupBy("h", "block", "guest").applyInPandas(_compare_block, f"a {kind}, b {kind}")
+    cast = [F.col(c).cast("int") if c in ("block", "guest") else F.col(c) for c in columns]
+    both = members.select(*cast).unionByName(outliers.select(*cast)).join(full, "id")
+    return both.groupBy("h", "block", "guest").applyInPandas(_compare_block, "a bigint, b bigint")
+
+
+def _one_text_each(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Rows and texts with a surrogate id for every further text of an id, and the links between these ids and their own.
+
+    Without repeated ids, both come back as they are.
+    """
+    of = F.struct("k1", "k2")
+    own = rows.where("id is not null and n > 0").groupBy("id").agg(F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo <> hi")
+    own = checkpointed(own.select("id", "lo"))
+    n = own.count()
+    if not n:
+        return rows, texts, None
+    joined = rows.join(broadcast_if_small(own, n, BROADCAST_IDS), "id", "left")
+    other = F.lit(SURROGATE) + F.xxhash64("id", "k1", "k2").bitwiseAND(F.lit(SURROGATE - 1))
+    named = checkpointed(joined.withColumn("node", F.when(F.col("lo").isNull() | (of == F.col("lo")) | (F.col("n") == 0), F.col("id")).otherwise(other)).drop("lo"))
+    moved = checkpointed(named.where("node <> id").select("id", "th", "node").distinct())
+    m = moved.count()
+    renamed = texts.join(broadcast_if_small(moved, m, BROADCAST_IDS), ["id", "th"], "left").select(F.coalesce("node", "id").alias("id"), "th", "text")
+    return named.withColumns({"doc": F.col("id"), "id": F.col("node")}).drop("node"), renamed, moved.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     kind = dict(docs.dtypes)[id_col]
     with python_batches(docs.sparkSession, TEXTS):
-        rows = checkpointed(texts.mapInPandas(_sketches, f"id {kind}, k1 bigint, k2 bigint, n bigint, regs binary, bands array<bigint>"))
+        rows = checkpointed(texts.mapInPandas(_sketches, "id bigint, th bigint, k1 bigint, k2 bigint, n bigint, regs binary, bands array<bigint>"))
+    rows, texts, same = _one_text_each(rows.withColumn("doc", F.col("id")), texts)
     live = rows.where("id is not null and n > 0")
-    classes = live.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    nodes = checkpointed(
-        live.groupBy("k1", "k2").agg(F.min_by(F.struct("n", "regs", "bands"), "id").alias("s"), F.min("id").alias("id")).select("id", "s.*")
-    )
-    search = _Search(nodes, texts.where("text is not null"), kind)
-    slots, n = search.open_slots(nodes.select("id", F.explode("bands").alias("h")))
+    of_class = live.groupBy("k1", "k2").agg(F.min_by(F.struct("n", "regs", "bands"), "id").alias("s"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    nodes = checkpointed(of_class.select("id", "s.*", "k1", "k2", "copies"))
+    classes = nodes.select("k1", "k2", "copies", F.col("id").alias("rep"))
+    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("n").alias("longest"), F.sum("copies").alias("rows")).first()
+    nodes = nodes.select("id", "n", "regs", "bands")
+    search = _Search(nodes, texts.where("text is not null").drop("th"), size["longest"] or 0)
+    slots, n = search.open_slots(nodes.select("id", F.explode("bands").alias("h")), size["n"] * (REGISTERS // ROWS))
     if n:
-        pairs, slots = _by_smallest(slots)
+        pairs, slots = _by_smallest(slots, n)
         search.settle(search.likely(sized(pairs, n)), best_first=False)
         slots, n = search.open_slots(sized(slots, n), n)
     if n:
-        pairs, rest = _by_random_pivots(slots)
+        pairs, rest = _by_random_pivots(slots, n)
         search.settle(search.likely(sized(_in_small(slots).unionByName(pairs).distinct(), n)), best_first=True)
         slots, n = search.open_slots(sized(rest, n), n)
     if n:
         ids = checkpointed(sized(slots.select("id").distinct(), n))
-        search.link(_by_blocks(slots, search.among(nodes, ids), search.among(search.texts, ids), kind))
-    out = rows.join(classes, ["k1", "k2"], "left")
-    found = out.withColumn("rep", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("rep")))
+        search.link(_by_blocks(slots, n, search.among(nodes, ids), search.among(search.texts, ids)))
+    if same is not None:
+        # Both ends of these links are rows' ids; links go between representatives.
+        ends = classes.join(live.select("id", "k1", "k2").distinct(), ["k1", "k2"]).select("id", "rep")
+        first, second = ends.toDF("a", "ra"), ends.toDF("b", "rb")
+        search.link(same.join(first, "a").join(second, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     if search.labels is not None:
-        found = found.join(search.labels.toDF("rep", "label"), "rep", "left").withColumn("rep", F.coalesce("label", "rep"))
-    component = F.coalesce("rep", "id")
-    return found.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        classes = classes.join(search.labels.toDF("rep", "label"), "rep", "left").withColumn("rep", F.coalesce("label", "rep")).drop("label")
+    linked = join_by_key(live, classes, ["k1", "k2"], "copies", size["rows"] or 0).select("doc", "n", F.col("rep").alias("component"))
+    alone = rows.where("id is null or n = 0").select("doc", "n", F.col("doc").alias("component"))
+    return linked.unionByName(alone).select(
+        F.col("doc").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"),
+        F.coalesce(F.col("doc") == F.col("component"), F.lit(True)).alias("kept"),
     )
