@@ -47,13 +47,15 @@ class Encoder:
 
     A byte-level tokenizer encodes the words of its pre-tokenisation one by one.  Latin texts
     are split here, and each distinct word is encoded by the tokenizer once and then looked up;
-    any other text is given to the tokenizer whole.  Both give the same ids.
+    any other text, and one that holds the string of an added token, is given to the tokenizer whole.  Both
+    give the ids of the tokenizer's plain call.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)")
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
@@ -79,7 +81,7 @@ class Encoder:
         yield from zip(rest, self._encoded(rest) if rest else [], strict=True)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        latin = [bool(LATIN.fullmatch(t)) for t in texts]
+        latin = [bool(LATIN.fullmatch(t)) and not self.added.search(t) for t in texts]
         words = [LATIN_WORDS.findall(t) for t, ok in zip(texts, latin, strict=True) if ok]
         known = self.known
         new = list(set().union(*words) - known.keys())
