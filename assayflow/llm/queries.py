@@ -20,7 +20,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     lined = checkpointed(pages.select("page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("text")))
-    return line_dedup.drop_boilerplate(lined, F.col("host")).select("page_id", "host", "__lines.n_lines", "__lines.n_dropped", "text")
+    return line_dedup.drop_boilerplate(lined, F.col("host")).select("page_id", "host", "lines.n_lines", "lines.n_dropped", "text")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +131,14 @@ OP9_SQL = r"""
 WITH words AS (
   SELECT 0 AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
   UNION ALL SELECT 1, item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark WHERE text IS NOT NULL),
-s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, CAST(len(w) - 3 AS BIGINT)), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM words WHERE len(w) >= 5),
+widths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 1 AND len(w) > 0),
+runs AS (
+  SELECT kind, id, w, least(len(w), 5) AS k FROM words WHERE kind = 1 AND len(w) > 0
+  UNION ALL SELECT kind, id, w, k FROM words CROSS JOIN widths WHERE kind = 0 AND len(w) >= k),
+s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, CAST(len(w) - k + 2 AS BIGINT)), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM runs),
 n AS (SELECT id, count(*) AS n_item FROM s WHERE kind = 1 GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, n.n_item AS n_item, count(*) AS n_shared
-FROM s d JOIN s b ON d.g = b.g AND d.kind = 0 AND b.kind = 1 JOIN n ON n.id = b.id
+FROM s d JOIN s b ON d.g = b.g AND d.kind = 0 AND b.kind = 1 JOIN n ON n.id IS NOT DISTINCT FROM b.id
 GROUP BY d.id, b.id, n.n_item HAVING count(*) >= 0.75 * n.n_item
 """
 
