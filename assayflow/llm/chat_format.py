@@ -4,9 +4,13 @@ A conversation's turns run through a finite-state machine over roles, which
 tells whether their order is valid, and come out as text segments with a loss flag each,
 both by a declarative ``Template``.  Built-in functions only.
 
-Markers are ``<turn ROLE>`` and ``</turn>``.  In texts and roles ``&``, ``<`` and ``>`` are
-escaped, so no text can hold a marker, whatever it says, and ``parse`` gives
-back every text exactly.
+A template's markers are the text before a role, after it and after a turn's text.  In texts and roles the first
+character of each marker is escaped, and ``&``, which starts the escapes; so no marker can begin in a text, whatever it says, and
+``parse`` gives back every text exactly.  Escapes consist of ``&``, letters, digits and ``;``; a template with a marker that begins with one of
+these, or that is empty, is refused.
+
+A conversation is one output row, so all its turns meet in one task, and all rows without a conv_id do; their size is the
+size of that row.
 
 Edge cases: a null text or role is an empty one; null turns come first; rows of
 one turn number are ordered by role and text, and repeated rows are repeated
@@ -17,13 +21,14 @@ columns are not carried along.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Escapes, in the order in which they are applied.
-ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
+# Names of characters in escapes; others have their code point.
+NAMES = {"&": "&amp;", "<": "&lt;", ">": "&gt;"}
 
 
 @dataclass(frozen=True)
@@ -43,15 +48,33 @@ class Template:
         }
     )
 
+    def __post_init__(self):
+        if self.opening.count("{role}") != 1:
+            raise ValueError("the opening marker needs {role} once")
+        for marker in self.markers:
+            if not marker or marker[0] in "&;" or marker[0].isalnum():
+                raise ValueError(f"a marker can't be empty or begin with a letter, digit, & or ;: {marker!r}")
+
+    @property
+    def markers(self) -> tuple[str, str, str]:
+        """What stands before a role, after it, and after a turn's text."""
+        return (*self.opening.split("{role}"), self.closing)
+
+    @property
+    def escapes(self) -> list[tuple[str, str]]:
+        """Characters and their escapes, in the order in which they are applied."""
+        first = sorted({m[0] for m in self.markers})
+        return [(c, NAMES.get(c, f"&u{ord(c):x};")) for c in ("&", *first)]
 
-def escaped(text: Column) -> Column:
-    for char, name in ESCAPES:
+
+def escaped(text: Column, template: Template) -> Column:
+    for char, name in template.escapes:
         text = F.replace(text, F.lit(char), F.lit(name))
     return text
 
 
-def unescaped(text: Column) -> Column:
-    for char, name in reversed(ESCAPES):
+def unescaped(text: Column, template: Template) -> Column:
+    for char, name in reversed(template.escapes):
         text = F.replace(text, F.lit(name), F.lit(char))
     return text
 
@@ -65,7 +88,7 @@ def _final_state(roles: Column, t: Template) -> Column:
 def format_conversations(turns: DataFrame, template: Template | None = None) -> DataFrame:
     """``conv_id, valid, segments array<struct<text, loss>>, formatted`` for each conversation."""
     t = template or Template()
-    before, after = t.opening.split("{role}")
+    before, after, closing = t.markers
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns"))
 
@@ -76,9 +99,9 @@ def format_conversations(turns: DataFrame, template: Template | None = None) ->
         F.transform(
             "turns",
             lambda x: F.array(
-                segment(F.concat(F.lit(before), escaped(x["role"]), F.lit(after)), F.lit(False)),
-                segment(escaped(x["text"]), x["role"].isin(*t.loss_roles)),
-                segment(F.lit(t.closing), F.lit(False)),
+                segment(F.concat(F.lit(before), escaped(x["role"], t), F.lit(after)), F.lit(False)),
+                segment(escaped(x["text"], t), x["role"].isin(*t.loss_roles)),
+                segment(F.lit(closing), F.lit(False)),
             ),
         )
     )
@@ -91,18 +114,14 @@ def format_conversations(turns: DataFrame, template: Template | None = None) ->
 def parse(formatted: Column, template: Template | None = None) -> Column:
     """Turns ``array<struct<role, text>>`` read back from a formatted conversation."""
     t = template or Template()
-    before, after = t.opening.split("{role}")
-    parts = F.filter(F.split(formatted, t.closing), lambda p: p != "")
-
-    def turn(part: Column) -> Column:
-        body = F.substring(part, F.lit(len(before) + 1), F.length(part))
-        role = F.substring_index(body, after, 1)
-        text = F.substring(body, F.length(role) + len(after) + 1, F.length(body))
-        return F.struct(unescaped(role).alias("role"), unescaped(text).alias("text"))
-
-    return F.transform(parts, turn)
+    before, after, closing = (re.sub(r"([^A-Za-z0-9])", r"\\\1", m) for m in t.markers)
+    # Neither a role nor a text holds the first character of a marker, so each ends where the next marker begins.
+    free = "[^" + "".join(sorted({rf"\x{{{ord(m[0]):x}}}" for m in t.markers})) + "]*"
+    part = lambda group: F.regexp_extract_all(formatted, F.lit(f"{before}({free}){after}({free}){closing}"), F.lit(group))
+    return F.zip_with(part(1), part(2), lambda role, text: F.struct(unescaped(role, t).alias("role"), unescaped(text, t).alias("text")))
 
 
-def loss_text(segments: Column) -> Column:
+def loss_text(segments: Column, template: Template | None = None) -> Column:
     """All text under the loss mask, unescaped."""
-    return unescaped(F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: s["text"]), ""))
+    joined = F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: s["text"]), "")
+    return unescaped(joined, template or Template())
