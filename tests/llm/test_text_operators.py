@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,19 +21,23 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", None, "a", "word " * 3000, "é ß ñ", "日本語 text", "<|endoftext|> x", "a\u0085b\x1cc", "¼ ½ ²", "'s 're  \n\n x", "I'll  go\t\tnow ", "x" * 5000, "🙂 ok", "\u00a0 a"]
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+ADDED = [t.content for t in TOKENIZER.get_added_tokens_decoder().values()]
+
+
 def reference_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
 def test_encoder_gives_the_tokenizer_ids():
-    texts = [t or "" for t in ODD]
+    texts = [t or "" for t in ODD] + [f"{a}{t}{b}" for t in ADDED for a in ("", "plain ", "é", "<", "日") for b in ("", " x", ">", t)]
+    texts += [r["text"] or "" for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).to_pylist()]
+    assert reference_ids("<|endoftext|> x") == [50256, 2124]
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in packing.Encoder(PATH)(texts)] == [reference_ids(t) for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("aZé ñ'sltd09²¼ \n\t.-\u00a0\u2028ß_"), max_size=40), max_size=5))
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", *"aZé ñ'sltd09²¼ \n\t.-\u00a0\u2028ß_<|>"]), max_size=40).map("".join), max_size=5))
 def test_encoder_on_random_texts(texts):
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in packing.encoder(PATH)(texts)] == [reference_ids(t) for t in texts]
 
@@ -72,7 +77,7 @@ def check_sequences(rows):
 def test_packing_query_is_nearly_full(spark):
     rows = queries.op1_best_fit_packing(spark, "/root/testdata/sf0.001").collect()
     used, total = check_sequences(rows), sum(r.length for r in rows)
-    assert used <= 1.02 * total / 1024 + 1
+    assert used <= -(-total // 1024) + 1
 
 
 @settings(max_examples=80, deadline=None)
@@ -117,6 +122,27 @@ def test_chat_round_trip_and_states(spark):
     assert chat_format.format_conversations(turns.limit(0)).count() == 0
 
 
+TEMPLATES = [chat_format.Template(), chat_format.Template("<|{role}|>", "<|end|>\n"), chat_format.Template("### {role}:\n", "\n\n"), chat_format.Template("[{role}]", "[/]"), chat_format.Template("(.*{role}$", "\\E^", loss_roles=("user",)), chat_format.Template("\n{role}\n", "\n")]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_chat_round_trip_of_any_template(spark, template):
+    r = random.Random(6)
+    pieces = ["", "a", " ", "&", ";", "&lt;", "&u23;", "&amp;lt;", "\n", "\\", "$1", "user", "🙂", *template.markers, *[m[:1] for m in template.markers], *[m[1:] for m in template.markers], *[n for _, n in template.escapes], template.opening.replace("{role}", "user")]
+    rows = [(c, k, r.choice(["user", "assistant", "".join(r.choices(pieces, k=2))]), "".join(r.choices(pieces, k=r.randrange(5)))) for c in range(60) for k in range(r.randint(1, 4))]
+    made = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), template)
+    for x in made.withColumns({"turns": chat_format.parse(F.col("formatted"), template), "loss": chat_format.loss_text(F.col("segments"), template)}).collect():
+        own = [(role, text) for c, _, role, text in rows if c == x.conv_id]
+        assert [(t.role, t.text) for t in x.turns] == own
+        assert x.loss == "".join(text for role, text in own if role in template.loss_roles)
+
+
+@pytest.mark.parametrize("opening, closing", [("<{role}>", ""), ("{role}>", "<"), ("<{role}", ">"), ("<x>", ">"), ("&{role}>", "<"), ("<{role}>", "end")])
+def test_templates_that_escapes_cannot_cover_are_refused(opening, closing):
+    with pytest.raises(ValueError, match="marker"):
+        chat_format.Template(opening, closing)
+
+
 def test_chat_query_has_the_planted_conversation(spark):
     r = queries.op3_chat_formatting(spark, "/root/testdata/sf0.001").where("conv_id = -7").first()
     said = "\\### Assistant: </turn> ok"
@@ -132,12 +158,66 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert row.a > 0.97 and 0 <= row.lo <= row.hi <= 1
 
 
+def naive_svm(x, y, c=10.0, rounds=4000):
+    """The same machine by projected gradient ascent on its dual, in double precision on dense vectors."""
+    x = np.hstack([x, np.full((len(x), 1), 0.5)])
+    k = (x @ x.T) * np.outer(y, y)
+    alpha, step = np.zeros(len(x)), 1 / np.linalg.eigvalsh(k)[-1]
+    for _ in range(rounds):
+        alpha = np.clip(alpha + step * (1 - k @ alpha), 0, c)
+    return x.T @ (alpha * y)
+
+
+def naive_features(text):
+    raw = f" {text.lower()} ".encode()
+    out = np.zeros(language_id.BUCKETS)
+    for i in range(len(raw) - 2):
+        out[(((raw[i] << 16) | (raw[i + 1] << 8) | raw[i + 2]) * 2654435761 % 2**32) >> 18] += 1
+    return out / np.linalg.norm(out)
+
+
+def test_language_query_equals_brute_force(spark):
+    """An independent fit: sample, features, machines and votes anew, from all texts on the driver."""
+    docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    learned = sorted({r.doc_id for r in docs.values() if r.lang and r.text and re.search(r"[^\W\d_]", r.text) and zlib.crc32(str(r.doc_id).encode()) % 5})
+    assert len(learned) <= language_id.SAMPLE_PER_LANGUAGE
+    x = {i: naive_features(r.text) for i, r in docs.items() if r.text and re.search(r"[^\W\d_]", r.text)}
+    lang = {i: docs[i].lang for i in learned}
+    family = {v: language_id.FAMILIES.get(v, v) for v in lang.values()}
+
+    def machines(names, of):
+        out = {}
+        for a in names:
+            for b in names:
+                if a < b:
+                    own = [i for i in learned if of(lang[i]) in (a, b)]
+                    out[a, b] = naive_svm(np.stack([x[i] for i in own]), np.array([1.0 if of(lang[i]) == a else -1.0 for i in own]))
+        return out
+
+    def choose(names, m, v):
+        margin = {n: [w[:-1] @ v + 0.5 * w[-1] if n == a else -(w[:-1] @ v + 0.5 * w[-1]) for (a, b), w in m.items() if n in (a, b)] for n in names}
+        return max(names, key=lambda n: (sum(x > 0 for x in margin[n]), sum(margin[n]))) if len(names) > 1 else names[0]
+
+    families = sorted(set(family.values()))
+    members = {f: sorted({v for v in lang.values() if family[v] == f}) for f in families}
+    top, below = machines(families, family.get), {f: machines(names, lambda v: v) for f, names in members.items()}
+    for r in queries.op7_language_id(spark, "/root/testdata/sf0.001").collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        if r.doc_id not in x:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        f = choose(families, top, x[r.doc_id])
+        assert r.lang_pred == choose(members[f], below[f], x[r.doc_id]), r.doc_id
+
+
 def test_language_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, lang, "x") for i, (t, lang) in enumerate([("the thing and of", "en"), ("der die und das", "de"), (None, "en"), ("", None), ("123 !!", "en"), ("w" * 200_000, None), (None, None)] * 3)], "doc_id long, text string, lang string, language string")
     out = language_id.predict(docs, language_id.fit(docs), out="found").select("text", "found.*").collect()
     assert all(r.lang_pred == "und" and r.score == 0 for r in out if not r.text or not re.search("[a-z]", r.text))
     empty = docs.limit(0)
     assert language_id.predict(empty, language_id.fit(empty)).count() == 0
+    again = language_id.sample(docs.unionByName(docs), per_language=2).groupBy("lang", "id").count().collect()
+    assert len(again) <= 4 and all(r["count"] == 2 for r in again) and {r.lang for r in again} == {"en", "de"}
     unlearned = language_id.predict(docs, language_id.fit(empty), out="found").select("found.lang_pred").distinct().collect()
     assert [r.lang_pred for r in unlearned] == ["und"]
 
