@@ -3,28 +3,32 @@
 Base spans of three kinds (assign, access, hex) follow fixed patterns and always stay.
 For every labelled credential format a probabilistic automaton is inferred: its labelled strings
 form a prefix tree, whose states are merged, red-blue order, wherever a Hoeffding test finds their
-outgoing frequencies compatible.  Candidates are the substrings of a run of token characters that start
+outgoing frequencies compatible.  One more is inferred from ordinary names, words and numbers, the background.  Candidates are the substrings of a run of token characters that start
 with the run or after a separator in it, so that a credential is found behind ``KEY=``, in an address or in a path.
 One whose first places an automaton knows is scored by the mean log likelihood per symbol under it, up to each place where it can end: the
-end of the run, a separator, or a character that the format doesn't have.  The longest that reaches the format's own level, set on
-labelled strings kept out of the inference, becomes a span of that format; of spans that overlap the one furthest above its level stays.
+end of the run, a separator, or a character that the format doesn't have.  It is a credential of that format when its length is one that labelled strings
+have, its score reaches the format's own level, set on labelled strings kept out of the inference, and what follows the mark is likelier under
+the format than under the background.  The longest such end counts; of formats whose spans overlap the one furthest above its level does.
+Spans are added whether or not a base span covers them, as they name the format.
 
 Symbols are characters and their place at the start of a token, where formats have their marks, and
 character classes after it.  Labelled strings are generated from public formats
 with a fixed seed, so that the automata don't depend on the corpus.
 
 Edge cases: a null text is an empty one without spans; positions count code points;
-repeated rows get the same spans; long texts are read whole; other columns
-pass through.
+repeated rows get the same spans; long texts are read whole; an empty table gives no rows; a column named as
+``out`` is replaced, other columns pass through.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 import re
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,19 +39,26 @@ KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-# Publicly documented credential formats as (marks, alphabet, lengths).
+# Publicly documented credential formats, their marks and what follows: parts of an alphabet with lengths, and separators.
 _ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+_LETTERS, _DIGITS, _BASE64, _HEXITS = _ALNUM[:52], _ALNUM[52:], _ALNUM + "_-", "0123456789abcdef"
 FORMATS = {
-    "github": (("ghp_", "gho_", "ghs_"), _ALNUM, (36, 36)),
-    "slack": (("xoxb-", "xoxp-"), "0123456789-" + _ALNUM, (40, 56)),
-    "google": (("AIza",), _ALNUM + "_-", (35, 35)),
-    "stripe": (("sk_live_", "rk_live_"), _ALNUM, (24, 32)),
-    "jwt": (("eyJhbGciOi",), _ALNUM + "_-.", (80, 160)),
+    "github": (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), ((_ALNUM, 36, 36),)),
+    "gitlab": (("glpat-",), ((_BASE64, 20, 20),)),
+    "google": (("AIza",), ((_BASE64, 35, 35),)),
+    "huggingface": (("hf_",), ((_LETTERS, 34, 34),)),
+    "jwt": (("eyJhbGciOi",), ((_ALNUM, 10, 40), ".", (_BASE64, 30, 80), ".", (_BASE64, 43, 43))),
+    "npm": (("npm_",), ((_ALNUM, 36, 36),)),
+    "sendgrid": (("SG.",), ((_BASE64, 22, 22), ".", (_BASE64, 43, 43))),
+    "shopify": (("shpat_", "shpss_"), ((_HEXITS, 32, 32),)),
+    "slack": (("xoxb-", "xoxp-"), ((_DIGITS, 10, 13), "-", (_DIGITS, 10, 13), "-", (_ALNUM, 24, 24))),
+    "stripe": (("sk_live_", "rk_live_", "sk_test_"), ((_ALNUM, 24, 32),)),
 }
 PREFIX, FLOOR, ALPHA = 4, 1e-4, 0.5
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+#: Labelled strings of a format for the inference, and as many for its level.
+LABELLED = 120
+_TOKEN = r"[A-Za-z0-9+/_.=-]"
 _START = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9]")
-SHORTEST = 20
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -62,13 +73,9 @@ def _class(c: str) -> str:
     return "d" if c in "0123456789" else "U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else c
 
 
-#: Symbols that a format has after its mark.
-_BODY = {name: frozenset(map(_class, alphabet)) for name, (_, alphabet, _) in FORMATS.items()}
-
-
-def symbols(token: str) -> list[str]:
-    """Characters of the first ``PREFIX`` places with their place, then classes; marks are kept."""
-    return [f"{i}{c}" for i, c in enumerate(token[:PREFIX])] + [_class(c) for c in token[PREFIX:]]
+def symbols(token: str, prefix: int = PREFIX) -> list[str]:
+    """Characters of the first ``prefix`` places with their place, then classes; marks are kept."""
+    return [f"{i}{c}" for i, c in enumerate(token[:prefix])] + [_class(c) for c in token[prefix:]]
 
 
 class Automaton:
@@ -90,20 +97,20 @@ class Automaton:
             self.total[at] += 1
             self.end[at] += 1
         self._scale = math.sqrt(0.5 * math.log(2 / alpha))
-        red = [0]
+        self.states = [0]
         blue = sorted(set(self.next[0].values()))
         while blue:
             q = blue.pop(0)
-            match = next((p for p in red if self._compatible(p, q)), None)
+            match = next((p for p in self.states if self._compatible(p, q)), None)
             if match is None:
-                red.append(q)
+                self.states.append(q)
             else:
-                for p in red:
+                for p in self.states:
                     for c, to in self.next[p].items():
                         if to == q:
                             self.next[p][c] = match
                 self._fold(match, q)
-            blue = sorted({to for p in red for to in self.next[p].values()} - set(red))
+            blue = sorted({to for p in self.states for to in self.next[p].values()} - set(self.states))
 
     def _differ(self, a: int, n: int, b: int, m: int) -> bool:
         return abs(a / n - b / m) > self._scale * (1 / math.sqrt(n) + 1 / math.sqrt(m))
@@ -138,59 +145,106 @@ class Automaton:
                 else:
                     self.next[p][c] = self.next[q][c]
 
+    def step(self, at: int, c: str) -> tuple[float, int]:
+        """Log likelihood of a symbol in a state, and the state after it; an unseen symbol has a floor and leaves the state as it is."""
+        n = self.total[at]
+        return math.log(max(self.count[at].get(c, 0) / n if n else 0, FLOOR)), self.next[at].get(c, at)
+
+    def stop(self, at: int) -> float:
+        """Log likelihood of the end in a state."""
+        n = self.total[at]
+        return math.log(max(self.end[at] / n if n else 0, FLOOR))
+
     def score(self, s: list[str]) -> float:
-        """Mean log likelihood per symbol; an unseen symbol has a floor and leaves the state as it is."""
+        """Mean log likelihood per symbol, the end included."""
         at, total = 0, 0.0
         for c in s:
-            total += math.log(max(self.count[at].get(c, 0) / self.total[at] if self.total[at] else 0, FLOOR))
-            at = self.next[at].get(c, at)
-        return (total + math.log(max(self.end[at] / self.total[at] if self.total[at] else 0, FLOOR))) / (len(s) + 1)
+            x, at = self.step(at, c)
+            total += x
+        return (total + self.stop(at)) / (len(s) + 1)
 
-    def knows(self, start: str) -> bool:
-        """Whether a labelled string begins with the ``PREFIX`` characters ``start``."""
+    def knows(self, s: list[str]) -> bool:
+        """Whether a labelled string begins with the symbols ``s``."""
         at = 0
-        for c in symbols(start):
+        for c in s:
             if c not in self.next[at]:
                 return False
             at = self.next[at][c]
         return True
 
-    def longest(self, token: str, level: float, body: frozenset[str]) -> tuple[float, int] | None:
-        """Score above ``level`` and length of the longest start of ``token`` that reaches it and can end there."""
-        at, total, best = 0, 0.0, None
-        for i in range(len(token) + 1):
-            c = None if i == len(token) else f"{i}{token[i]}" if i < PREFIX else _class(token[i])
-            stop = c is None or (i >= PREFIX and c not in body and c not in self.next[at])
-            if i >= SHORTEST and token[i - 1] != "." and (stop or not token[i].isalnum()):
-                n = self.total[at]
-                score = (total + math.log(max(self.end[at] / n if n else 0, FLOOR))) / (i + 1)
-                best = (score - level, i) if score >= level else best
-            if stop:
-                return best
-            total += math.log(max(self.count[at].get(c, 0) / self.total[at] if self.total[at] else 0, FLOOR))
-            at = self.next[at].get(c, at)
-        return best
-
 
 def labelled(name: str, n: int, seed: int = 11) -> list[str]:
     r = random.Random(f"{seed} {name}")
-    marks, alphabet, (low, high) = FORMATS[name]
-    return [r.choice(marks) + "".join(r.choice(alphabet) for _ in range(r.randint(low, high))) for _ in range(n)]
+    marks, parts = FORMATS[name]
+    part = lambda p: p if isinstance(p, str) else "".join(r.choice(p[0]) for _ in range(r.randint(p[1], p[2])))
+    return [r.choice(marks) + "".join(map(part, parts)) for _ in range(n)]
+
+
+def ordinary(n: int, seed: int = 12) -> list[str]:
+    """Names, paths, numbers and placeholders of 12 to 60 characters, which no credential looks like."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("aeioubcdfghklmnprstvw") for _ in range(r.randint(2, 9)))
+    number = lambda: str(r.randint(0, 10 ** r.randint(1, 8)))
+    makers = [word, word, word, lambda: word().title(), lambda: word().upper(), number, lambda: r.choice("xX0a1*-") * r.randint(3, 12)]
+    out = []
+    while len(out) < n:
+        sep, make = r.choice(["_", "-", ".", "/", "", ""]), r.choice([makers[:3], makers[3:4], makers[4:5], makers[5:6], makers[6:], makers])
+        text = sep.join(r.choice(make)() for _ in range(r.randint(2, 8)))
+        if 12 <= len(text) <= 60:
+            out.append(text)
+    return out
 
 
-def fit(n: int = 120) -> dict[str, tuple[Automaton, float]]:
-    """For every format its automaton and the level that its own strings reach."""
-    out = {}
-    for name in FORMATS:
-        strings = [symbols(s) for s in labelled(name, 2 * n)]
-        automaton = Automaton(strings[:n])
-        scores = sorted(automaton.score(s) for s in strings[n:])
-        out[name] = (automaton, scores[0] - 0.1)
-    return out
+class Format(NamedTuple):
+    """What was learned of a format: automaton, level, lengths, symbols after the mark, and the places that the mark fixes."""
+
+    automaton: Automaton
+    level: float
+    shortest: int
+    longest: int
+    body: frozenset[str]
+    prefix: int
+
+    def match(self, token: str, background: Automaton) -> tuple[float, int] | None:
+        """Score above the level and length of the longest start of ``token`` that is a credential and can end there."""
+        at, total, other, ordinary_total, best = 0, 0.0, 0, 0.0, None
+        tail = 0.0
+        for i in range(min(len(token), self.longest) + 1):
+            c = None if i == len(token) else f"{i}{token[i]}" if i < self.prefix else _class(token[i])
+            stop = c is None or (i >= self.prefix and c not in self.body and c not in self.automaton.next[at])
+            if i >= self.shortest and token[i - 1] != "." and (stop or not token[i].isalnum()):
+                score = (total + self.automaton.stop(at)) / (i + 1)
+                if score >= self.level and tail > ordinary_total:
+                    best = (score - self.level, i)
+            if stop:
+                break
+            x, at = self.automaton.step(at, c)
+            total += x
+            if i >= self.prefix:
+                y, other = background.step(other, c)
+                tail, ordinary_total = tail + x, ordinary_total + y
+        return best
+
 
+class Scanner(NamedTuple):
+    formats: dict[str, Format]
+    background: Automaton
 
-def _formats(start: str, automata: dict[str, tuple[Automaton, float]]) -> list[str]:
-    return [name for name, (automaton, _) in automata.items() if automaton.knows(start)] if len(start) == PREFIX else []
+
+@functools.cache
+def fit(n: int = LABELLED) -> Scanner:
+    """For every format its automaton and the level that its own strings reach, and the background."""
+    out = {}
+    for name, (marks, parts) in FORMATS.items():
+        prefix, strings = min(PREFIX, *map(len, marks)), labelled(name, 2 * n)
+        automaton = Automaton([symbols(s, prefix) for s in strings[:n]])
+        level = min(automaton.score(symbols(s, prefix)) for s in strings[n:]) - 0.1
+        lengths = [len(s) for s in strings]
+        # Extreme lengths of a format with several parts are rare among labelled strings.
+        room = (max(lengths) - min(lengths)) // 8
+        body = frozenset(c for s in strings for c in map(_class, s[prefix:]))
+        out[name] = Format(automaton, level, min(lengths) - room, max(lengths) + room, body, prefix)
+    return Scanner(out, Automaton([symbols(s, 0) for s in ordinary(2 * n)]))
 
 
 def _disjoint(found: list[tuple[float, str, int, int]]) -> list[tuple[float, str, int, int]]:
@@ -202,37 +256,35 @@ def _disjoint(found: list[tuple[float, str, int, int]]) -> list[tuple[float, str
     return out
 
 
-def spans(text: str | None, automata: dict[str, tuple[Automaton, float]]) -> list[tuple[str, int, int, bool]]:
+def spans(text: str | None, scanner: Scanner) -> list[tuple[str, int, int, bool]]:
     """All spans (kind, start, end, whether it is a base one), by start, then kind as listed."""
     if not text:
         return []
-    base = base_spans(text)
-    starts, ends = sorted(a for _, a, _ in base), sorted(b for _, _, b in base)
-    out = [(k, a, b, True) for k, a, b in base]
-    for m in _CANDIDATE.finditer(text):
+    out = [(k, a, b, True) for k, a, b in base_spans(text)]
+    # A run that is shorter than every labelled string holds none.
+    for m in re.finditer(f"{_TOKEN}{{{min(f.shortest for f in scanner.formats.values())},}}", text):
         found, done = [], {}
         for start in _START.finditer(m[0]):
             at = start.start()
-            for name in _formats(m[0][at : at + PREFIX], automata):
-                automaton, level = automata[name]
-                if at >= done.get(name, 0) and (hit := automaton.longest(m[0][at:], level, _BODY[name])):
-                    done[name] = at + hit[1]
-                    found.append((hit[0], name, m.start() + at, m.start() + at + hit[1]))
-        for _, name, a, b in _disjoint(found):
-            # Disjoint from every base span: as many base spans start before its end as end before its start.
-            if bisect_left(starts, b) == bisect_right(ends, a):
-                out.append((name, a, b, False))
+            for name, form in scanner.formats.items():
+                head = m[0][at : at + form.prefix]
+                if at >= done.get(name, 0) and len(head) == form.prefix and form.automaton.knows(symbols(head)):
+                    hit = form.match(m[0][at : at + form.longest + 1], scanner.background)
+                    if hit:
+                        done[name] = at + hit[1]
+                        found.append((hit[0], name, m.start() + at, m.start() + at + hit[1]))
+        out += [(name, a, b, False) for _, name, a, b in _disjoint(found)]
     order = [*KINDS, *FORMATS]
     return sorted(out, key=lambda s: (s[1], order.index(s[0]), s[2]))
 
 
-def find(docs: DataFrame, automata: dict[str, tuple[Automaton, float]] | None = None, text_col: str = "text", out: str = "secrets") -> DataFrame:
+def find(docs: DataFrame, scanner: Scanner | None = None, text_col: str = "text", out: str = "secrets") -> DataFrame:
     """Add ``out``, an array of structs ``kind, start, end, base``."""
-    automata = automata or fit()
+    scanner = scanner or fit()
 
     @F.pandas_udf("array<struct<kind:string,start:bigint,end:bigint,base:boolean>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([[{"kind": k, "start": a, "end": b, "base": o} for k, a, b, o in spans(t, automata)] for t in texts])
+            yield pd.Series([[{"kind": k, "start": a, "end": b, "base": o} for k, a, b, o in spans(t, scanner)] for t in texts])
 
     return docs.withColumn(out, found(F.col(text_col)))
