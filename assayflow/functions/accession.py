@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ACCESSION_BLANK, null_if, scorer_clean, strip
+from .text import ACCESSION_BLANK, let, null_if, scorer_clean, strip
 
 # Columns of the typed split, in output order, and their patterns in order of trial.
 TYPED_COLUMNS = ("bioproject_accession", "biosample_accession", "assembly_accession", "genbank_accessions", "refseq_accessions", "sra_accession", "other_accessions")
@@ -41,11 +41,9 @@ def tokens(c: Column) -> Column:
 
 def distinct_by_upper(a: Column) -> Column:
     """First spelling of each token, whatever its case, in order."""
-
-    def add(seen: Column, t: Column) -> Column:
-        return F.when(F.exists(seen, lambda s: F.upper(s) == F.upper(t)), seen).otherwise(F.concat(seen, F.array(t)))
-
-    return F.aggregate(a, F.array().cast("array<string>"), add)
+    upper = F.transform(a, F.upper)
+    firsts = lambda u: F.filter(a, lambda t, i: F.array_position(u, F.get(u, i)) == i + 1)
+    return F.when(F.size(a) < 2, a).otherwise(let(upper, firsts))
 
 
 def is_biosample(c: Column) -> Column:
@@ -58,9 +56,12 @@ def has_biosample(c: Column) -> Column:
 
 def format_combined(a: Column) -> Column:
     """Tokens without repeats, sample accessions first, each part sorted; null for none."""
-    d = distinct_by_upper(a)
-    parts = F.concat(F.array_sort(F.filter(d, is_biosample)), F.array_sort(F.filter(d, lambda t: ~is_biosample(t))))
-    return F.when(F.size(parts) > 0, F.array_join(parts, ","))
+
+    def body(d: Column) -> Column:
+        parts = F.concat(F.array_sort(F.filter(d, is_biosample)), F.array_sort(F.filter(d, lambda t: ~is_biosample(t))))
+        return F.when(F.size(d) > 0, F.array_join(parts, ","))
+
+    return let(let(a, distinct_by_upper), body)
 
 
 def token_kind(t: Column) -> Column:
@@ -70,15 +71,18 @@ def token_kind(t: Column) -> Column:
     return out.otherwise("other_accessions")
 
 
-def typed_split(c: Column) -> dict[str, Column]:
-    """A column for each accession type: its tokens, sorted and joined; null for none."""
-    d = distinct_by_upper(tokens(c))
+def typed_split(c: Column) -> Column:
+    """Struct with a field for each accession type: its tokens, sorted and joined; null for none.
+
+    Tokens are found and told apart once for all fields.
+    """
+    kinds = F.transform(let(tokens(c), distinct_by_upper), lambda t: F.struct(t.alias("t"), token_kind(t).alias("k")))
 
-    def bucket(name: str) -> Column:
-        own = F.array_sort(F.filter(d, lambda t: token_kind(t) == name))
-        return F.when(F.size(own) > 0, F.array_join(own, ","))
+    def field(k: Column, name: str) -> Column:
+        own = F.transform(F.filter(k, lambda x: x["k"] == name), lambda x: x["t"])
+        return F.nullif(F.array_join(F.array_sort(own), ","), F.lit("")).alias(name)
 
-    return {name: bucket(name) for name in TYPED_COLUMNS}
+    return let(kinds, lambda k: F.struct(*[field(k, name) for name in TYPED_COLUMNS]))
 
 
 def variants(c: Column) -> Column:

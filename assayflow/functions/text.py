@@ -6,6 +6,8 @@ list is a parameter; the lists themselves are fixed values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,9 +42,18 @@ def lookup(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
+# Fixed value: characters that are white space in some script.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     """Without surrounding white space of any script."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def collapse(c: Column) -> Column:
@@ -75,40 +86,55 @@ def parse_mic(raw: Column) -> Column:
 
 def general_format(x: Column, digits: int) -> Column:
     """A double with ``digits`` significant digits, no trailing zeros, and an exponent outside 1e-4 to 10^digits."""
-    sci = F.format_string(f"%.{digits - 1}e", x)
-    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
     stripped = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    plain = stripped(sci.cast("decimal(38,18)").cast("string"))
-    far = F.concat(
-        stripped(F.regexp_extract(sci, r"^(.*)e", 1)), F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    )
-    return F.when(x == 0, F.lit("0")).when((exponent < -4) | (exponent >= digits), far).otherwise(plain)
+
+    def body(sci: Column) -> Column:
+        exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int")
+        plain = stripped(sci.try_cast("decimal(38,18)").cast("string"))
+        size = F.abs(exponent).cast("string")
+        power = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.when(F.length(size) < 2, F.lpad(size, 2, "0")).otherwise(size))
+        far = F.concat(stripped(F.regexp_extract(sci, r"^(.*)e", 1)), F.lit("e"), power)
+        return F.when((exponent < -4) | (exponent >= digits), far).otherwise(plain)
+
+    odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, F.lit("0"))
+    return odd.otherwise(let(F.format_string(f"%.{digits - 1}e", x), body))
 
 
 def as_number(c: Column) -> Column:
-    """Double, or null where the text isn't a plain decimal number."""
+    """Double, or null where the text isn't a decimal number or an infinity."""
     s = strip(c)
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
+    endless = F.regexp_extract(s, r"(?i)^([+-]?)inf(?:inity)?$", 1)
+    return F.when(s.rlike(_NUMBER), s.try_cast("double")).when(s.rlike(r"(?i)^[+-]?inf(inity)?$"), F.when(endless == "-", float("-inf")).otherwise(float("inf")))
 
 
 def _integral_or(x: Column, digits: int) -> Column:
-    whole = (x == F.floor(x)) & (F.abs(x) < 1e18)
-    return F.when(whole, F.floor(x).cast("bigint").cast("string")).otherwise(general_format(x, digits))
+    """An integral value in full, up to 38 digits, and beyond in its shortest form with an exponent; others with ``digits`` digits."""
+    size = F.abs(x)
+    # Both parts of a larger value are exact.
+    high = F.floor(size / 2.0**62)
+    low = (size - high.cast("double") * 2.0**62).cast("bigint")
+    large = high.cast("decimal(20,0)") * F.lit(2**62).cast("decimal(19,0)") + low.cast("decimal(20,0)")
+    written = F.concat(F.when(x < 0, "-").otherwise(""), large.cast("decimal(38,0)").cast("string"))
+    return (
+        F.when((size < 2.0**62) & (x == x.try_cast("bigint").cast("double")), x.try_cast("bigint").cast("string"))
+        .when((size >= 2.0**62) & (size < 2.0**124), written).when((size >= 2.0**124) & (size < float("inf")), general_format(x, 17))
+        .otherwise(general_format(x, digits))
+    )
 
 
 def normalize_number(c: Column) -> Column:
     """Evaluator's canonical number: integral values without a point, others with 12 digits, the rest in lower case."""
-    s, x = scorer_clean(c), as_number(scorer_clean(c))
-    return F.when(x.isNull(), F.lower(s)).otherwise(_integral_or(x, 12))
+    return let(scorer_clean(c), lambda s: let(as_number(s), lambda x: F.when(x.isNull(), F.lower(s)).otherwise(_integral_or(x, 12))))
 
 
 def normalize_mic(c: Column) -> Column:
     """Consensus' canonical value: each side of a ratio integral or with six digits; text that isn't a number stays."""
-    s = null_if(c, BLANK)
-    side = lambda p: _integral_or(as_number(p), 6)
-    whole = F.array_join(F.transform(F.split(s, "/"), side), "/")
-    numeric = F.forall(F.split(s, "/"), lambda p: as_number(p).isNotNull())
-    return F.when(numeric, whole).otherwise(s)
+
+    def body(s: Column) -> Column:
+        sides = F.transform(F.split(s, "/"), as_number)
+        return let(sides, lambda x: F.when(F.forall(x, lambda v: v.isNotNull()), F.array_join(F.transform(x, lambda v: _integral_or(v, 6)), "/")).otherwise(s))
+
+    return let(null_if(c, BLANK), body)
 
 
 def normalize_sign(c: Column) -> Column:

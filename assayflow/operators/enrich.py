@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.accession import PUBLIC, format_combined, has_biosample, is_biosample, tokens, typed_split
+from ..functions.accession import PUBLIC, TYPED_COLUMNS, format_combined, has_biosample, is_biosample, tokens, typed_split
 from ..functions.text import BLANK, base_name, null_if, strip
 
 
@@ -74,9 +74,11 @@ def apply_metadata(df: DataFrame, metas: list[DataFrame], hops: int = 2) -> Data
 
 def finalize(df: DataFrame, file_path: Column, sheet_name: Column, pmid: Column) -> DataFrame:
     """The 16 ordered output columns; accessions by type, columns that are absent as nulls."""
-    out = df.withColumns(
-        {**{k: v for k, v in typed_split(F.col("accession")).items() if "accession" in df.columns}, "pmid": pmid, "file_name": base_name(file_path), "sheet_name": sheet_name}
-    )
+    out = df.withColumns({"pmid": pmid, "file_name": base_name(file_path), "sheet_name": sheet_name})
+    if "accession" in df.columns:
+        # The struct is computed in a projection of its own, as its seven fields would each repeat it.
+        kept = [c for c in out.columns if c not in TYPED_COLUMNS]
+        out = out.select(*kept, typed_split(F.col("accession")).alias("__typed")).select(*kept, "__typed.*")
     names = schemas.RECORD_FINAL.fieldNames()
     return out.select(*[F.col(n).cast("string").alias(n) if n in out.columns else F.lit(None).cast("string").alias(n) for n in names])
 

@@ -17,10 +17,6 @@ def keyed(df: DataFrame) -> DataFrame:
     return df.withColumns({"k_id": F.coalesce(iso, acc), "k_drug": drug}).where("k_id is not null and k_drug is not null")
 
 
-def _agreed(values: str) -> Column:
-    return F.element_at(F.col(values), 1)
-
-
 def _reasons() -> Column:
     one = lambda name, values: F.when(F.size(values) > 1, F.concat(F.lit(f"conflicting {name}: "), F.array_join(values, ",")))
     return F.concat_ws("; ", one("mic_sign", "signs"), one("mic", "mics"), one("sir_call", "calls"))
@@ -29,25 +25,29 @@ def _reasons() -> Column:
 def consensus(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Retained and conflicting keys of records in ``order`` (a total order of passes and rows).
 
-    One hash aggregation: sets of signs, canonical values and calls per key, the first
-    non-null of every other column, all accessions combined.
+    Sets of signs, canonical values and calls per key, the first non-null of every other column, all accessions combined.
+    Records are first reduced to one per key and distinct text of each measured column and accession, so that a key with very
+    many records meets in a task only as its few distinct ones.
     """
+    measured = ("accession", "mic_sign", "mic", "sir_call")
     at = F.struct(*order)
-    first = lambda c: F.min_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), at)).alias(c)
-    rest = [c for c in df.columns if c not in ("accession", "mic_sign", "mic", "sir_call", *order)]
-    clean = lambda c: null_if(F.col(c), BLANK)
-    as_set = lambda x, name: F.array_sort(F.collect_set(x)).alias(name)
-    grouped = keyed(df).groupBy("k_id", "k_drug").agg(
-        *map(first, rest), first("mic_sign"), first("mic"), first("sir_call"),
-        as_set(clean("mic_sign"), "signs"), as_set(normalize_mic(F.col("mic")), "mics"), as_set(F.upper(clean("sir_call")), "calls"),
-        F.array_sort(F.collect_set(F.struct(at.alias("at"), F.col("accession").alias("a")))).alias("accs"), F.count(F.lit(1)).alias("n_records"),
+    rest = [c for c in df.columns if c not in (*measured, *order)]
+    earliest = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v")))).alias(c)
+    texts = keyed(df).groupBy("k_id", "k_drug", *[F.col(c).alias(f"v_{c}") for c in measured]).agg(
+        *map(earliest, rest), F.min(at).alias("at"), F.count(F.lit(1)).alias("n")
+    )
+    v = lambda c: F.col(f"v_{c}")
+    clean = texts.withColumns({"c_sign": null_if(v("mic_sign"), BLANK), "c_mic": normalize_mic(v("mic")), "c_call": F.upper(null_if(v("sir_call"), BLANK))})
+    as_set = lambda c, name: F.array_sort(F.collect_set(c)).alias(name)
+    own = lambda c: F.min(F.when(v(c).isNotNull(), F.struct("at", v(c).alias("v"))))["v"].alias(c)
+    grouped = clean.groupBy("k_id", "k_drug").agg(
+        *[F.min(c)["v"].alias(c) for c in rest], *map(own, measured[1:]), as_set("c_sign", "signs"), as_set("c_mic", "mics"), as_set("c_call", "calls"),
+        F.array_sort(F.collect_set(F.when(v("accession").isNotNull(), F.struct("at", v("accession").alias("a"))))).alias("accs"), F.sum("n").alias("n_records"),
     )
     grouped = grouped.withColumn("reason", _reasons())
     merged = F.flatten(F.transform("accs", lambda x: tokens(x["a"])))
-    kept = grouped.where("reason = ''").select(
-        "k_id", "k_drug", *rest, format_combined(merged).alias("accession"), F.coalesce(F.try_element_at("signs", F.lit(1)), "mic_sign").alias("mic_sign"),
-        F.coalesce(F.try_element_at("mics", F.lit(1)), "mic").alias("mic"), F.coalesce(F.try_element_at("calls", F.lit(1)), "sir_call").alias("sir_call"),
-    )
+    one = lambda values, c: F.coalesce(F.try_element_at(values, F.lit(1)), c).alias(c)
+    kept = grouped.where("reason = ''").select("k_id", "k_drug", *rest, format_combined(merged).alias("accession"), one("signs", "mic_sign"), one("mics", "mic"), one("calls", "sir_call"))
     return kept, grouped.where("reason <> ''").select("k_id", "k_drug", "reason", "n_records")
 
 

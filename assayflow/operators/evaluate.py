@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.accession import TYPED_COLUMNS, split_variants
@@ -26,10 +26,14 @@ def match_genomes(extracted: DataFrame, truth: DataFrame) -> DataFrame:
     """Add ``genome_match_status``, ``matched_genome`` and ``matched_accessions`` to every record.
 
     Matching is done once per distinct combination of accession columns,
-    not per record, and joined back on that combination.
+    not per record, and joined back on that combination; records without any accession, often half of them,
+    take no part in the join.
     """
+    empty = F.lit(True)
+    for c in EXTRACTED_ACCESSIONS:
+        empty = empty & (F.coalesce(F.col(c), F.lit("")) == "")
     text = F.to_json(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in EXTRACTED_ACCESSIONS]))
-    rows = extracted.withColumn("combo", text)
+    rows = extracted.where(~empty).withColumn("combo", text)
     combos = rows.select("combo", *EXTRACTED_ACCESSIONS).dropDuplicates(["combo"]).withColumn("accs", _all_variants(EXTRACTED_ACCESSIONS))
     hits = (
         combos.select("combo", F.explode("accs").alias("acc")).join(truth_index(truth), "acc")
@@ -44,35 +48,39 @@ def match_genomes(extracted: DataFrame, truth: DataFrame) -> DataFrame:
     judged = judged.select(
         "combo", status.alias("genome_match_status"), F.when(one, F.col("genomes")[0]).otherwise("").alias("matched_genome"), F.when(one, F.array_join("found", ",")).otherwise("").alias("matched_accessions")
     )
-    return rows.join(judged, "combo").drop("combo")
+    none = extracted.where(empty).select(*extracted.columns, F.lit("NO_ACCESSIONS").alias("genome_match_status"), F.lit("").alias("matched_genome"), F.lit("").alias("matched_accessions"))
+    return rows.join(judged, "combo").select(*none.columns).unionByName(none)
 
 
 def truth_sets(truth: DataFrame) -> DataFrame:
     """Per genome and normalised drug the sets of calls and of (sign, value) pairs, aggregated before any join."""
-    genome, drug, value = scorer_clean(F.col("genome_id")), normalize_drug(F.col("antibiotic")), normalize_number(F.col("measurement_value"))
-    sign = F.coalesce(F.nullif(normalize_sign(F.col("measurement_sign")), F.lit("")), F.lit("="))
-    as_set = lambda x, name: F.array_sort(F.collect_set(x)).alias(name)
-    return (
-        truth.select(
-            genome.alias("t_genome"), drug.alias("t_drug"), F.nullif(scorer_clean(F.col("resistant_phenotype")), F.lit("")).alias("raw"),
-            F.nullif(normalize_sir(F.col("resistant_phenotype")), F.lit("")).alias("sir"), F.when(value != "", F.struct(sign.alias("sign"), value.alias("value"))).alias("mic"),
-        )
-        .where("t_genome <> '' and t_drug <> ''").groupBy("t_genome", "t_drug")
-        .agg(as_set(F.col("raw"), "t_raw"), as_set(F.col("sir"), "t_sir"), as_set(F.col("mic"), "t_mic"))
+    clean = truth.select(
+        scorer_clean(F.col("genome_id")).alias("t_genome"), normalize_drug(F.col("antibiotic")).alias("t_drug"), scorer_clean(F.col("resistant_phenotype")).alias("raw"),
+        normalize_sir(F.col("resistant_phenotype")).alias("sir"), normalize_number(F.col("measurement_value")).alias("value"), normalize_sign(F.col("measurement_sign")).alias("sign"),
     )
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    mic = F.when(F.col("value") != "", F.struct(F.coalesce(given("sign"), F.lit("=")).alias("sign"), "value"))
+    as_set = lambda x, name: F.array_sort(F.collect_set(x)).alias(name)
+    return clean.where("t_genome <> '' and t_drug <> ''").groupBy("t_genome", "t_drug").agg(as_set(given("raw"), "t_raw"), as_set(given("sir"), "t_sir"), as_set(mic, "t_mic"))
 
 
 def compare(extracted: DataFrame, truth: DataFrame) -> DataFrame:
-    """The 20 comparison columns of every extracted record (``extracted_row`` is carried along)."""
-    rows = match_genomes(extracted, truth).withColumn("drug_key", normalize_drug(F.col("drug")))
+    """The 20 comparison columns of every extracted record (``extracted_row`` is carried along).
+
+    Only records with a matched genome are joined with the truth.  Each normalised value is a column of its own before it is used, so that it is computed once.
+    """
+    value = normalize_number(F.col("mic"))
+    normal = match_genomes(extracted, truth).withColumns(
+        {"drug_key": normalize_drug(F.col("drug")), "x_sir_raw": scorer_clean(F.col("sir_call")), "x_sir": normalize_sir(F.col("sir_call")), "x_sign_raw": scorer_clean(F.col("mic_sign")),
+         "x_sign0": normalize_sign(F.col("mic_sign")), "x_mic_raw": scorer_clean(F.col("mic")), "x_value": value}
+    )
+    normal = normal.withColumn("x_sign", F.when((F.col("x_mic_raw") != "") & (F.col("x_sign0") == ""), "=").otherwise(F.col("x_sign0")))
     matched = F.col("genome_match_status") == "MATCHED"
     sets = truth_sets(truth)
-    joined = rows.withColumn("g", F.when(matched, F.col("matched_genome"))).join(sets, (F.col("g") == sets["t_genome"]) & (F.col("drug_key") == sets["t_drug"]), "left")
+    joined = normal.where(matched).join(sets, (F.col("matched_genome") == sets["t_genome"]) & (F.col("drug_key") == sets["t_drug"]), "left")
+    joined = joined.unionByName(normal.where(~matched), allowMissingColumns=True)
     has_drug = F.col("t_genome").isNotNull()
-    sir_raw, sir = scorer_clean(F.col("sir_call")), normalize_sir(F.col("sir_call"))
-    sign_raw, mic_raw = scorer_clean(F.col("mic_sign")), scorer_clean(F.col("mic"))
-    sign = F.when(mic_raw != "", F.coalesce(F.nullif(normalize_sign(F.col("mic_sign")), F.lit("")), F.lit("="))).otherwise(normalize_sign(F.col("mic_sign")))
-    value = normalize_number(F.col("mic"))
+    sir_raw, sir, sign, value = (F.col(c) for c in ("x_sir_raw", "x_sir", "x_sign", "x_value"))
     t_sir, t_mic = F.size("t_sir") > 0, F.size("t_mic") > 0
     before = lambda x: F.when(~matched, "NOT_EVALUATED").when(~has_drug, "NO_GT_DRUG").otherwise(x)
     sir_result = (
@@ -80,7 +88,7 @@ def compare(extracted: DataFrame, truth: DataFrame) -> DataFrame:
         .when((sir_raw != "") & F.array_contains("t_sir", sir), "CORRECT").when(sir_raw != "", "INCORRECT")
         .when(t_sir, "MISSING_EXTRACTION").otherwise("NOT_APPLICABLE")
     )
-    pair_found = F.exists("t_mic", lambda m: (m["sign"] == sign) & (m["value"] == value))
+    pair_found = F.array_contains("t_mic", F.struct(sign.alias("sign"), value.alias("value")))
     mic_result = (
         F.when((value != "") & ~t_mic, "NO_GT_VALUE").when((value != "") & pair_found, "CORRECT").when(value != "", "INCORRECT")
         .when(t_mic, "MISSING_EXTRACTION").otherwise("NOT_APPLICABLE")
@@ -92,7 +100,7 @@ def compare(extracted: DataFrame, truth: DataFrame) -> DataFrame:
         "extracted_row", text("pmid").alias("pmid"), text("isolate_id").alias("isolate_id"), text("drug").alias("drug"), F.col("drug_key").alias("normalized_drug"),
         F.col("matched_genome").alias("genome_id"), "matched_accessions", "genome_match_status", sir_raw.alias("extracted_sir_raw"), sir.alias("extracted_sir"),
         joined_set("t_raw").alias("ground_truth_sir_raw"), joined_set("t_sir").alias("ground_truth_sir"), before(sir_result).alias("sir_result"),
-        sign_raw.alias("extracted_mic_sign_raw"), mic_raw.alias("extracted_mic_raw"), sign.alias("extracted_mic_sign"), value.alias("extracted_mic"),
+        F.col("x_sign_raw").alias("extracted_mic_sign_raw"), F.col("x_mic_raw").alias("extracted_mic_raw"), sign.alias("extracted_mic_sign"), value.alias("extracted_mic"),
         part("sign").alias("ground_truth_mic_sign"), part("value").alias("ground_truth_mic"), before(mic_result).alias("mic_result"),
     )
 
@@ -113,7 +121,15 @@ def count_columns() -> list[Column]:
 
 def metrics(compared: DataFrame, *by: str) -> DataFrame:
     """All counts and ratios in one pass, over everything or per ``by``; a ratio with a zero denominator is null."""
-    grouped = compared.groupBy(*by).agg(*count_columns())
+    return _with_ratios(compared.groupBy(*by).agg(*count_columns()))
+
+
+def metrics_by_paper(compared: DataFrame) -> DataFrame:
+    """The same counts and ratios per paper and, with a null pmid, over all, from one rollup."""
+    return _with_ratios(compared.rollup("pmid").agg(*count_columns()))
+
+
+def _with_ratios(grouped: DataFrame) -> DataFrame:
     c = F.col
     derived = {
         "sir_compared": c("sir_correct") + c("sir_incorrect"),
@@ -131,12 +147,6 @@ def metrics(compared: DataFrame, *by: str) -> DataFrame:
     return grouped.withColumns(derived).withColumns(ratios)
 
 
-def metrics_by_paper(compared: DataFrame) -> DataFrame:
-    """The same metrics per paper and, with a null pmid, over all, from one rollup."""
-    grouped = compared.rollup("pmid").agg(*count_columns())
-    return grouped.select("pmid", "n_rows", "matched", "sir_correct", "mic_correct", F.try_divide("matched", "n_rows").alias("match_rate"))
-
-
 # The report's layout as (section, metric, column, whether it is a percentage).
 REPORT = (
     ("GENOME MATCHING", "Extracted rows", "n_rows", False),
@@ -184,17 +194,15 @@ def metrics_long(measured: DataFrame) -> DataFrame:
 
 
 def parse_report(lines: DataFrame) -> DataFrame:
-    """Metrics read back from a text report with columns ``line_no`` and ``line``.
+    """Metrics read back from text reports with columns ``path``, ``line_no`` and ``line``; ``path, line_no, Section, Metric, Value``.
 
-    A line after an odd number of rules of ``=`` names the section of the lines that follow.
+    A line after an odd number of rules of ``=`` names the section of the lines that follow in its report.
     """
-    from pyspark.sql import Window
-
-    w = Window.orderBy("line_no")  # a report is one small file
+    w = Window.partitionBy("path").orderBy("line_no")
     rule = F.col("line").rlike(r"^=+$")
     rules = F.sum(rule.cast("int")).over(w)
     titled = lines.withColumn("title", F.when(~rule & (rules % 2 == 1), F.trim("line")))
     carried = titled.withColumn("Section", F.last("title", ignorenulls=True).over(w))
     parts = F.split("line", ":", 2)
-    pair = carried.where(F.size(parts) == 2).select("line_no", "Section", F.trim(parts[0]).alias("Metric"), F.trim(parts[1]).alias("Value"))
+    pair = carried.where(F.size(parts) == 2).select("path", "line_no", "Section", F.trim(parts[0]).alias("Metric"), F.trim(parts[1]).alias("Value"))
     return pair.where("Section is not null and Metric <> '' and Value <> ''")

@@ -10,8 +10,6 @@ from ..functions.text import normalize_id, strip
 _SAMPLE = ("bioproject_accession", "biosample_accession", "sra_accession")
 #: Length of the substrings by which fuzzy candidates are found; shorter ids never match.
 GRAM = 3
-#: Distinct strains up to which the substring join broadcasts them; beyond it, it goes through grams.
-BROADCAST_ROWS = 20_000
 
 
 def first_by_strain(strains: DataFrame) -> DataFrame:
@@ -25,25 +23,30 @@ def match_exact(isolates: DataFrame, strains: DataFrame) -> DataFrame:
     return isolates.withColumn("key", normalize_id(F.col("isolate_id"))).join(known, "key")
 
 
-def match_fuzzy(keys: DataFrame, known: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """For each ``key`` the first strain that contains it or is contained in it, both of 3 characters or more.
+def _grams(df: DataFrame, column: str) -> DataFrame:
+    """Each string with each of its distinct grams in ``g``."""
+    c = F.col(column)
+    return df.withColumn("g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(c, i, F.lit(GRAM))))))
 
-    Few strains are broadcast after their number was counted.  Otherwise each side is found by an
-    equi-join on one gram: the shorter string's first gram occurs among the longer
-    one's grams.
+
+def _inside(short: DataFrame, a: str, long: DataFrame, b: str) -> DataFrame:
+    """Pairs of distinct strings, ``a`` of ``short`` a part of ``b`` of ``long``.
+
+    A part has all its grams in the whole, so it is looked up by the one gram that the fewest whole strings have; grams that many ids begin with don't gather them.
     """
-    k = keys.where(F.length("key") >= GRAM)
+    wholes = _grams(long.select(b), b)
+    spread = wholes.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    own = _grams(short.select(a), a)
+    rarest = own.join(spread, "g").groupBy(a).agg(F.min_by("g", F.struct("n", "g")).alias("g"))
+    return rarest.join(wholes, "g").where(F.contains(b, F.col(a))).select(a, b)
+
+
+def match_fuzzy(keys: DataFrame, known: DataFrame) -> DataFrame:
+    """For each ``key`` the first strain that contains it or is contained in it, both of 3 characters or more."""
+    k = keys.select("key").where(F.length("key") >= GRAM).distinct()
     s = known.where(F.length("key") >= GRAM).withColumnRenamed("key", "strain_key")
-    either = F.contains("strain_key", F.col("key")) | F.contains("key", F.col("strain_key"))
-    if s.count() <= broadcast_rows:
-        pairs = k.join(F.broadcast(s), either)
-    else:
-        grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(c, i, F.lit(GRAM)))))
-        head = lambda c: F.substring(c, 1, GRAM)
-        inner = k.withColumn("g", head(F.col("key"))).join(s.withColumn("g", grams(F.col("strain_key"))), "g").where(F.contains("strain_key", F.col("key")))
-        outer = k.withColumn("g", grams(F.col("key"))).join(s.withColumn("g", head(F.col("strain_key"))), "g").where(F.contains("key", F.col("strain_key")))
-        pairs = inner.unionByName(outer).drop("g")
-    return pairs.groupBy("key").agg(F.min_by(F.struct("strain", *_SAMPLE, "ordinal"), "ordinal").alias("s")).select("key", "s.*")
+    pairs = _inside(k, "key", s, "strain_key").unionByName(_inside(s, "strain_key", k, "key"))
+    return pairs.join(s, "strain_key").groupBy("key").agg(F.min_by(F.struct("strain", *_SAMPLE, "ordinal"), "ordinal").alias("s")).select("key", "s.*")
 
 
 def match_all(isolates: DataFrame, strains: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_pmid, strip
+from ..functions.text import is_pmid, let, strip
 
 # Keyword families.
 TOPIC = (
@@ -27,6 +27,12 @@ DEPOSITED = (
 )
 AVAILABILITY_HEADING = r"data\s+availab|availability\s+of\s+data|accession\s+number|data\s+deposition|sequence\s+data\s+availab"
 RESTRICTED = "does not allow downloading of the full text"
+# What is said of papers without evidence.
+RESTRICTED_DETAILS = (
+    "Publisher restricts full-text XML via the PMC API (efetch returned only front matter/abstract, no <body>). "
+    "View this paper's tables/supplements manually at its PMC article page or PDF."
+)
+NO_KEYWORDS = "No AST-related keywords found in full text."
 
 
 def parse_pmid_lines(lines: DataFrame) -> DataFrame:
@@ -43,11 +49,19 @@ def parse_pmid_lines(lines: DataFrame) -> DataFrame:
     return rows.groupBy("pmid").agg(F.min("line_no").alias("ordinal"), F.array_distinct(F.transform(seen, lambda x: x["genome"])).alias("genome_ids"))
 
 
-def keyword_details(text: Column, top: int = 4) -> Column:
-    """The most frequent topic keywords with their counts, ties by first appearance; no shuffle."""
-    hits = F.transform(F.regexp_extract_all(text, F.lit(TOPIC), F.lit(0)), F.lower)
-    counted = F.transform(F.array_distinct(hits), lambda k, i: F.struct((-F.size(F.filter(hits, lambda h: h == k))).alias("n"), i.alias("i"), k.alias("k")))
-    return F.array_join(F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.concat(x["k"], F.lit("×"), (-x["n"]).cast("string"))), ", ")
+def keyword_hits(text: Column) -> Column:
+    """Topic keywords in lower case, in order, with repeats."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TOPIC), F.lit(0)), F.lower)
+
+
+def keyword_details(hits: Column, top: int = 4) -> Column:
+    """The most frequent of ``hits`` with their counts, ties by first appearance; no shuffle."""
+
+    def body(h: Column) -> Column:
+        counted = F.transform(F.array_distinct(h), lambda k, i: F.struct((-F.size(F.filter(h, lambda x: x == k))).alias("n"), i.alias("i"), k.alias("k")))
+        return F.array_join(F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.concat(x["k"], F.lit("×"), (-x["n"]).cast("string"))), ", ")
+
+    return let(hits, body)
 
 
 def classify(papers: DataFrame, supplement_files: Column | None = None, table_count: Column | None = None) -> DataFrame:
@@ -56,13 +70,17 @@ def classify(papers: DataFrame, supplement_files: Column | None = None, table_co
     files = F.lit(0) if supplement_files is None else F.coalesce(F.size(supplement_files), F.lit(0))
     tables = F.lit(0) if table_count is None else F.coalesce(table_count, F.lit(0))
     restricted = F.contains(t, F.lit(RESTRICTED)) | ~F.contains(F.lower(t), F.lit("<body"))
-    topical, supplement, main = t.rlike(TOPIC), t.rlike(SUPPLEMENT) | (files > 0), t.rlike(MAIN_TABLE) | (tables > 0)
+    papers = papers.withColumn("__hits", F.when(~restricted, keyword_hits(t)))
+    hits = F.col("__hits")
+    topical, supplement, main = F.size(hits) > 0, t.rlike(SUPPLEMENT) | (files > 0), t.rlike(MAIN_TABLE) | (tables > 0)
     location = (
         F.when(restricted, "no_fulltext_restricted").when(~topical, "none_found").when(main & supplement, "main_text_and_supplement")
         .when(main, "main_text_table").when(supplement, "supplement").otherwise("main_text_prose")
     )
     hint = F.when(restricted | ~topical, "unclear").when(t.rlike(ACCESSION), "yes").otherwise("no")
-    return papers.withColumns({"ast_location": location, "biosample_hint": hint, "details": F.when(restricted | ~topical, "").otherwise(keyword_details(t))})
+    found = F.concat(F.lit("AST keyword hits: "), keyword_details(hits), F.lit(". "), tables.cast("string"), F.lit(" candidate AST table(s) in main text."))
+    details = F.when(restricted, RESTRICTED_DETAILS).when(~topical, NO_KEYWORDS).otherwise(found)
+    return papers.withColumns({"ast_location": location, "biosample_hint": hint, "details": details}).drop("__hits")
 
 
 def keep_tables(tables: DataFrame) -> DataFrame:
@@ -100,7 +118,7 @@ def report(papers: DataFrame) -> DataFrame:
 
 def top_keywords(papers: DataFrame, k: int = 4) -> DataFrame:
     """``pmid, keyword, n, place`` of the ``k`` most frequent keywords of each paper."""
-    hits = papers.select("pmid", F.posexplode(F.transform(F.regexp_extract_all("text", F.lit(TOPIC), F.lit(0)), F.lower)).alias("pos", "keyword"))
+    hits = papers.select("pmid", F.posexplode(keyword_hits(F.col("text"))).alias("pos", "keyword"))
     counted = hits.groupBy("pmid", "keyword").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     place = F.row_number().over(Window.partitionBy("pmid").orderBy(F.desc("n"), "first"))
     return counted.withColumn("place", place).where(F.col("place") <= k).select("pmid", "keyword", "n", "place")

@@ -25,26 +25,29 @@ def sir_columns(roles: DataFrame) -> DataFrame:
 
 
 def primary_ids(roles: DataFrame) -> DataFrame:
-    """``sheet, id_column``: a local id named after a sequence, isolate or strain, else the first local id, else an accession."""
-    local = F.col("role") == "local_id"
-    rank = F.when(local & F.lower("column_name").rlike("seq|isolate|strain"), 0).when(local, 1).when(F.col("role") == "public_accession", 2)
+    """``sheet, id_column, accession_column``: a local id named after a sequence, isolate or strain, else the first local id, else an accession; and the first accession."""
+    local, public = F.col("role") == "local_id", F.col("role") == "public_accession"
+    rank = F.when(local & F.lower("column_name").rlike("seq|isolate|strain"), 0).when(local, 1).when(public, 2)
     ranked = roles.withColumn("rank", rank).where("rank is not null")
-    return ranked.groupBy("sheet").agg(F.min_by("column_name", F.struct("rank", "col_idx")).alias("id_column"))
+    first = F.min_by(F.when(F.col("rank") == 2, F.col("column_name")), F.when(F.col("rank") == 2, F.col("col_idx")))
+    return ranked.groupBy("sheet").agg(F.min_by("column_name", F.struct("rank", "col_idx")).alias("id_column"), first.alias("accession_column"))
 
 
 def paired_records(cells: DataFrame, roles: DataFrame, id_name: str = "Isolate ID") -> DataFrame:
     """Long records of measured columns and their paired call columns.
 
-    ``cells`` has sheet, row_idx, column_name and value; ``roles`` sheet, col_idx, column_name, role, paired_with.
-    The map of roles has one row per column of a sheet, so the joins on it are small ones.
+    ``cells`` has sheet, row_idx, column_name and value, and may lack blank cells; ``roles`` sheet, col_idx, column_name, role, paired_with.
+    A record is named by its row's id cell, else its accession cell, else ``isolate_N``.  The map of roles has one row per column of a sheet, so the joins on it are small ones.
     """
     data = cells.select("sheet", "row_idx", "column_name", "value")
     mic = data.join(sir_columns(roles), ["sheet", "column_name"])
     calls = data.select("sheet", "row_idx", F.col("column_name").alias("sir_column"), F.col("value").alias("paired_value"))
-    ids = data.join(primary_ids(roles).withColumnRenamed("id_column", "column_name"), ["sheet", "column_name"]).select("sheet", "row_idx", F.col("value").alias("id_value"))
-    ids = drop_header_rows(ids, "id_value", id_name)
-    joined = mic.join(calls, ["sheet", "row_idx", "sir_column"], "left").join(ids, ["sheet", "row_idx"])
-    name = F.coalesce(F.nullif(strip(F.col("id_value")), F.lit("")), F.concat(F.lit("isolate_"), (F.col("row_idx") + 1).cast("string")))
+    named = data.join(primary_ids(roles), "sheet").where((F.col("column_name") == F.col("id_column")) | (F.col("column_name") == F.col("accession_column")))
+    given = lambda c: F.max(F.when(F.col("column_name") == F.col(c), F.nullif(strip(F.col("value")), F.lit(""))))
+    ids = named.groupBy("sheet", "row_idx").agg(F.coalesce(given("id_column"), given("accession_column")).alias("id_value"))
+    joined = mic.join(calls, ["sheet", "row_idx", "sir_column"], "left").join(ids, ["sheet", "row_idx"], "left")
+    joined = drop_header_rows(joined, "id_value", id_name)
+    name = F.coalesce("id_value", F.concat(F.lit("isolate_"), (F.col("row_idx") + 1).cast("string")))
     out = joined.select("sheet", "row_idx", name.alias("isolate_name"), F.col("column_name").alias("drug_raw"), parse_mic(F.col("value")).alias("m"), paired_call(F.col("paired_value"), F.col("value")).alias("sir_call"))
     kept = out.where("m.value is not null or sir_call is not null")
     return kept.select("sheet", "row_idx", "isolate_name", "drug_raw", F.col("m.operator").alias("mic_operator"), F.col("m.value").alias("mic_value"), "sir_call")

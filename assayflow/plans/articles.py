@@ -22,7 +22,8 @@ d AS (SELECT pmid, string_agg(h || '×' || CAST(n AS VARCHAR), ', ' ORDER BY pla
 
 
 @query("paper_classify", f"""WITH {CLASSIFY} SELECT c.pmid, CASE WHEN NOT body THEN 'no_fulltext_restricted' WHEN NOT topical THEN 'none_found' WHEN main AND sup THEN 'main_text_and_supplement' WHEN main THEN 'main_text_table' WHEN sup THEN 'supplement' ELSE 'main_text_prose' END AS ast_location,
-  CASE WHEN NOT body OR NOT topical THEN 'unclear' WHEN acc THEN 'yes' ELSE 'no' END AS biosample_hint, CASE WHEN body AND topical THEN coalesce(d.details, '') ELSE '' END AS details FROM c LEFT JOIN d ON c.pmid = d.pmid""", ("papers",))
+  CASE WHEN NOT body OR NOT topical THEN 'unclear' WHEN acc THEN 'yes' ELSE 'no' END AS biosample_hint, CASE WHEN NOT body THEN 'Publisher restricts full-text XML via the PMC API (efetch returned only front matter/abstract, no <body>). View this paper''s tables/supplements manually at its PMC article page or PDF.'
+  WHEN NOT topical THEN 'No AST-related keywords found in full text.' ELSE 'AST keyword hits: ' || d.details || '. 0 candidate AST table(s) in main text.' END AS details FROM c LEFT JOIN d ON c.pmid = d.pmid""", ("papers",))
 def paper_classify(get):
     return P.classify(get("papers")).select("pmid", "ast_location", "biosample_hint", "details")
 

@@ -14,7 +14,7 @@ SELECT l_orderkey * 10 + l_linenumber AS extracted_row, CAST(l_linenumber % 3 AS
   CASE l_suppkey % 3 WHEN 0 THEN concat('SAMN', CAST(l_suppkey AS STRING)) WHEN 1 THEN concat('ERR', CAST(l_suppkey AS STRING), '; GCA_', CAST(l_suppkey AS STRING), '.1') END AS accession,
   CASE l_partkey % 5 WHEN 0 THEN 'Rifampicin' WHEN 1 THEN 'vancomycin' WHEN 2 THEN 'co-trimoxazole' WHEN 3 THEN ' Oxacillin ' ELSE '' END AS drug,
   CASE l_linenumber % 4 WHEN 0 THEN '=' WHEN 1 THEN '<=' WHEN 2 THEN '>' ELSE '~' END AS mic_sign,
-  CASE CAST(l_quantity AS INT) % 6 WHEN 0 THEN '0.50' WHEN 1 THEN '1.0' WHEN 2 THEN '32/16' WHEN 3 THEN 'ND' WHEN 4 THEN '' ELSE '4' END AS mic,
+  CASE CAST(l_quantity AS INT) % 6 WHEN 0 THEN '0.50' WHEN 1 THEN '1.0' WHEN 2 THEN '32/16' WHEN 3 THEN 'ND' WHEN 4 THEN CASE WHEN l_partkey % 31 = 0 THEN '1e400' ELSE '' END ELSE '4' END AS mic,
   CASE l_returnflag WHEN 'A' THEN 'S' WHEN 'R' THEN 'Resistant' WHEN 'N' THEN CASE WHEN l_partkey % 2 = 0 THEN 'SDD' END END AS sir_call,
   CASE WHEN l_partkey % 13 = 0 THEN 'seen' END AS notes
 FROM {lineitem}
@@ -73,7 +73,8 @@ FROM {orders}
 """
 
 MEASURES = """
-SELECT l_orderkey * 10 + l_linenumber AS k, CASE l_partkey % 16
+SELECT l_orderkey * 10 + l_linenumber AS k, CASE l_partkey % 23
+  WHEN 16 THEN '1e400' WHEN 17 THEN '1e300' WHEN 18 THEN '1e19' WHEN 19 THEN '-Inf' WHEN 20 THEN '12345678901234567890/1.5E-120' WHEN 21 THEN '2.5e-7' WHEN 22 THEN '1.5e30'
   WHEN 0 THEN '>64' WHEN 1 THEN '<= 0.5' WHEN 2 THEN ' 32 / 16 ' WHEN 3 THEN 'ND' WHEN 4 THEN 'Susceptible' WHEN 5 THEN '4-64' WHEN 6 THEN '==2' WHEN 7 THEN '1e3' WHEN 8 THEN '0.000050'
   WHEN 9 THEN concat(CAST(l_linenumber AS STRING), '.', CAST(l_suppkey % 10 AS STRING), '0') WHEN 10 THEN '-' WHEN 11 THEN 'NaN' WHEN 12 THEN '123456.789' WHEN 13 THEN '0.25/4.750' WHEN 14 THEN '8.0/a'
   ELSE CAST(l_suppkey AS STRING) END AS v,
@@ -83,15 +84,17 @@ SELECT l_orderkey * 10 + l_linenumber AS k, CASE l_partkey % 16
 FROM {lineitem}
 """
 
-# A sheet in long form: two panels of ten rows, one below the other in every third sheet.
+# A sheet in long form: two panels of ten rows, one below the other in every third sheet.  Below its first rows blank cells are absent.
 CELLS = """
-SELECT concat('s', CAST(p_partkey % 40 AS STRING)) AS sheet, CAST(floor(p_partkey / 40.0) AS INT) AS row_idx, c.col_idx,
+SELECT * FROM (SELECT concat('s', CAST(p_partkey % 40 AS STRING)) AS sheet, CAST(floor(p_partkey / 40.0) AS INT) AS row_idx, c.col_idx,
   CASE WHEN p_partkey < 40 AND c.col_idx > 0 THEN CAST(NULL AS STRING)
     WHEN (p_partkey >= 40 AND p_partkey < 80) OR (p_partkey % 3 = 0 AND p_partkey >= 1200 AND p_partkey < 1240) THEN element_text
     WHEN c.col_idx = 0 THEN CASE WHEN p_partkey % 3 = 0 THEN p_name END
-    WHEN c.col_idx = 1 THEN concat('>', CAST(p_size AS STRING)) WHEN c.col_idx = 2 THEN 'S' WHEN c.col_idx = 3 THEN CAST(p_size AS STRING) ELSE CASE WHEN p_size % 2 = 0 THEN 'R' ELSE 'x' END END AS value,
+    WHEN c.col_idx = 1 THEN concat('>', CAST(p_size AS STRING)) WHEN c.col_idx = 2 THEN 'S' WHEN c.col_idx = 3 THEN CAST(p_size AS STRING)
+    WHEN c.col_idx = 5 THEN CASE WHEN p_size % 3 = 0 THEN concat('SAMN', CAST(p_partkey AS STRING)) END ELSE CASE WHEN p_size % 2 = 0 THEN 'R' ELSE 'x' END END AS value,
   c.col_idx <> 3 OR p_partkey < 80 AS is_string
-FROM {part} CROSS JOIN (SELECT 0 AS col_idx, 'Isolate ID' AS element_text UNION ALL SELECT 1, 'vancomycin (MIC)' UNION ALL SELECT 2, 'Unnamed: 2' UNION ALL SELECT 3, 'oxacillin' UNION ALL SELECT 4, 'Unnamed: 4') c
+FROM {part} CROSS JOIN (SELECT 0 AS col_idx, 'Isolate ID' AS element_text UNION ALL SELECT 1, 'vancomycin (MIC)' UNION ALL SELECT 2, 'Unnamed: 2' UNION ALL SELECT 3, 'oxacillin' UNION ALL SELECT 4, 'Unnamed: 4' UNION ALL SELECT 5, 'BioSample') c) x
+WHERE row_idx < 2 OR value IS NOT NULL
 """
 
 PAPERS = """

@@ -42,7 +42,10 @@ COUNTS = ", ".join(
     + [_N(f"sir_result = '{r}'", f"sir_{r.lower()}") for r in evaluate._SIR]
     + [_N(f"mic_result = '{r}'", f"mic_{r.lower()}") for r in evaluate._MIC]
 )
-METRICS = f"""{COMPARE}, n AS (SELECT {COUNTS} FROM c),
+
+
+def _metrics(columns: str, grouping: str) -> str:
+    return f"""{COMPARE}, n AS (SELECT {columns} FROM c {grouping}),
 o AS (SELECT *, sir_correct + sir_incorrect AS sir_compared, sir_correct + sir_incorrect + sir_missing_extraction + sir_unrecognized_call AS sir_available,
   sir_correct + sir_incorrect + sir_unrecognized_call + sir_no_gt_value AS sir_extracted, mic_correct + mic_incorrect AS mic_compared,
   mic_correct + mic_incorrect + mic_missing_extraction AS mic_available, mic_correct + mic_incorrect + mic_no_gt_value AS mic_extracted FROM n),
@@ -51,6 +54,9 @@ metrics AS (SELECT *, matched / nullif(n_rows, 0) AS match_rate, sir_correct / n
 """
 
 
+METRICS = _metrics(COUNTS, "")
+
+
 def _compared(get):
     return evaluate.compare(get("extracted"), get("truth"))
 
@@ -81,7 +87,7 @@ def eval_metrics_long(get):
     return evaluate.metrics_long(evaluate.metrics(_compared(get)))
 
 
-@query("eval_rollup_by_paper", f"WITH {COMPARE} SELECT pmid, {_N('TRUE', 'n_rows')}, {_N("genome_match_status = 'MATCHED'", 'matched')}, {_N("sir_result = 'CORRECT'", 'sir_correct')}, {_N("mic_result = 'CORRECT'", 'mic_correct')}, count(*) FILTER (genome_match_status = 'MATCHED') / count(*) AS match_rate FROM c GROUP BY ROLLUP (pmid)", _REL)
+@query("eval_rollup_by_paper", f"WITH {_metrics(f'pmid, {COUNTS}', 'GROUP BY ROLLUP (pmid)')} SELECT * FROM metrics", _REL)
 def eval_rollup_by_paper(get):
     return evaluate.metrics_by_paper(_compared(get))
 
@@ -107,7 +113,7 @@ def eval_report_parsed(get):
     first = body.groupBy("Section").agg(F.min("line_no").alias("at"))
     heads = first.select(F.explode(F.array(*[F.struct((F.col("at") - 4 + i).alias("line_no"), t.alias("line")) for i, t in enumerate((F.lit("=" * 60), F.col("Section"), F.lit("=" * 60)))])).alias("h")).select("h.*")
     text = body.select("line_no", F.regexp_replace("line", r"\s+:", ":").alias("line")).unionByName(heads)
-    return evaluate.parse_report(text).select("Section", "Metric", "Value")
+    return evaluate.parse_report(text.withColumn("path", F.lit("report"))).select("Section", "Metric", "Value")
 
 
 @query("genome_match", f"WITH {COMPARE} SELECT extracted_row, genome_match_status, genome_id AS matched_genome, matched_accessions FROM m", _REL)
@@ -177,8 +183,8 @@ def header_pollution_guard(get):
 
 _ORDER = ["pass_no", "extracted_row", "mic_order", "sign_order", "notes_order"]
 _ENS = """
-e AS (SELECT *, CASE WHEN trim(isolate_id) = '' THEN accession ELSE trim(isolate_id) END AS k_id, nullif(trim(drug), '') AS k_drug FROM ast_long WHERE extracted_row % 7 < 8),
-f AS (SELECT *, CASE WHEN regexp_full_match(mic, '\\d+(\\.\\d+)?') THEN format('{:.6g}', CAST(mic AS DOUBLE)) ELSE nullif(mic, '') END AS m FROM e WHERE k_id IS NOT NULL AND k_drug IS NOT NULL),
+e AS (SELECT *, CASE WHEN trim(isolate_id) = '' THEN accession ELSE trim(isolate_id) END AS k_id, nullif(trim(drug), '') AS k_drug FROM ast_long),
+f AS (SELECT *, CASE WHEN mic = '1e400' THEN 'inf' WHEN regexp_full_match(mic, '\\d+(\\.\\d+)?') THEN format('{:.6g}', CAST(mic AS DOUBLE)) ELSE nullif(mic, '') END AS m FROM e WHERE k_id IS NOT NULL AND k_drug IS NOT NULL),
 w AS (SELECT pmid || ' ' || k_id AS k_id, k_drug, string_agg(DISTINCT mic_sign, ',' ORDER BY mic_sign) AS signs, count(DISTINCT mic_sign) AS ns, string_agg(DISTINCT m, ',' ORDER BY m) AS mics, count(DISTINCT m) AS nm,
   string_agg(DISTINCT upper(sir_call), ',' ORDER BY upper(sir_call)) AS calls, count(DISTINCT upper(sir_call)) AS nc, count(*) AS n_records, min(CASE WHEN accession LIKE 'SAMN%' THEN accession END) AS sam,
   min(CASE WHEN accession LIKE 'ERR%' THEN split_part(accession, ';', 1) || ',' || split_part(accession, '; ', 2) END) AS err FROM f GROUP BY pmid || ' ' || k_id, k_drug)
@@ -280,10 +286,10 @@ def strain_match_exact(get):
 
 @query("strain_match_fuzzy", f"WITH {MATCH} SELECT key, strain AS matched_strain FROM f", _MREL)
 def strain_match_fuzzy(get):
-    """The gram join, which serves where the strains are too many to broadcast."""
+    """The join on the rarest gram."""
     known = match.first_by_strain(get("strains"))
     keys = get("isolates").select(normalize_id(F.col("isolate_id")).alias("key")).distinct().join(known.select("key"), "key", "left_anti")
-    return match.match_fuzzy(keys, known, broadcast_rows=0).select("key", F.col("strain").alias("matched_strain"))
+    return match.match_fuzzy(keys, known).select("key", F.col("strain").alias("matched_strain"))
 
 
 @query("strain_match_counts", f"WITH {MATCH} SELECT pmid, match_type, count(*) AS n FROM a GROUP BY 1, 2", _MREL)

@@ -16,12 +16,13 @@ def _clean(c: str) -> str:
     return f"CASE WHEN {c} IS NULL OR lower({t}) IN ('', 'nan', 'none', 'na', 'n/a', '-') THEN '' ELSE {t} END"
 
 
-NUM = r"'^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$'"
+NUM = r"'^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$|^[+-]?([iI][nN][fF]|[iI]nfinity)$'"
 
 
 def _number(s: str, digits: int) -> str:
     return (
-        f"CASE WHEN CAST({s} AS DOUBLE) = floor(CAST({s} AS DOUBLE)) THEN CAST(CAST(CAST({s} AS DOUBLE) AS BIGINT) AS VARCHAR) "
+        f"CASE WHEN isinf(CAST({s} AS DOUBLE)) THEN CASE WHEN CAST({s} AS DOUBLE) < 0 THEN '-inf' ELSE 'inf' END WHEN abs(CAST({s} AS DOUBLE)) >= 2.0**124 THEN CAST(CAST({s} AS DOUBLE) AS VARCHAR) "
+        f"WHEN CAST({s} AS DOUBLE) = floor(CAST({s} AS DOUBLE)) THEN CAST(CAST(CAST({s} AS DOUBLE) AS HUGEINT) AS VARCHAR) "
         f"ELSE format('{{:.{digits}g}}', CAST({s} AS DOUBLE)) END"
     )
 
@@ -123,7 +124,7 @@ def accession_format(get):
 SELECT tokens.k, {', '.join(f"string_agg(e.tok, ',' ORDER BY e.tok) FILTER (e.kind = '{n.split('_')[0]}') AS {n}" for n in A.TYPED_COLUMNS)}
 FROM tokens LEFT JOIN e ON tokens.k = e.k GROUP BY tokens.k""", ("tokens",))
 def accession_split_typed(get):
-    return get("tokens").select("k", *[c.alias(n) for n, c in A.typed_split(F.col("acc")).items()])
+    return get("tokens").select("k", A.typed_split(F.col("acc")).alias("s")).select("k", "s.*")
 
 
 VARIANTS_SQL = r"""

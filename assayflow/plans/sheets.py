@@ -61,7 +61,7 @@ def sheet_preview(get):
     return C.preview(get("cells"))
 
 
-_NAMES = ("Isolate ID", "vancomycin (MIC)", "Unnamed: 2", "oxacillin", "Unnamed: 4")
+_NAMES = ("Isolate ID", "vancomycin (MIC)", "Unnamed: 2", "oxacillin", "Unnamed: 4", "BioSample")
 
 
 def _named(get):
@@ -69,14 +69,14 @@ def _named(get):
 
 
 def _roles(get):
-    roles = ("local_id", "drug_mic", "drug_sir", "drug_mic", "drug_sir")
+    roles = ("local_id", "drug_mic", "drug_sir", "drug_mic", "drug_sir", "public_accession")
     rows = F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit(n).alias("column_name"), F.lit(r).alias("role"), F.lit("Unnamed: 2" if i == 1 else "oxacillin" if i == 4 else None).cast("string").alias("paired_with")) for i, (n, r) in enumerate(zip(_NAMES, roles, strict=True))])
     return get("cells").select("sheet").distinct().select("sheet", F.inline(rows))
 
 
 @query("unpivot_paired", r"""WITH d AS (SELECT sheet, row_idx, max(CASE WHEN col_idx = 0 THEN value END) AS c0, max(CASE WHEN col_idx = 1 THEN value END) AS c1, max(CASE WHEN col_idx = 2 THEN value END) AS c2,
-  max(CASE WHEN col_idx = 3 THEN value END) AS c3, max(CASE WHEN col_idx = 4 THEN value END) AS c4 FROM cells WHERE row_idx > 1 GROUP BY 1, 2),
-l AS (SELECT sheet, row_idx, c0, 'vancomycin (MIC)' AS drug_raw, c1 AS m, c2 AS s FROM d UNION ALL SELECT sheet, row_idx, c0, 'oxacillin', c3, c4 FROM d),
+  max(CASE WHEN col_idx = 3 THEN value END) AS c3, max(CASE WHEN col_idx = 4 THEN value END) AS c4, max(CASE WHEN col_idx = 5 THEN value END) AS c5 FROM cells WHERE row_idx > 1 GROUP BY 1, 2),
+l AS (SELECT sheet, row_idx, coalesce(nullif(trim(c0), ''), c5) AS c0, 'vancomycin (MIC)' AS drug_raw, c1 AS m, c2 AS s FROM d UNION ALL SELECT sheet, row_idx, coalesce(nullif(trim(c0), ''), c5), 'oxacillin', c3, c4 FROM d),
 p AS (SELECT *, regexp_extract(trim(m), '^(<=|>=|<|>|=)?\s*(\d+(?:\.\d+)?)$', 2) AS v FROM l WHERE coalesce(lower(trim(c0)), '') NOT IN ('isolate id')),
 r AS (SELECT sheet, row_idx, coalesce(nullif(trim(c0), ''), 'isolate_' || CAST(row_idx + 1 AS VARCHAR)) AS isolate_name, drug_raw, CASE WHEN v <> '' THEN coalesce(nullif(regexp_extract(trim(m), '^(<=|>=|<|>|=)', 1), ''), '=') END AS mic_operator,
   nullif(v, '') AS mic_value, CASE WHEN s IN ('S', 'R', 'I', 'x') OR s LIKE 'Unnamed%' THEN s END AS sir_call FROM p)
@@ -136,7 +136,7 @@ def accession_mining(get):
 _PROFILE = r"""
 pv AS (SELECT sheet, col_idx, trim(value) AS v FROM cells WHERE row_idx > 1 AND trim(value) <> ''),
 pr AS (SELECT sheet, col_idx, avg(CASE WHEN regexp_full_match(v, '(<=|>=|<|>|=)?\s*\d+(\.\d+)?(\s*/\s*\d+(\.\d+)?)*') THEN 1 ELSE 0 END) AS mic, avg(CASE WHEN upper(v) IN ('S','I','R','SDD','NS') THEN 1 ELSE 0 END) AS sir FROM pv GROUP BY 1, 2),
-rl AS (SELECT sheet, col_idx, CASE WHEN col_idx IN (1, 3) AND mic >= 0.5 THEN 'drug_mic' WHEN col_idx = 0 THEN 'local_id' WHEN col_idx IN (2, 4) AND sir >= 0.3 THEN 'drug_sir' ELSE 'metadata' END AS role FROM pr)
+rl AS (SELECT sheet, col_idx, CASE WHEN col_idx IN (1, 3) AND mic >= 0.5 THEN 'drug_mic' WHEN col_idx = 0 THEN 'local_id' WHEN col_idx = 5 THEN 'public_accession' WHEN col_idx IN (2, 4) AND sir >= 0.3 THEN 'drug_sir' ELSE 'metadata' END AS role FROM pr)
 """
 
 

@@ -31,6 +31,14 @@ def test_numbers(spark):
     assert values(spark, X.normalize_mic, ["4.0", "0.50", "32.0/16", "ND", "none", None, "123456.789", "8/a", "1000000"]) == ["4", "0.5", "32/16", "ND", None, None, "123457", "8/a", "1000000"]
 
 
+def test_extreme_numbers(spark):
+    cases = ["1e400", "-1e400", "inf", "-Infinity", "1e300", "-1e300", "1e19", "12345678901234567890", "-9223372036854775808", "4611686018427387904", "1.5e30", "1e-300", "1.5E-120", "1e37", "5e307"]
+    want = ["inf", "-inf", "inf", "-inf", "1e+300", "-1e+300", "10000000000000000000", "12345678901234567168", "-9223372036854775808", "4611686018427387904", str(int(1.5e30)), "1e-300", "1.5e-120", str(int(1e37)), "5e+307"]
+    assert values(spark, X.normalize_number, cases) == want
+    assert values(spark, X.normalize_mic, [*cases, "1e400/1e19"]) == [*want, "inf/10000000000000000000"]
+    assert values(spark, X.strip, ["\x1c \u3000a b\u2003\n", "\xa0", "", None]) == ["a b", "", "", None]
+
+
 def test_signs_calls_and_drugs(spark):
     assert values(spark, X.normalize_sign, ["≤", "≥", "==", "=", "<", "~", None, " > "]) == ["<=", ">=", "=", "=", "<", "", "", ">"]
     assert values(spark, X.normalize_sir, ["s", "Resistant", "non–susceptible", "NR", "SDD", None, "intermediate", "non  resistance"]) == ["S", "R", "NS", "NR", "", "", "I", "NR"]
@@ -49,7 +57,7 @@ def test_ids_and_paths(spark):
 def test_accession_tokens_and_split(spark):
     text = "PRJNA12345,SAMN001,SAMEA002,GCA_001.1,NZ_CP012345.1,SRR100,ERR200,CP099999,XYZ123"
     df = spark.createDataFrame([(text,)], "v string")
-    row = df.select(*[c.alias(n) for n, c in A.typed_split(F.col("v")).items()]).first().asDict()
+    row = df.select(A.typed_split(F.col("v")).alias("s")).select("s.*").first().asDict()
     assert row == {
         "bioproject_accession": "PRJNA12345", "biosample_accession": "SAMEA002,SAMN001", "assembly_accession": "GCA_001.1", "genbank_accessions": "CP099999",
         "refseq_accessions": "NZ_CP012345.1", "sra_accession": "ERR200,SRR100", "other_accessions": "XYZ123",
