@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 14
 #: Bound of the sample that the machines are fitted on, in rows of a language; their texts and all predictions are whole.
 SAMPLE_PER_LANGUAGE = 300
+#: Parts in which a language's rows are ranked first.
+PARTS = 32
 UNDETERMINED = "und"
 # Families of languages.
 FAMILIES = {
@@ -129,8 +131,13 @@ def sample(docs: DataFrame, id_col: str = "doc_id", per_language: int = SAMPLE_P
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(id_col))
     rows = usable.select(F.col("lang").alias("lang"), F.col(id_col).alias("id"), F.xxhash64("text").alias("h"), F.col("text").alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h"))
-    chosen = rows.select("lang", "id", "h").distinct().withColumn("place", rank).where(F.col("place") <= per_language).select("lang", "id", "h")
+    order = (F.xxhash64("id"), "id", "h")
+    # First the smallest of each of ``PARTS`` parts of a language, so that the task with all of a language has a bounded number of rows.
+    chosen = rows.select("lang", "id", "h", F.pmod(F.xxhash64("h", "id"), F.lit(PARTS)).alias("part")).distinct()
+    for by in (("lang", "part"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+    chosen = chosen.drop("part")
     wanted = F.broadcast(chosen.select(F.col("lang").alias("c_lang"), F.col("id").alias("c_id"), F.col("h").alias("c_h")))
     same = (F.col("lang") == F.col("c_lang")) & F.col("id").eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h"))
     return rows.join(wanted, same, "left_semi")
