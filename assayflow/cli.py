@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 
 from .operators import papers
 from .plans import workflows
-from .sources import sinks
+from .plans.materialise import materialised
+from .sources import sinks, xlsx
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,16 +37,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "match":
         workflows.match_files(spark, a.records, a.strains, a.out, a.fill)
     elif a.command == "extract":
-        cells = workflows.workbook_cells(spark, a.folder).persist()
-        final, quarantined, _ = workflows.publish([workflows.extract(cells, a.provider)], [], ["row_idx"])
+        cells = materialised(workflows.workbook_cells(spark, a.folder))
+        records, log = workflows.with_metadata(workflows.extract(cells, a.provider), cells, a.provider)
+        final, quarantined, _ = workflows.publish([records], [], ["row_idx"])
         sinks.write_records(final, f"{a.out}/records")
+        sinks.write_tsv(log, f"{a.out}/metadata_sheets", single=True)
+        sinks.write_tsv(xlsx.failures(xlsx.workbooks(spark, a.folder)), f"{a.out}/unreadable", single=True)
         quarantined.write.mode("overwrite").parquet(f"{a.out}/quarantined")
     elif a.command == "scan":
         roles, classes = workflows.classify_workbooks(workflows.workbook_cells(spark, a.folder), a.provider)
-        sinks.write_tsv(sinks.sheet_summary(classes.withColumnRenamed("status", "reasoning")), f"{a.out}/sheets")
-        sinks.write_tsv(sinks.strategy_log(roles), f"{a.out}/roles")
+        sinks.write_tsv(sinks.sheet_summary(classes.withColumnRenamed("status", "reasoning")), f"{a.out}/sheets", single=True)
+        sinks.write_tsv(sinks.strategy_log(roles), f"{a.out}/roles", single=True)
     else:
-        sinks.write_tsv(papers.report(workflows.find_evidence(spark, a.pmids, a.articles)), f"{a.out}/papers")
+        sinks.write_tsv(papers.report(workflows.find_evidence(spark, a.pmids, a.articles)), f"{a.out}/papers", single=True)
     return 0
 
 

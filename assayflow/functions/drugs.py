@@ -20,14 +20,14 @@ ANTIBIOTICS = (
 )
 # Abbreviations in table headers.
 ABBREVIATIONS = {
-    "amc": "amoxicillin/clavulanic acid", "amp": "ampicillin", "cfz": "cefazolin", "czo": "cefazolin", "fox": "cefoxitin", "cpt": "ceftaroline", "chl": "chloramphenicol",
+    "amc": "amoxicillin/clavulanic acid", "amp": "ampicillin", "an": "amikacin", "cfz": "cefazolin", "czo": "cefazolin", "fox": "cefoxitin", "cpt": "ceftaroline", "chl": "chloramphenicol",
     "cip": "ciprofloxacin", "clr": "clarithromycin", "cli": "clindamycin", "cc": "clindamycin", "dal": "dalbavancin", "dap": "daptomycin", "dor": "doripenem", "ery": "erythromycin",
     "ffc": "florfenicol", "fof": "fosfomycin", "fos": "fosfomycin", "fus": "fusidic acid", "fa": "fusidic acid", "gen": "gentamicin", "gm": "gentamicin", "cn": "gentamicin",
-    "ipm": "imipenem", "imi": "imipenem", "kan": "kanamycin", "lvx": "levofloxacin", "lev": "levofloxacin", "lnz": "linezolid", "lzd": "linezolid", "mem": "meropenem",
+    "ipm": "imipenem", "imi": "imipenem", "kan": "kanamycin", "lvx": "levofloxacin", "lev": "levofloxacin", "lnz": "linezolid", "lzd": "linezolid", "mem": "meropenem", "mer": "meropenem",
     "met": "methicillin", "min": "minocycline", "mxf": "moxifloxacin", "mox": "moxifloxacin", "mup": "mupirocin", "nor": "norfloxacin", "ori": "oritavancin", "oxa": "oxacillin",
     "pen": "penicillin", "qda": "quinupristin/dalfopristin", "syn": "quinupristin/dalfopristin", "rif": "rifampin", "ra": "rifampin", "str": "streptomycin",
     "sxt": "trimethoprim/sulfamethoxazole", "tmp-smx": "trimethoprim/sulfamethoxazole", "tzd": "tedizolid", "tec": "teicoplanin", "tlv": "telavancin", "tet": "tetracycline",
-    "tia": "tiamulin", "tgc": "tigecycline", "tob": "tobramycin", "nn": "tobramycin", "van": "vancomycin", "va": "vancomycin",
+    "tia": "tiamulin", "tgc": "tigecycline", "tob": "tobramycin", "nn": "tobramycin", "tmp": "trimethoprim", "van": "vancomycin", "va": "vancomycin",
 }
 
 

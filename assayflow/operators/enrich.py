@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +62,18 @@ def enrich(df: DataFrame, meta: DataFrame) -> DataFrame:
     return joined.withColumns({"accession": accession, "notes": noted}).select(*df.columns)
 
 
-def apply_metadata(df: DataFrame, metas: list[DataFrame], hops: int = 2) -> DataFrame:
-    """All metadata maps at once, ``hops`` times, so that an accession found may lead to the next."""
+def apply_metadata(df: DataFrame, metas: list[DataFrame], hops: int = 2, between: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """All metadata maps at once, ``hops`` times, so that an accession found may lead to the next.
+
+    ``between`` is applied after every hop; a step that materialises keeps the plan of the records from being repeated by each hop's joins.
+    """
     if not metas:
         return df
     whole = metas[0]
     for m in metas[1:]:
         whole = whole.unionByName(m, allowMissingColumns=True)
     for _ in range(hops):
-        df = enrich(df, whole)
+        df = between(enrich(df, whole))
     return df
 
 

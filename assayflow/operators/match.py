@@ -83,6 +83,15 @@ def fill_blanks(records: DataFrame, matches: DataFrame) -> DataFrame:
     return joined.select(*[_filled(records[c], F.col(f"m.{c}")).alias(c) if c in _SAMPLE else records[c] for c in records.columns])
 
 
+def n_filled(before: DataFrame, after: DataFrame) -> int:
+    """Number of accession cells that ``fill_blanks`` filled; files without these columns have none."""
+    given = lambda df: [F.count_if(F.coalesce(strip(F.col(c)), F.lit("")) != "").alias(c) for c in _SAMPLE if c in df.columns]
+    if not given(before):
+        return 0
+    a, b = before.agg(*given(before)).first(), after.agg(*given(after)).first()
+    return sum(b) - sum(a)
+
+
 def project_accessions(papers: DataFrame) -> DataFrame:
     """Project accessions of each paper: its own list, else those among its data-availability accessions; sorted."""
     listed = F.filter(F.transform(F.split(F.coalesce("bioproject_accessions", F.lit("")), ";"), strip), lambda a: a != "")

@@ -30,6 +30,12 @@ def column_roles(profiles: DataFrame) -> DataFrame:
     )
     w = Window.partitionBy("sheet").orderBy("col_idx")
     roles = profiles.withColumns({"drug_name": drug, "role": role})
+    # Without any id, the first column that is no drug's is the id.
+    whole = Window.partitionBy("sheet")
+    is_id, open_ = F.col("role").isin("local_id", "public_accession"), F.col("role").isin("metadata", "organism") & F.col("drug_name").isNull()
+    first = F.min(F.when(open_, F.col("col_idx"))).over(whole)
+    fallback = ~F.max(is_id).over(whole) & open_ & (F.col("col_idx") == first)
+    roles = roles.withColumn("fallback", fallback).withColumn("role", F.when(F.col("fallback"), "local_id").otherwise(F.col("role"))).drop("fallback")
     adjacent = (F.lead("role").over(w) == "drug_sir") & F.lower(F.lead("col_name").over(w)).startswith("unnamed") & (F.col("role") == "drug_mic")
     return roles.withColumn("paired_with", F.when(adjacent, F.lead("col_name").over(w)))
 

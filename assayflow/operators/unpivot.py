@@ -62,7 +62,7 @@ def paired_call(paired: Column, own: Column) -> Column:
 
 
 def wide_to_long(df: DataFrame, ids: list[str], drugs: list[str]) -> DataFrame:
-    return df.unpivot(ids, drugs, "drug", "raw").where("raw is not null and trim(raw) <> ''")
+    return df.unpivot(ids, [f"`{d}`" for d in drugs], "drug", "raw").where("raw is not null and trim(raw) <> ''")
 
 
 def parse_cell(raw: Column, upper_bound: bool = True) -> Column:

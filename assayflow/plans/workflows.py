@@ -10,15 +10,16 @@ from ..functions.accession import accession_type
 from ..functions.drugs import drug_of_header
 from ..functions.text import base_name, pmid_in_path
 from ..operators import cells as cell_ops
-from ..operators import enrich, ensemble, evaluate, match, papers, qc, sheets, unpivot
-from ..providers import provider
+from ..operators import enrich, ensemble, evaluate, match, metadata, papers, qc, sheets, unpivot
+from ..operators.sets import union_records
+from ..providers import extract_sheet, provider, wide_sheet
 from ..sources import jats, readers, sinks, xlsx
+from .materialise import materialised
 
 
 def workbook_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Cells of all workbooks below a folder; a sheet is known as ``file|sheet``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(folder)
-    cells = xlsx.cells_of(files.where(~base_name(F.col("path")).rlike(r"^(~\$|\.)")))
+    cells = xlsx.cells_of(xlsx.workbooks(spark, folder))
     return cells.withColumns({"pmid": pmid_in_path(F.col("file_name")), "sheet": F.concat_ws("|", "file_name", "sheet")})
 
 
@@ -30,13 +31,18 @@ def classify_workbooks(cells: DataFrame, provider_name: str = "rules") -> tuple[
 
 
 def extract(cells: DataFrame, provider_name: str = "rules") -> DataFrame:
-    """Records of the measured sheets: stacked sheets are left out, headers found, columns given roles, cells unpivoted."""
-    flat = cells.join(cell_ops.stacked_sheets(cells).where("stacked"), "sheet", "left_anti")
-    roles, classes = classify_workbooks(flat, provider_name)
-    chosen = flat.join(sheets.target_sheets(classes).select("sheet"), "sheet", "left_semi")
+    """Records of the measured sheets: stacked sheets are left out, headers found, columns given roles, cells unpivoted.
+
+    Cells and roles are materialised, as every step reads them.
+    """
+    cells = materialised(cells)
+    flat = materialised(cells.join(cell_ops.stacked_sheets(cells).where("stacked"), "sheet", "left_anti"))
+    roles = materialised(provider(provider_name).roles(flat))
+    targets = sheets.target_sheets(sheets.classify(roles).withColumn("workbook", F.substring_index("sheet", "|", 1))).select("sheet")
+    chosen = flat.join(targets, "sheet", "left_semi")
     headers = cell_ops.header_rows(chosen)
     body = chosen.join(headers, "sheet").where(F.col("row_idx") > F.col("header_row"))
-    named = body.join(roles.select("sheet", "col_idx", F.col("col_name").alias("column_name")), ["sheet", "col_idx"])
+    named = materialised(body.join(roles.select("sheet", "col_idx", F.col("col_name").alias("column_name")), ["sheet", "col_idx"]))
     long = unpivot.paired_records(named, roles.withColumnRenamed("col_name", "column_name"))
     accessions = (
         named.join(roles.where("role = 'public_accession'").select("sheet", "col_idx"), ["sheet", "col_idx"], "left_semi")
@@ -49,14 +55,61 @@ def extract(cells: DataFrame, provider_name: str = "rules") -> DataFrame:
     )
 
 
-def records_v1(records: DataFrame) -> DataFrame:
-    """The ten-column form of extracted records."""
-    return records.select(
+def with_metadata(records: DataFrame, cells: DataFrame, provider_name: str = "rules") -> tuple[DataFrame, DataFrame]:
+    """Records enriched from the sheets without measurements, and the log of the sheets looked at."""
+    records, cells = materialised(records), materialised(cells)
+    roles = materialised(provider(provider_name).roles(cells))
+    done = sheets.target_sheets(sheets.classify(roles).withColumn("workbook", F.substring_index("sheet", "|", 1))).select("sheet")
+    below = cells.join(cell_ops.header_rows(cells), "sheet").where(F.col("row_idx") > F.col("header_row"))
+    body = materialised(below.withColumn("row_idx", F.col("row_idx") - F.col("header_row") - 1).drop("header_row"))
+    maps, log = metadata.discover(body, roles.withColumnRenamed("col_name", "column_name"), records, done)
+    maps = materialised(maps.select("isolate_id", "accession", "secondary_accession"))
+    return enrich.apply_metadata(records, [maps], between=materialised), log
+
+
+def extract_with_attempts(cells: DataFrame, provider_name: str = "rules", passes: int = 1) -> tuple[list[DataFrame], DataFrame]:
+    """Per pass the valid records of all measured sheets by proposed transforms, and a table of the attempts.
+
+    One sheet after the other, as each is a question to the provider; the rows of a sheet stay with the executors.
+    """
+    how, cells = provider(provider_name), materialised(cells)
+    roles = materialised(how.roles(cells))
+    classes = sheets.classify(roles).withColumn("workbook", F.substring_index("sheet", "|", 1))
+    wanted = {r["sheet"] for r in sheets.target_sheets(classes).select("sheet").collect()}
+    heads = {r["sheet"]: r["header_row"] for r in cell_ops.header_rows(cells).collect() if r["sheet"] in wanted}
+    columns: dict[str, list[dict]] = {}
+    for r in roles.orderBy("sheet", "col_idx").collect():
+        columns.setdefault(r["sheet"], []).append({"col_idx": r["col_idx"], "column_name": r["col_name"], "role": r["role"], "drug_name": r["drug_name"]})
+    out, log = [], []
+    for n in range(passes):
+        found = []
+        for name in sorted(wanted):
+            records, attempts = extract_sheet(name, wide_sheet(cells.where(F.col("sheet") == name), columns[name], heads[name]), columns[name], how, pass_no=n)
+            log += attempts
+            if records is not None:
+                found.append(records.withColumn("sheet", F.lit(name)))
+        if found:
+            out.append(union_records(found))
+    rows = [(a.sheet, a.pass_no, a.attempt, a.spec, a.n_valid, list(a.errors)) for a in log]
+    return out, cells.sparkSession.createDataFrame(rows, "sheet string, pass_no int, attempt int, spec string, n_valid bigint, errors array<string>")
+
+
+def records_v1(records: DataFrame, organisms: DataFrame | None = None) -> DataFrame:
+    """The ten-column form of extracted records; ``organisms`` has file_name, sheet_name, row_idx and organism."""
+    named = records.withColumn("organism", F.lit(None).cast("string")) if organisms is None else records.join(organisms, ["file_name", "sheet_name", "row_idx"], "left")
+    return named.select(
         F.col("pmid").alias("pubmed_id"), F.col("sheet_name").alias("source_sheet"), F.col("isolate_id").alias("isolate_name"), "accession", accession_type(F.col("accession")).alias("accession_type"),
-        F.lit(None).cast("string").alias("organism"), F.col("drug").alias("drug_raw"), F.col("mic_sign").alias("mic_operator"), F.col("mic").alias("mic_value"), "sir_call",
+        "organism", F.col("drug").alias("drug_raw"), F.col("mic_sign").alias("mic_operator"), F.col("mic").alias("mic_value"), "sir_call",
     ).select(*schemas.RECORD_V1.fieldNames())
 
 
+def organisms(cells: DataFrame, roles: DataFrame) -> DataFrame:
+    """``file_name, sheet_name, row_idx, organism`` from the first organism column of each sheet."""
+    first = roles.where("role = 'organism'").groupBy("sheet").agg(F.min("col_idx").alias("col_idx"))
+    found = cells.join(first, ["sheet", "col_idx"]).select("sheet", "row_idx", F.nullif(F.trim("value"), F.lit("")).alias("organism"))
+    return found.select(F.substring_index("sheet", "|", 1).alias("file_name"), F.substring_index("sheet", "|", -1).alias("sheet_name"), "row_idx", "organism")
+
+
 def publish(passes: list[DataFrame], metas: list[DataFrame], order: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Quality control, consensus, enrichment and final layout: final records, quarantined ones, conflicts."""
     judged = [qc.split(p) for p in passes]
@@ -85,9 +138,9 @@ def evaluate_files(spark: SparkSession, extracted: str, truth: str, out: str) ->
     compared.write.mode("overwrite").parquet(f"{out}/compared")
     stored = spark.read.parquet(f"{out}/compared")
     long = evaluate.metrics_long(evaluate.metrics(stored))
-    sinks.write_tsv(stored, f"{out}/comparison", single=False)
-    sinks.write_tsv(qc.incorrect_rows(stored), f"{out}/errors", single=False)
-    sinks.write_tsv(long, f"{out}/metrics")
+    sinks.write_tsv(stored, f"{out}/comparison")
+    sinks.write_tsv(qc.incorrect_rows(stored), f"{out}/errors")
+    sinks.write_tsv(long, f"{out}/metrics", single=True)
     return long
 
 
@@ -96,9 +149,12 @@ def match_files(spark: SparkSession, records: str, strains: str, out: str, fill:
     rows = readers.strict_tsv(spark, records, schemas.RECORD_FINAL)
     known = readers.strict_tsv(spark, strains).withColumn("ordinal", F.col("ordinal").cast("bigint"))
     report = match.match_all(readers.isolate_ids(rows), known).select(*schemas.MATCH.fieldNames())
-    sinks.write_tsv(report, f"{out}/matches", single=False)
+    sinks.write_tsv(report, f"{out}/matches")
     if fill:
-        sinks.write_version(match.fill_blanks(rows, report.withColumn("ordinal", F.lit(1))), f"{out}/records", "filled")
+        # Rows of one file and normalised id match the same strain, so their order only has to be a fixed one.
+        filled = match.fill_blanks(rows, report.withColumn("ordinal", F.col("isolate_id")))
+        if match.n_filled(rows, filled):
+            sinks.write_version(filled, f"{out}/records", "filled")
     return report
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +75,8 @@ def table_rows(whole: DataFrame) -> DataFrame:
 
 def classification_row(spark: SparkSession, pattern: str, pmid: str) -> DataFrame:
     """The first row for a paper, by sorted file path."""
-    df = spark.read.option("sep", "\t").option("header", True).csv(pattern).withColumn("__path", F.col("_metadata.file_path"))
+    reader = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("inferSchema", False)
+    df = reader.csv(pattern).withColumn("__path", F.col("_metadata.file_path"))
     return df.where(F.col("pmid") == pmid).orderBy("__path").limit(1).drop("__path")
 
 
@@ -85,6 +85,14 @@ def isolate_ids(records: DataFrame) -> DataFrame:
     return records.select("pmid", F.col("file_name").alias("source_file"), scorer_clean(F.col("isolate_id")).alias("isolate_id")).where("isolate_id <> ''").dropDuplicates()
 
 
+def starter(spark: SparkSession, folder: str) -> DataFrame:
+    """``pmid, title, pmcid, doi, xml`` of papers saved in folders named after their pmid, with metadata.json and fulltext.xml."""
+    paper = lambda df: df.withColumn("pmid", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    about = paper(spark.read.option("multiLine", True).schema("title string, pmcid string, doi string").json(f"{folder}/*/metadata.json"))
+    text = paper(spark.read.text(f"{folder}/*/fulltext.xml", wholetext=True)).select("pmid", F.col("value").alias("xml"))
+    return about.join(text, "pmid", "full").select("pmid", "title", "pmcid", "doi", "xml")
+
+
 def json_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema else reader).json(path)
@@ -92,9 +100,7 @@ def json_documents(spark: SparkSession, path: str, schema: str | None = None) ->
 
 def seed_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV of measured values with markdown links and JSON arrays in quoted cells."""
-    df = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
     link = F.regexp_extract("accession_id", r"\[([^\]]*)\]", 1)
     arrays = {c: F.from_json(F.col(c), "array<string>") for c in df.columns if c.endswith("_ids") or c.endswith("uuids")}
     return df.withColumns({"accession": F.coalesce(F.nullif(link, F.lit("")), F.col("accession_id")), **arrays})
-
-

@@ -9,10 +9,10 @@ from .. import schemas
 from ..functions.text import safe_file_name
 
 
-def write_tsv(df: DataFrame, path: str, single: bool = True) -> bool:
+def write_tsv(df: DataFrame, path: str, single: bool = False) -> bool:
     """A TSV with a header and empty cells for nulls; nothing at all for no rows.  Tells whether it was written.
 
-    ``single`` is for reports; large tables are written in parts.
+    Written in parts, each with the header; ``single`` is for reports, whose rows go through one task.
     """
     if df.isEmpty():
         return False
@@ -27,19 +27,37 @@ def write_records(df: DataFrame, path: str) -> bool:
 
 
 def write_version(df: DataFrame, path: str, version: str) -> str:
-    """A new Parquet version beside the old ones; nothing is changed in place."""
+    """A new Parquet version beside the old ones, which are its backup; nothing is changed in place."""
     target = f"{path}/version={version}"
     df.write.mode("errorifexists").parquet(target)
     return target
 
 
-def run_log(passes: DataFrame, retained: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """One row: rows per run, keys retained, keys dropped and the reasons."""
+def write_specs(attempts: DataFrame, path: str) -> None:
+    """The transforms of all attempts as JSON lines; ``attempts`` has sheet, pass_no, attempt, spec, n_valid and errors."""
+    attempts.write.mode("overwrite").json(path)
+
+
+def mic_data(records: DataFrame) -> DataFrame:
+    """The eleven columns of extracted data, without nulls, from ten-column records with ``file_name`` and ``sheet_name``."""
+    names = ("file_name", "sheet_name", "pubmed_id", "isolate_name", "accession", "accession_type", "organism", "drug_raw", "mic_operator", "mic_value", "sir_call")
+    return records.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in names])
+
+
+def run_log(passes: DataFrame, retained: DataFrame, conflicts: DataFrame, usage: DataFrame | None = None, seconds: float | None = None) -> DataFrame:
+    """One row: records, keys retained, keys dropped and the most frequent reasons, calls, tokens and duration.
+
+    ``usage`` has one row per call, with input_tokens and output_tokens.
+    """
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    reasons = conflicts.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "reason"))).alias("r"))
-    top = reasons.select(F.transform(F.slice("r", 1, 10), lambda x: x["reason"]).alias("reasons"))
-    # Four one-row frames.
-    return count(passes, "records").join(count(retained, "retained")).join(count(conflicts, "dropped")).join(top)
+    reasons = conflicts.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason").limit(10)
+    top = reasons.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "reason"))).alias("r")).select(F.transform("r", lambda x: x["reason"]).alias("reasons"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
+    calls = passes.sparkSession.createDataFrame([], "input_tokens bigint, output_tokens bigint") if usage is None else usage
+    spent = calls.agg(F.count(F.lit(1)).alias("calls"), total("input_tokens"), total("output_tokens"))
+    # Five one-row frames.
+    joined = count(passes, "records").join(count(retained, "retained")).join(count(conflicts, "dropped")).join(top).join(spent)
+    return joined.withColumn("seconds", F.lit(seconds).cast("double"))
 
 
 def sheet_summary(classes: DataFrame) -> DataFrame:
@@ -74,7 +92,13 @@ def write_tables(tables: DataFrame, path: str) -> None:
     tables.select("pmid", table_file_name(F.col("label")).alias("file"), table_text(F.col("label"), F.col("caption"), F.col("rows")).alias("value")).write.mode("overwrite").partitionBy("pmid", "file").text(path)
 
 
+def write_download_report(papers: DataFrame, failures: DataFrame, path: str) -> None:
+    """Both parts of the report as JSON lines, in parts, for any number of papers."""
+    papers.write.mode("overwrite").json(f"{path}/summary")
+    failures.write.mode("overwrite").json(f"{path}/failures")
+
+
 def download_report(papers: DataFrame, failures: DataFrame) -> DataFrame:
-    """One JSON document ``{"summary": [...], "failures": [...]}``."""
+    """One JSON document ``{"summary": [...], "failures": [...]}``, for lists of papers that a person reads; one row holds it all."""
     gathered = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
     return gathered(papers, "summary").join(gathered(failures, "failures")).select(F.to_json(F.struct("summary", "failures")).alias("report"))

@@ -1,26 +1,22 @@
 """Spreadsheet source: the cells of .xlsx workbooks as rows.
 
-``spark.dataSource.register(XlsxDataSource)`` and ``spark.read.format("assay_xlsx").load(path)``.
-For inputs in a store that only Spark reads, ``cells_of`` parses the content of Spark's own
-binaryFile source.  Only the standard library is needed.
+Workbooks come through Spark's own binaryFile source, so that they may lie wherever Spark reads; executors parse them.  A file that can't be
+read gives no cells but a row of ``failures``.  Only the standard library is needed.
 """
 
 from __future__ import annotations
 
-import glob
 import io
-import os
 import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .. import schemas
+from ..functions.text import base_name
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -71,54 +67,39 @@ def workbook_cells(content: bytes, max_rows: int | None = None) -> Iterator[tupl
                     yield sheet.get("name"), at, column_index(cell.get("r")) if cell.get("r") else c, text, is_text
 
 
-def cells_of(files: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Cells of a binaryFile DataFrame; a file that can't be read gives no rows."""
+def parsed(files: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Cells of a binaryFile DataFrame, and for a file that can't be read one row with its ``error``."""
+    columns = ["file_name", "sheet", "row_idx", "col_idx", "value", "is_string", "error"]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 try:
-                    rows = list(workbook_cells(bytes(content), max_rows))
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError):
-                    continue
-                yield pd.DataFrame([(path, *r) for r in rows], columns=["file_name", "sheet", "row_idx", "col_idx", "value", "is_string"])
-
-    return files.select("path", "content").mapInPandas(parse, "file_name string, sheet string, row_idx int, col_idx int, value string, is_string boolean")
-
+                    rows = [(path, *r, None) for r in workbook_cells(bytes(content), max_rows)]
+                except Exception as e:  # whatever a broken file leads to is that file's failure
+                    rows = [(path, None, None, None, None, None, f"{type(e).__name__}: {e}")]
+                out = pd.DataFrame(rows, columns=columns)
+                yield out.astype({"row_idx": "Int32", "col_idx": "Int32", "is_string": "boolean"})
 
-class XlsxDataSource(DataSource):
-    """Options: path (a file, folder or pattern), max_rows, pmid."""
+    return files.select("path", "content").mapInPandas(parse, "file_name string, sheet string, row_idx int, col_idx int, value string, is_string boolean, error string")
 
-    @classmethod
-    def name(cls) -> str:
-        return "assay_xlsx"
-
-    def schema(self) -> str:
-        return schemas.CELLS
-
-    def reader(self, schema) -> XlsxReader:
-        return XlsxReader(self.options)
 
+def cells_of(files: DataFrame, max_rows: int | None = None) -> DataFrame:
+    return parsed(files, max_rows).where("error is null").drop("error")
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
 
+def failures(files: DataFrame) -> DataFrame:
+    """``file_name, error`` of the files that can't be read."""
+    return parsed(files).where("error is not null").select("file_name", "error")
 
-class XlsxReader(DataSourceReader):
-    """One partition per workbook."""
 
-    def __init__(self, options):
-        self.path, self.pmid = options["path"], options.get("pmid")
-        self.max_rows = int(options["max_rows"]) if "max_rows" in options else None
+def workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """Content of the workbooks below a folder, without locks and hidden files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(path)
+    return files.where(~base_name(F.col("path")).rlike(r"^(~\$|\.)"))
 
-    def partitions(self) -> list[InputPartition]:
-        pattern = f"{self.path}/*.xlsx" if os.path.isdir(self.path) else self.path
-        return [_File(p) for p in sorted(glob.glob(pattern)) if not os.path.basename(p).startswith(("~$", "."))]
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with open(partition.path, "rb") as f:
-            content = f.read()
-        for sheet, row, col, value, is_text in workbook_cells(content, self.max_rows):
-            yield self.pmid, os.path.basename(partition.path), sheet, row, col, value, is_text
+def read(spark: SparkSession, path: str, max_rows: int | None = None, pmid: str | None = None) -> DataFrame:
+    """All cells below a path, in the layout of ``schemas.CELLS``."""
+    cells = cells_of(workbooks(spark, path), max_rows)
+    return cells.select(F.lit(pmid).cast("string").alias("pmid"), base_name(F.col("file_name")).alias("file_name"), F.col("sheet").alias("sheet_name"), "row_idx", "col_idx", "value", "is_string")

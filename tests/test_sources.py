@@ -5,14 +5,15 @@ import zipfile
 from xml.sax.saxutils import escape
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from assayflow import schemas
 from assayflow.operators import cells as C
-from assayflow.operators import papers
+from assayflow.operators import papers, sets
 from assayflow.providers import provider
-from assayflow.sources import jats, readers, sinks
-from assayflow.sources.xlsx import XlsxDataSource, cells_of, column_index
+from assayflow.sources import jats, readers, sinks, xlsx
+from assayflow.sources.xlsx import cells_of, column_index
 from assayflow.streaming import ingest
 
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -42,9 +43,10 @@ def test_workbooks(spark, tmp_path):
     assert C.header_rows(cells).first().header_row == 1
     roles = {r.col_name: (r.role, r.paired_with) for r in provider().roles(cells).collect()}
     assert roles == {"Isolate ID": ("local_id", None), "vancomycin": ("drug_mic", "Unnamed: 2"), "Unnamed: 2": ("drug_sir", None)}
-    (tmp_path / "bad.xlsx").unlink()
-    spark.dataSource.register(XlsxDataSource)
-    assert spark.read.format("assay_xlsx").option("max_rows", 2).load(str(tmp_path)).count() == 4
+    (tmp_path / "odd.xlsx").write_bytes(workbook([["a"]]).replace(b"sharedStrings.xml", b"sharedStrinks.xml"))
+    assert {r.file_name.rsplit("/", 1)[-1]: r.error.split(":")[0] for r in xlsx.failures(xlsx.workbooks(spark, str(tmp_path))).collect()} == {"bad.xlsx": "BadZipFile", "odd.xlsx": "IndexError"}
+    few = xlsx.read(spark, str(tmp_path), max_rows=2, pmid="7")
+    assert few.count() == 4 and few.schema.simpleString() == spark.createDataFrame([], schemas.CELLS).schema.simpleString()
     assert [column_index(x) for x in ("A1", "Z9", "AA3")] == [0, 25, 26]
 
 
@@ -75,8 +77,8 @@ def test_articles(spark):
     assert [(r.pmid, r.href) for r in jats.supplement_refs(df).collect()] == [("1", "s.xlsx")]
     assert {r.pmid: (r.found, r.accessions) for r in jats.data_availability(df).collect()} == {"1": (True, ["PRJNA2", "SRR1"]), "2": (False, []), "3": (False, [])}
     got = {r.pmid: (r.ast_location, r.details) for r in papers.classify(df.withColumnRenamed("xml", "text")).collect()}
-    assert got["1"][0] == "main_text_table" and got["1"][1].startswith("mic×2, clsi×1")
-    assert got["3"] == ("no_fulltext_restricted", "")
+    assert got["1"][0] == "main_text_table" and got["1"][1].startswith("AST keyword hits: mic×2, clsi×1")
+    assert got["3"] == ("no_fulltext_restricted", papers.RESTRICTED_DETAILS)
 
 
 def test_text_readers(spark, tmp_path):
@@ -92,6 +94,32 @@ def test_text_readers(spark, tmp_path):
     assert found.count() == 0 and others.count() == 3
 
 
+def test_table_and_folder_readers(spark, tmp_path):
+    for name, rows in (("b", "pmid\tkind\n1\t\"late\n"), ("a", "pmid\tkind\n2\tx\n1\t\"early\n")):
+        (tmp_path / f"{name}.tsv").write_text(rows)
+    assert readers.classification_row(spark, f"{tmp_path}/*.tsv", "1").first().kind == '"early'
+    assert readers.classification_row(spark, f"{tmp_path}/*.tsv", "9").count() == 0
+    assert sorted(tuple(r) for r in readers.glob_tsv(spark, f"{tmp_path}/*.tsv").collect()) == [("1", '"early'), ("1", '"late'), ("2", "x")]
+    (tmp_path / "drugs.txt").write_text(" vancomycin \n\noxacillin\n")
+    assert [r.name for r in readers.antibiotics(spark, str(tmp_path / "drugs.txt")).collect()] == ["vancomycin", "oxacillin"]
+    with pytest.raises(AnalysisException):
+        readers.antibiotics(spark, str(tmp_path / "missing.txt"))
+    for pmid, file in (("11", "s2.pdf"), ("11", "s1.xlsx"), ("12", "x.csv")):
+        (tmp_path / "sup" / pmid).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "sup" / pmid / file).write_text("x")
+    assert {r.pmid: r.files for r in readers.inventory(spark, str(tmp_path / "sup")).collect()} == {"11": ["s1.xlsx", "s2.pdf"], "12": ["x.csv"]}
+    (tmp_path / "seed.csv").write_text('accession_id,mic,genome_ids\n"[GCA_1](http://x/y)",<= 2,"[""a"", ""b""]"\nSAMN2,== 16,\n')
+    seed = {r.accession: (r.mic, r.genome_ids) for r in readers.seed_csv(spark, str(tmp_path / "seed.csv")).collect()}
+    assert seed == {"GCA_1": ("<= 2", ["a", "b"]), "SAMN2": ("== 16", None)}
+    (tmp_path / "starter" / "123").mkdir(parents=True)
+    (tmp_path / "starter" / "123" / "metadata.json").write_text('{\n"title": "T", "pmcid": "PMC1", "other": 1}')
+    (tmp_path / "starter" / "123" / "fulltext.xml").write_text("<a>\n</a>")
+    assert [tuple(r) for r in readers.starter(spark, str(tmp_path / "starter")).collect()] == [("123", "T", "PMC1", None, "<a>\n</a>")]
+    sets.require_columns(seed_frame := spark.range(1), {"id"})
+    with pytest.raises(ValueError, match="missing columns: a, b"):
+        sets.require_columns(seed_frame, {"id", "b", "a"})
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("1", None)], "pmid string, file_name string")
     full = df.select(*[F.col(n) if n in df.columns else F.lit(None).cast("string").alias(n) for n in schemas.RECORD_FINAL.fieldNames()])
@@ -104,7 +132,12 @@ def test_sinks(spark, tmp_path):
     report = sinks.download_report(df, df.limit(0)).first().report
     assert report == '{"summary":[{"pmid":"1"}],"failures":[]}'
     log = sinks.run_log(df, df, spark.createDataFrame([("x",)], "reason string")).first()
-    assert (log.records, log.retained, log.dropped, log.reasons) == (1, 1, 1, ["x"])
+    assert (log.records, log.retained, log.dropped, log.reasons, log.calls, log.input_tokens) == (1, 1, 1, ["x"], 0, 0)
+    usage = spark.createDataFrame([(10, 2), (5, 1)], "input_tokens int, output_tokens int")
+    log = sinks.run_log(df, df, spark.createDataFrame([("x",)], "reason string"), usage, 1.5).first()
+    assert (log.calls, log.input_tokens, log.output_tokens, log.seconds) == (2, 15, 3, 1.5)
+    sinks.write_download_report(df, df.limit(0), str(tmp_path / "dl"))
+    assert spark.read.json(str(tmp_path / "dl/summary")).first().pmid == "1"
 
 
 def test_stream_publishes_each_batch_once(spark, tmp_path):

@@ -1,7 +1,12 @@
 """Workflows over files, through the command line."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from assayflow import cli, schemas
 from assayflow.plans import workflows
+from assayflow.providers import RuleProvider, TransformSpec, provider, register
+from assayflow.sources import sinks
 
 from .test_sources import workbook
 
@@ -12,7 +17,8 @@ def _tsv(path, rows):
 
 
 def _read(folder):
-    return [line.split("\t") for p in sorted(folder.glob("part*")) for line in p.read_text().splitlines()]
+    rows = [line.split("\t") for p in sorted(folder.glob("part*")) for line in p.read_text().splitlines()]
+    return rows[:1] + [r for r in rows if r != rows[0]]
 
 
 def test_extract_and_scan(spark, tmp_path):
@@ -29,6 +35,60 @@ def test_extract_and_scan(spark, tmp_path):
     assert v1.columns == schemas.RECORD_V1.fieldNames() and {r.accession_type for r in v1.collect()} == {"BioSample"}
 
 
+def test_sparse_sheets_keep_their_rows(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook([["Strain", "BioSample", "vancomycin", "oxacillin"], ["i1", "SAMN12345", "<=4", 8], [None, "SAMN12346", 0.5, None], [None, None, 2, 16], ["Strain", "BioSample", "vancomycin", "oxacillin"]]))
+    cells = workflows.workbook_cells(spark, str(tmp_path))
+    got = {(r.isolate_id, r.drug, r.mic) for r in workflows.extract(cells).collect()}
+    assert got == {("i1", "vancomycin", "4"), ("i1", "oxacillin", "8"), ("SAMN12346", "vancomycin", "0.5"), ("isolate_4", "vancomycin", "2"), ("isolate_4", "oxacillin", "16")}
+
+
+def test_metadata_sheets_of_other_workbooks(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook([["Strain", "vancomycin"], ["i1", 4], ["i2", 8]]))
+    (tmp_path / "b.xlsx").write_bytes(workbook([["Isolate", "Run", "Sample acc"], ["i1", "ERR100001", "SAMN1"], ["i2", "SRR200002", None], [None, None, "SAMN3"]]))
+    (tmp_path / "c.xlsx").write_bytes(workbook([["Isolate", "Colour"], ["i1", "red"], ["i9", "blue"]]))
+    cells = workflows.workbook_cells(spark, str(tmp_path))
+    records, log = workflows.with_metadata(workflows.extract(cells), cells)
+    assert {r.isolate_id: r.accession for r in records.collect()} == {"i1": "SAMN1,ERR100001", "i2": "SRR200002"}
+    assert {r.sheet.rsplit("/", 1)[-1]: (r.candidate, r.n_rows) for r in log.collect()} == {"b.xlsx|One": (True, 3), "c.xlsx|One": (False, 0)}
+
+
+class Stubborn(RuleProvider):
+    """Begins with a column that isn't there, then with ids that are blank in places."""
+
+    def propose(self, columns, errors, attempt, pass_no):
+        spec = super().propose(columns, errors, attempt, pass_no)
+        return TransformSpec(("Missing",), spec.drug_columns) if pass_no == 1 and attempt == 1 else spec
+
+
+def test_attempts_learn_from_errors(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook([["Strain", "BioSample", "vancomycin"], ["i1", "SAMN12345", "<=4"], [None, None, 0.5], ["i3", "SAMN12347", "8"]]))
+    cells = workflows.workbook_cells(spark, str(tmp_path)).cache()
+    register("stubborn", Stubborn)
+    (first, second), log = workflows.extract_with_attempts(cells, "stubborn", passes=2)
+    assert sorted(r.isolate_id for r in first.collect()) == ["i1", "i3"] == sorted(r.isolate_id for r in second.collect())
+    attempts = {(r.pass_no, r.attempt): (r.n_valid, r.errors) for r in log.collect()}
+    assert attempts[0, 1] == (2, ["missing identifier"]) and attempts[0, 2] == (2, ["missing identifier"])
+    assert attempts[1, 1][0] == 0 and attempts[1, 1][1][0].startswith("the transform failed") and attempts[1, 2][0] == 2
+    spec = TransformSpec.from_json(log.where("pass_no = 0 and attempt = 2").first().spec)
+    assert spec.id_columns == ("Strain", "BioSample") and spec.drug_columns == {"vancomycin": "vancomycin"}
+    sinks.write_specs(log, str(tmp_path / "specs"))
+    assert spark.read.json(str(tmp_path / "specs")).count() == 4
+    with pytest.raises(ValueError, match="unknown provider"):
+        provider("nobody")
+
+
+def test_first_free_column_is_the_id(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook([["vancomycin", "Number", "Ward", "Organism"], [4, "n1", "w1", "S. aureus"], [8, "n2", "w2", None]]))
+    cells = workflows.workbook_cells(spark, str(tmp_path))
+    records = workflows.extract(cells)
+    assert {(r.isolate_id, r.mic) for r in records.collect()} == {("n1", "4"), ("n2", "8")}
+    roles, _ = workflows.classify_workbooks(cells)
+    v1 = workflows.records_v1(records, workflows.organisms(cells, roles))
+    assert {r.isolate_name: r.organism for r in v1.collect()} == {"n1": "S. aureus", "n2": None}
+    data = sinks.mic_data(v1.withColumnsRenamed({"source_sheet": "sheet_name"}).withColumn("file_name", F.lit("a.xlsx")))
+    assert len(data.columns) == 11 and {r.organism for r in data.collect()} == {"S. aureus", ""}
+
+
 def test_evaluate_and_match(spark, tmp_path):
     names = schemas.RECORD_FINAL.fieldNames()
     record = lambda **k: [k.get(n, "") for n in names]
