@@ -76,56 +76,62 @@ def summary_join(get):
     return P.with_summaries(get("customer").select(F.col("c_custkey").cast("string").alias("pmid")), summaries)
 
 
-_XML = (
-    '<article><body><sec><p>Table 1 shows</p><table-wrap id="t1"><label>Table 1</label><caption><p>MIC of <b>x</b></p></caption><table><tr><th>Isolate</th><th>VAN</th></tr>'
-    "<tr><td>A{0}</td><td><b>&gt;<i>4</i></b></td></tr><tr><td/></tr></table></table-wrap><table-wrap><label>Table S2</label><caption>MIC too</caption><table><tr><td>z</td></tr></table></table-wrap>"
-    '<supplementary-material href="s{0}.xlsx"><media href="m.pdf"/><media href="http://x/y"/><graphic href="s{0}.xlsx"/></supplementary-material></sec></body>'
-    '<back><sec sec-type="data-availability"><title>Data</title><p>In PRJNA{0} and GCA_000{0}.1; SAMN{0}.</p></sec></back></article>'
-)
-
-
-def _articles(get):
-    n = F.col("n_nationkey")
-    xml = F.when(n % 5 == 4, F.lit("<article><unclosed>")).when(n % 5 == 3, F.lit("<article><body/></article>")).otherwise(F.replace(F.lit(_XML), F.lit("{0}"), n.cast("string")))
-    return get("nation").select(n.cast("string").alias("pmid"), xml.alias("xml"))
-
-
-_A = "SELECT CAST(n_nationkey AS VARCHAR) AS pmid FROM nation WHERE n_nationkey % 5 < 3"
+# The articles' XML taken apart by patterns: table elements, their labels, captions and rows, with tags dropped and blanks joined.
+_FLAT = r"trim(regexp_replace(replace(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))"
+_TABLES_SQL = rf"""
+a AS (SELECT pmid, xml, doc_id % 9 <> 8 AS sound FROM articles),
+wr AS (SELECT pmid, unnest(w) AS wrap, generate_subscripts(w, 1) - 1 AS table_idx FROM (SELECT pmid, regexp_extract_all(xml, '(?s)<table-wrap.*?</table-wrap>') AS w FROM a WHERE sound)),
+tr AS (SELECT pmid, table_idx, {_FLAT.format("regexp_extract(wrap, '<label>(.*?)</label>', 1)")} AS label, {_FLAT.format("regexp_extract(wrap, '<caption>(.*?)</caption>', 1)")} AS caption,
+  list_transform(regexp_extract_all(wrap, '<tr>.*?</tr>'), lambda r: list_transform(regexp_extract_all(replace(r, '<td/>', '<td></td>'), '<t[dh]>.*?</t[dh]>'), lambda c: {_FLAT.format('c')})) AS rws FROM wr),
+tb AS (SELECT pmid, CAST(table_idx AS INTEGER) AS table_idx, label, caption, list_filter(rws, lambda r: array_to_string(r, '') <> '') AS rws FROM tr),
+kt AS (SELECT *, array_to_string(flatten(rws[1:6]), ' ') AS head FROM tb),
+ak AS (SELECT * FROM kt WHERE NOT regexp_matches(label, '{P.SUPPLEMENT_LABEL}')
+  AND NOT (regexp_matches(caption, '{P.GENE_TABLE}') AND NOT regexp_matches(caption, '{P.STRONG_TOPIC}') AND NOT regexp_matches(head, '{P.STRONG_TOPIC}'))
+  AND (regexp_matches(caption, '{P.TOPIC}') OR regexp_matches(head, '{P.TOPIC}')))
+"""
 
 
-@query("xml_tables", f"""SELECT pmid, 0 AS table_idx, 'Table 1' AS label, 'MIC of x' AS caption, 'Isolate|VAN#A' || pmid || '|>4' AS rows FROM ({_A}) UNION ALL SELECT pmid, 1, 'Table S2', 'MIC too', 'z' FROM ({_A})""")
+@query("xml_tables", f"WITH {_TABLES_SQL} SELECT pmid, table_idx, label, caption, array_to_string(list_transform(rws, lambda r: array_to_string(r, '|')), '#') AS rows FROM tb", ("articles",))
 def xml_tables(get):
-    return jats.tables(_articles(get)).withColumn("rows", F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "#"))
+    return jats.tables(get("articles")).withColumn("rows", F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "#"))
 
 
-@query("ast_table_filter", f"SELECT pmid, 'Table 1' AS label FROM ({_A})")
+@query("ast_table_filter", f"WITH {_TABLES_SQL} SELECT pmid, table_idx, label FROM ak", ("articles",))
 def ast_table_filter(get):
-    return P.keep_tables(jats.tables(_articles(get))).select("pmid", "label")
+    return P.keep_tables(jats.tables(get("articles"))).select("pmid", "table_idx", "label")
 
 
-@query("ast_table_text", f"SELECT pmid, 'Table_1.tsv' AS file, '# Table 1: MIC of x' || chr(10) || 'Isolate' || chr(9) || 'VAN' || chr(10) || 'A' || pmid || chr(9) || '>4' || chr(10) AS text FROM ({_A})")
+@query("ast_table_text", rf"""WITH {_TABLES_SQL} SELECT pmid, table_idx, coalesce(nullif(regexp_replace(regexp_replace(label, '[^A-Za-z0-9_.-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'table') || '.tsv' AS file,
+  '# ' || label || ': ' || caption || chr(10) || array_to_string(list_transform(rws, lambda r: array_to_string(r, chr(9))), chr(10)) || chr(10) AS text FROM ak""", ("articles",))
 def ast_table_text(get):
-    t = P.keep_tables(jats.tables(_articles(get)))
-    return t.select("pmid", sinks.table_file_name(F.col("label")).alias("file"), sinks.table_text(F.col("label"), F.col("caption"), F.col("rows")).alias("text"))
+    t = P.keep_tables(jats.tables(get("articles")))
+    return t.select("pmid", "table_idx", sinks.table_file_name(F.col("label")).alias("file"), sinks.table_text(F.col("label"), F.col("caption"), F.col("rows")).alias("text"))
 
 
-@query("ast_table_scan", f"SELECT pmid AS path, 'Table 1: MIC of x' AS caption, 'Isolate|VAN' AS header, 0 AS row_idx, 'A' || pmid || '|>4' AS cells FROM ({_A})")
+@query("ast_table_scan", f"""WITH {_TABLES_SQL} SELECT path, caption, header, CAST(i - 2 AS INTEGER) AS row_idx, cells FROM (
+  SELECT pmid || '-' || CAST(table_idx AS VARCHAR) AS path, label || ': ' || caption AS caption, array_to_string(rws[1], '|') AS header, unnest(list_transform(rws, lambda r: array_to_string(r, '|'))) AS cells, generate_subscripts(rws, 1) AS i FROM ak) WHERE i > 1""", ("articles",))
 def ast_table_scan(get):
-    """Saved tables read back, with a spanning line in front that is skipped."""
-    t = P.keep_tables(jats.tables(_articles(get)))
-    text = sinks.table_text(F.col("label"), F.col("caption"), F.concat(F.array(F.array(F.lit("MIC"))), F.col("rows")))
-    rows = readers.table_rows(t.select(F.col("pmid").alias("path"), F.split(text, "\n").alias("all")))
+    """Saved tables read back, with a spanning line in front that is skipped where two equally wide lines follow."""
+    t = P.keep_tables(jats.tables(get("articles")))
+    spanned = F.when(F.size("rows") > 1, F.concat(F.array(F.array(F.lit("MIC"))), F.col("rows"))).otherwise(F.col("rows"))
+    text = sinks.table_text(F.col("label"), F.col("caption"), spanned)
+    rows = readers.table_rows(t.select(F.concat_ws("-", "pmid", F.col("table_idx").cast("string")).alias("path"), F.split(text, "\n").alias("all")))
     return rows.select("path", "caption", F.array_join("header", "|").alias("header"), "row_idx", F.array_join("cells", "|").alias("cells"))
 
 
-@query("supplement_refs", f"SELECT pmid, 0 AS ordinal, 's' || pmid || '.xlsx' AS href FROM ({_A}) UNION ALL SELECT pmid, 1, 'm.pdf' FROM ({_A})")
+@query("supplement_refs", """WITH r AS (SELECT pmid, list_distinct(regexp_extract_all(regexp_extract(xml, '<supplementary-material.*?</supplementary-material>'), 'href="([^"]*)"', 1)) AS d,
+  regexp_extract_all(regexp_extract(xml, '<supplementary-material.*?</supplementary-material>'), 'href="([^"]*)"', 1) AS all_refs FROM articles WHERE doc_id % 9 <> 8),
+f AS (SELECT pmid, list_filter(all_refs, lambda h, i: NOT starts_with(h, 'http') AND list_position(all_refs, h) = i) AS refs FROM r)
+SELECT pmid, CAST(generate_subscripts(refs, 1) - 1 AS INTEGER) AS ordinal, unnest(refs) AS href FROM f""", ("articles",))
 def supplement_refs(get):
-    return jats.supplement_refs(_articles(get))
+    return jats.supplement_refs(get("articles"))
 
 
-@query("data_availability", f"""SELECT CAST(n_nationkey AS VARCHAR) AS pmid, n_nationkey % 5 < 3 AS found, CASE WHEN n_nationkey % 5 < 3 THEN 'GCA_000' || CAST(n_nationkey AS VARCHAR) || '.1,PRJNA' || CAST(n_nationkey AS VARCHAR) || ',SAMN' || CAST(n_nationkey AS VARCHAR) ELSE '' END AS accessions FROM nation""")
+@query("data_availability", rf"""WITH b AS (SELECT pmid, doc_id % 9 <> 8 AS sound, regexp_extract(xml, '<back>(.*)</back>', 1) AS back FROM articles),
+s AS (SELECT pmid, sound AND (contains(back, 'sec-type="data-availability"') OR regexp_matches(lower(regexp_extract(back, '<title>(.*?)</title>', 1)), '{P.AVAILABILITY_HEADING}')) AS found, back FROM b)
+SELECT pmid, found, CASE WHEN found THEN array_to_string(list_sort(list_distinct(regexp_extract_all(regexp_replace(back, '<[^>]*>', ' ', 'g'), '{P.DEPOSITED}', 1))), ',') ELSE '' END AS accessions FROM s""", ("articles",))
 def data_availability(get):
-    return jats.data_availability(_articles(get)).withColumn("accessions", F.array_join("accessions", ","))
+    return jats.data_availability(get("articles")).withColumn("accessions", F.array_join("accessions", ","))
 
 
 @query("article_summaries", """SELECT CAST(o_orderkey AS VARCHAR) AS pmid, 'T' || o_orderstatus AS title, 'A' || o_orderstatus AS first_author, '2020' AS year, CASE WHEN o_orderkey % 2 = 0 THEN 'PMC7' END AS pmcid, '10.1/' || CAST(o_orderkey AS VARCHAR) AS doi FROM (SELECT DISTINCT o_orderkey, o_orderstatus FROM orders)""")
@@ -138,12 +144,13 @@ def article_summaries(get):
     return connectors.article_summaries(get("orders").select("o_orderkey", "o_orderstatus").distinct().select(body.alias("json")))
 
 
-@query("genome_projection", """SELECT CAST(n_nationkey AS VARCHAR) AS pmid, CAST(n_nationkey AS VARCHAR) || '.1' AS genome_id, 'A1,B' || CAST(n_nationkey AS VARCHAR) AS genbank_accessions FROM nation""")
+@query("genome_projection", """SELECT CAST(c_custkey AS VARCHAR) AS pmid, CAST(c_custkey AS VARCHAR) || '.1' AS genome_id, CASE WHEN c_nationkey % 2 = 0 THEN 'A1,B' ELSE 'A1,A2,B' END || CAST(c_custkey AS VARCHAR) AS genbank_accessions FROM customer""")
 def genome_projection(get):
-    k = F.col("n_nationkey").cast("string")
-    docs = F.concat(F.lit('[{"genome_id": "'), k, F.lit('.1", "genbank_accessions": "B'), k, F.lit(', A1"}, {"genome_id": "'), k, F.lit('.1"}]'))
-    body = F.when(F.col("n_nationkey") % 3 == 0, docs).when(F.col("n_nationkey") % 3 == 1, F.concat(F.lit('{"response": {"docs": '), docs, F.lit("}}"))).otherwise(F.concat(F.lit('{"docs": '), docs, F.lit("}")))
-    found = connectors.genomes_of_papers(get("nation").select(k.alias("pmid"), body.alias("json")))
+    k, n = F.col("c_custkey").cast("string"), F.col("c_nationkey")
+    more = F.when(n % 2 == 0, F.lit("A1")).otherwise("A1,A2")
+    docs = F.concat(F.lit('[{"genome_id": "'), k, F.lit('.1", "genbank_accessions": "B'), k, F.lit(", "), more, F.lit('"}, {"genome_id": "'), k, F.lit('.1"}]'))
+    body = F.when(n % 3 == 0, docs).when(n % 3 == 1, F.concat(F.lit('{"response": {"docs": '), docs, F.lit("}}"))).otherwise(F.concat(F.lit('{"docs": '), docs, F.lit("}")))
+    found = connectors.genomes_of_papers(get("customer").select(k.alias("pmid"), body.alias("json")))
     return found.select("pmid", F.array_join("genome_id", ",").alias("genome_id"), F.array_join("genbank_accessions", ",").alias("genbank_accessions"))
 
 

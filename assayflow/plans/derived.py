@@ -105,7 +105,21 @@ SELECT CAST(20000000 + doc_id AS STRING) AS pmid, doc_id, coalesce(source, '') A
 FROM {documents}
 """
 
-_SQL = {"ast_long": AST_LONG, "extracted": EXTRACTED, "truth": TRUTH, "meta": META, "isolates": ISOLATES, "strains": STRAINS, "tokens": TOKENS, "measures": MEASURES, "cells": CELLS, "papers": PAPERS}
+# An article for every document; its words fill tables, captions, references and statements.  Every ninth is malformed.
+ARTICLES = """
+SELECT CAST(doc_id AS STRING) AS pmid, doc_id,
+  CASE WHEN doc_id % 9 = 8 THEN concat('<article><body>', x, '</article>')
+  ELSE concat('<article><front/><body><sec><p>', x, '</p><table-wrap id="t"><label>Table ', CASE WHEN doc_id % 4 = 3 THEN 'S' ELSE '' END, CAST(doc_id % 5 AS STRING), '</label><caption><p>',
+    CASE doc_id % 5 WHEN 0 THEN 'MIC of <i>' WHEN 1 THEN 'Resistance genes <i>' WHEN 2 THEN 'Genes and MICs by CLSI <i>' WHEN 3 THEN 'Colours <i>' ELSE 'Zone diameter <i>' END, split_part(x, ' ', 2), '</i></p></caption><table><tr><th>Isolate</th><th> ',
+    split_part(x, ' ', 3), ' </th></tr><tr><td/><td></td></tr><tr><td>', split_part(x, ' ', 4), '</td><td><b>&gt;<i>', CAST(doc_id % 64 AS STRING), '</i></b> </td></tr></table></table-wrap>',
+    CASE WHEN doc_id % 3 = 0 THEN concat('<table-wrap><label>Table 7</label><caption>', split_part(x, ' ', 5), '</caption><table><tr><td>', split_part(x, ' ', 6), '</td></tr></table></table-wrap>') ELSE '' END,
+    CASE WHEN doc_id % 2 = 0 THEN concat('<supplementary-material href="s', CAST(doc_id AS STRING), '.xlsx"><media href="m', CAST(doc_id % 7 AS STRING), '.pdf"/><media href="http://x/y"/><graphic href="s', CAST(doc_id AS STRING), '.xlsx"/></supplementary-material>') ELSE '' END,
+    '</sec></body>', CASE doc_id % 4 WHEN 0 THEN concat('<back><sec sec-type="data-availability"><title>Data</title><p>In PRJNA', CAST(doc_id AS STRING), ' and GCA_000', CAST(doc_id AS STRING), '.1; SAMN', CAST(doc_id AS STRING), '.</p></sec></back>')
+      WHEN 1 THEN concat('<back><notes><title>Accession numbers</title><p>ERR', CAST(doc_id AS STRING), ', ERR', CAST(doc_id AS STRING), '</p></notes></back>') WHEN 2 THEN '<back><sec><title>Data availability</title><p>On request.</p></sec></back>' ELSE '' END, '</article>') END AS xml
+FROM (SELECT doc_id, concat('w ', trim(regexp_replace(regexp_replace(substring(coalesce(text, ''), 1, 400), '[^A-Za-z ]', ' '{g}), ' +', ' '{g})), ' a b c d e f') AS x FROM {documents}) d
+"""
+
+_SQL = {"articles": ARTICLES, "ast_long": AST_LONG, "extracted": EXTRACTED, "truth": TRUTH, "meta": META, "isolates": ISOLATES, "strains": STRAINS, "tokens": TOKENS, "measures": MEASURES, "cells": CELLS, "papers": PAPERS}
 _TABLES = ("lineitem", "supplier", "customer", "orders", "part", "documents", "nation", "events", "pages")
 
 
@@ -113,13 +127,15 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived relation, or a test table itself."""
     if name not in _SQL:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sources = {n: frame(spark, sf_dir, n) for n in (*_SQL, *_TABLES) if "{" + n + "}" in _SQL[name]}
-    return spark.sql(_SQL[name], **sources)
+    text = _SQL[name].replace("{g}", "")
+    sources = {n: frame(spark, sf_dir, n) for n in (*_SQL, *_TABLES) if "{" + n + "}" in text}
+    return spark.sql(text, **sources)
 
 
 def sql(name: str) -> str:
     """The relation as a DuckDB subquery."""
-    text = _SQL[name].replace("`", '"')
+    # DuckDB replaces only the first match unless it is told otherwise.
+    text = _SQL[name].replace("`", '"').replace("{g}", ", 'g'")
     for n in (*_SQL, *_TABLES):
         if "{" + n + "}" in text:
             text = text.replace("{" + n + "}", f"({sql(n)})" if n in _SQL else n)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.drugs import drug_of_header, split_combined
 from ..operators import cells as C
-from ..operators import enrich, sheets, unpivot
+from ..operators import enrich, metadata, sheets, unpivot
 from .registry import query
 
 HEADER = """
@@ -177,3 +177,53 @@ def candidate_metadata_sheet(get):
     second = m.select("sheet", "row_idx", F.lit("c1").alias("col_name"), F.when(s % 13 % 2 == 0, F.concat(F.lit(" iso-"), s.cast("string"))).otherwise("?").alias("value"))
     ids = get("supplier").where(s % 4 == 0).select(F.concat(F.lit("ISO-"), s.cast("string")).alias("known"), F.lit(True).alias("is_isolate"))
     return enrich.candidate_metadata_sheets(first.unionByName(second), ids)
+
+
+_MAPPED = """
+SELECT concat('m', CAST(s_suppkey % 7 AS VARCHAR(20))) AS sheet, s_suppkey AS row_idx, c.col_idx,
+  CASE c.col_idx WHEN 0 THEN CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE concat(' ISO-', CAST(s_suppkey AS VARCHAR(20)), ' ') END
+    WHEN 1 THEN CASE s_suppkey % 3 WHEN 0 THEN concat('see SAMN', CAST(s_suppkey AS VARCHAR(20)), ', ERR', CAST(s_suppkey AS VARCHAR(20))) WHEN 1 THEN 'none' ELSE concat('CP', CAST(100000 + s_suppkey AS VARCHAR(20))) END
+    ELSE CASE WHEN s_suppkey % 4 = 0 THEN concat('GCA_', CAST(s_suppkey AS VARCHAR(20))) ELSE 'a word' END END AS value
+FROM {0} CROSS JOIN (SELECT 0 AS col_idx UNION ALL SELECT 1 UNION ALL SELECT 2) c
+"""
+_MAP_SQL = f"""
+m AS ({_MAPPED.format('supplier')}),
+x AS (SELECT sheet, row_idx, max(CASE WHEN col_idx = 0 THEN nullif(trim(value), '') END) AS isolate_id, list_sort(list_distinct(flatten(list(regexp_extract_all(value, 'SAMN[0-9]+|ERR[0-9]+|GCA_[0-9]+|CP[0-9]+'))))) AS accs
+  FROM m WHERE value IS NOT NULL GROUP BY 1, 2),
+mm AS (SELECT sheet, row_idx, isolate_id, nullif(array_to_string(accs, ','), '') AS accession, nullif(array_to_string(list_filter(accs, lambda a: a NOT LIKE 'SAM%'), ','), '') AS secondary_accession FROM x WHERE isolate_id IS NOT NULL OR len(accs) > 0)
+"""
+
+
+def _mapped(get):
+    s = get("supplier")
+    cells = s.sparkSession.sql(_MAPPED.format("{supplier}"), supplier=s)
+    columns = F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit(n).alias("column_name"), F.lit(r).alias("role")) for i, (n, r) in enumerate((("Isolate", "local_id"), ("Sample", "public_accession"), ("Notes", "metadata")))])
+    return cells, cells.select("sheet").distinct().select("sheet", F.inline(columns))
+
+
+@query("metadata_map", f"WITH {_MAP_SQL} SELECT sheet, row_idx, isolate_id, accession, secondary_accession FROM mm")
+def metadata_map(get):
+    return metadata.metadata_map(*_mapped(get))
+
+
+@query("metadata_discovery", f"""WITH {_MAP_SQL}, k AS (SELECT sheet, row_idx FROM m WHERE sheet <> 'm3' AND row_idx < 8),
+c AS (SELECT sheet, bool_or(regexp_matches(coalesce(value, ''), 'SAMN[0-9]+|ERR[0-9]+|GCA_[0-9]+|CP[0-9]+')) AS candidate FROM m WHERE sheet <> 'm3' AND row_idx < 8 GROUP BY sheet),
+n AS (SELECT sheet, count(*) AS n FROM mm GROUP BY sheet)
+SELECT c.sheet, c.candidate, CASE WHEN c.candidate THEN n.n ELSE 0 END AS n_rows FROM c LEFT JOIN n ON c.sheet = n.sheet""")
+def metadata_discovery(get):
+    """The log of candidate sheets, one sheet already done; ids are among the records, or the id column is named for isolates."""
+    cells, roles = _mapped(get)
+    records = get("supplier").select(F.concat(F.lit("ISO-"), F.col("s_suppkey").cast("string")).alias("isolate_id"), F.lit(None).cast("string").alias("accession"))
+    done = roles.where("sheet = 'm3'").select("sheet").distinct()
+    return metadata.discover(cells, roles, records, done)[1]
+
+
+@query("id_column_fallback", """SELECT concat('t', CAST(c_custkey AS VARCHAR)) AS sheet, CASE WHEN c_custkey % 3 = 0 THEN 'Strain' WHEN c_custkey % 3 = 1 THEN 'Number' ELSE 'Key' END AS id_column FROM customer""")
+def id_column_fallback(get):
+    """A named id, else the first column that is no drug's; an accession column is an id, too."""
+    k = F.col("c_custkey")
+    names = F.when(k % 3 == 0, F.array(*map(F.lit, ("Number", "Strain", "vancomycin")))).when(k % 3 == 1, F.array(*map(F.lit, ("vancomycin", "Number", "Ward")))).otherwise(F.array(*map(F.lit, ("Ward", "Key", "vancomycin"))))
+    share = lambda hit: F.when(hit, 1.0).otherwise(0.0)
+    rows = get("customer").select(F.concat(F.lit("t"), k.cast("string")).alias("sheet"), F.posexplode(names).alias("col_idx", "col_name"))
+    profiles = rows.select("*", share(F.col("col_name") == "vancomycin").alias("mic_share"), F.lit(0.0).alias("sir_share"), share(F.col("col_name") == "Key").alias("accession_share"))
+    return unpivot.primary_ids(sheets.column_roles(profiles).withColumnRenamed("col_name", "column_name")).select("sheet", "id_column")
