@@ -12,9 +12,9 @@ come from lookup tables:
   in double precision.  r follows from the threshold: |q - x|^2 = 2 - 2 cos for unit vectors.
 
 Equal vectors of one label are one class with a weight.  Neighbouring lists of a label are joined to
-cells of about ``BLOCK`` members, to which a query travels once however many of their lists it visits.  Larger cells are cut
+cells of about ``BLOCK_BYTES`` of members, to which a query travels once however many of their lists it visits.  Larger cells are cut
 into blocks, and visitors too, so that a task holds one block pair whatever the size of a list; from each pair of blocks come a count per query and a spanning forest of its links,
-never all pairs.
+never all pairs.  Copies of vectors on their way are about the label's size by a block's for each, where the vectors have no structure that lets lists be skipped.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and
 rows with a null label, link with nothing; vectors of different lengths are
@@ -38,7 +38,8 @@ THRESHOLD = 0.93
 SAMPLE, LISTS, SUBSPACES, CODES = 10_000, 1024, 8, 64
 #: Vectors per list that are aimed at.
 PER_LIST = 512
-BLOCK = 4096
+#: Bytes of the vectors in a block, and pairs of vectors whose table distances are held at a time.
+BLOCK_BYTES, PAIRS = 16 << 20, 1_000_000
 #: Rows of a plan over lists up to which it is broadcast.
 FEW = 100_000
 
@@ -102,6 +103,11 @@ class Quantiser:
         return (gap <= 2 * self.reach * self.between[own] + 1e-9) | (np.arange(len(self.centres)) == own[:, None])
 
 
+def block_size(size: int) -> int:
+    """Vectors of a block."""
+    return max(256, BLOCK_BYTES // (8 * size))
+
+
 def _usable(values) -> bool:
     return values is not None and len(values) > 0 and all(v is not None for v in values)
 
@@ -111,7 +117,9 @@ def _unit(batch: pd.Series, size: int | None) -> tuple[np.ndarray, np.ndarray]:
     rows = [np.asarray(v, dtype=np.float64) if _usable(v) and (size is None or len(v) == size) else None for v in batch]
     ok = np.array([v is not None and bool(np.isfinite(v).all()) and bool(v.any()) for v in rows], dtype=bool)
     x = np.stack([v for v, k in zip(rows, ok, strict=True) if k]) if ok.any() else np.empty((0, size or 0))
-    x = x / np.maximum(np.abs(x).max(1, keepdims=True), 1e-300) if len(x) else x
+    # Scaled by the largest component first, in two steps, as its inverse may be infinite for the smallest doubles.
+    x = np.where(np.abs(x).max(1, keepdims=True) < 2.0**-512, x * 2.0**512, x) if len(x) else x
+    x = x / np.abs(x).max(1, keepdims=True) if len(x) else x
     return x / np.sqrt((x * x).sum(1, keepdims=True)) if len(x) else x, ok
 
 
@@ -159,19 +167,20 @@ def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: floa
                 mask = quantiser.probes(x, own)
                 yield b[["rep", "weight", "label"]].assign(x=[v.tobytes() for v in x], own=own.astype(np.int32), lists=[np.flatnonzero(m).astype(np.int32) for m in mask])
 
+    block = block_size(size)
     placed = checkpointed(classes.select("rep", "weight", "label", "v").mapInPandas(assign, f"rep {kind}, weight bigint, label string, x binary, own int, lists array<int>"))
     lists = checkpointed(placed.groupBy("label", F.col("own").alias("list")).agg(F.count(F.lit(1)).alias("n")))
     small = F.broadcast if lists.count() <= FEW else lambda df: df
     ahead = F.sum("n").over(Window.partitionBy("label").orderBy("list")) - F.col("n")
-    celled = lists.withColumn("cell", F.floor(ahead / BLOCK).cast("int"))
-    sizes = celled.groupBy("label", "cell").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    celled = lists.withColumn("cell", F.floor(ahead / block).cast("int"))
+    sizes = celled.groupBy("label", "cell").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     entry = F.map_from_entries(F.collect_list(F.struct("list", F.struct("cell", "blocks"))))
     cells = celled.join(sizes, ["label", "cell"]).groupBy("label").agg(entry.alias("m"))
     cells = cells.select("label", F.transform(F.sequence(F.lit(0), F.lit(len(quantiser.centres) - 1)), lambda i: F.col("m")[i]).alias("cells"))
     routed = placed.join(small(cells), "label")
     there = F.array_distinct(F.filter(F.transform("lists", lambda c: F.get("cells", c)), lambda c: c.isNotNull()))
     visits = routed.select("rep", "weight", "label", "x", "own", F.explode(there).alias("at")).select("*", "at.cell", "at.blocks")
-    guests = small(checkpointed(visits.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("guests"))))
+    guests = small(checkpointed(visits.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("guests"))))
     salt = F.xxhash64("rep", F.lit(3))
     member = (
         routed.withColumn("at", F.get("cells", F.col("own"))).select("rep", "weight", "label", "x", "own", "at.cell", "at.blocks").join(guests, ["label", "cell"])
@@ -206,10 +215,11 @@ def _search(classes: DataFrame, quantiser: Quantiser, size: int, threshold: floa
             return v
 
         out_a, out_b, out_n = [], [], []
-        for at in range(0, len(g), 256):
-            ids = gid[at : at + 256]
-            q = np.frombuffer(b"".join(g["x"].iloc[at : at + 256]), dtype=np.float64).reshape(-1, size)
-            visited = quantiser.probes(q, g["own"].to_numpy()[at : at + 256])
+        step = max(16, PAIRS // len(m))
+        for at in range(0, len(g), step):
+            ids = gid[at : at + step]
+            q = np.frombuffer(b"".join(g["x"].iloc[at : at + step]), dtype=np.float64).reshape(-1, size)
+            visited = quantiser.probes(q, g["own"].to_numpy()[at : at + step])
             use = np.flatnonzero(visited.any(0)[lists])
             if not len(use):
                 continue

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -276,10 +277,32 @@ def test_embeddings_equal_brute_force(spark):
     assert [(r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df.limit(1).withColumn("vec_id", F.lit(None).cast("long"))).collect()] == [(None, True)]
 
 
+def test_tiny_and_huge_vectors(spark):
+    base = [1.0, 2.0, -3.0]
+    rows = [(i, [x * f for x in base], 1) for i, f in enumerate([1.0, 5e-324, 1e-310, 1e-200, 1e300, 1e-3])] + [(9, [5e-324, 0.0, 0.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {**{i: (5, 0) for i in range(6)}, 9: (0, 9)}
+
+
+def test_planted_partners_across_many_lists(spark, tmp_path):
+    """40 lists or so at the production block and list sizes: every planted partner is found, by brute force nothing else."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(20_000, 16))
+    near = base[:400] + rng.normal(size=(400, 16)) * np.linalg.norm(base[:400], axis=1, keepdims=True) * 0.09
+    vectors = np.concatenate([base, near]).astype(np.float32)
+    pd.DataFrame({"vec_id": range(len(vectors)), "embedding": list(vectors), "label": 3}).to_parquet(tmp_path / "v.parquet")
+    df = spark.read.parquet(str(tmp_path / "v.parquet"))
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = vectors.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 500] @ unit.T >= embedding_dedup.THRESHOLD).sum(1) - 1 for i in range(0, len(unit), 500)])
+    assert want[20_000:].sum() >= 300 and got == dict(enumerate(want.tolist()))
+
+
 @pytest.mark.parametrize("rank", [4, 8])
 def test_embeddings_of_low_rank_lose_no_link_between_lists(spark, monkeypatch, rank):
     monkeypatch.setattr(embedding_dedup, "PER_LIST", 60)
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 300)
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 300 * 8 * 32)
     rng = np.random.default_rng(rank)
     vectors = rng.normal(size=(3000, rank)) @ rng.normal(size=(rank, 32))
     labels = (np.arange(len(vectors)) % 10 == 0).astype(int)
