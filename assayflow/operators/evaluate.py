@@ -32,8 +32,7 @@ def match_genomes(extracted: DataFrame, truth: DataFrame) -> DataFrame:
     empty = F.lit(True)
     for c in EXTRACTED_ACCESSIONS:
         empty = empty & (F.coalesce(F.col(c), F.lit("")) == "")
-    text = F.to_json(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in EXTRACTED_ACCESSIONS]))
-    rows = extracted.where(~empty).withColumn("combo", text)
+    rows = extracted.where(~empty).withColumn("combo", F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in EXTRACTED_ACCESSIONS]))
     combos = rows.select("combo", *EXTRACTED_ACCESSIONS).dropDuplicates(["combo"]).withColumn("accs", _all_variants(EXTRACTED_ACCESSIONS))
     hits = (
         combos.select("combo", F.explode("accs").alias("acc")).join(truth_index(truth), "acc")

@@ -39,7 +39,9 @@ def with_errors(df: DataFrame) -> DataFrame:
         (has_sign & ~strip(c["mic_sign"]).isin(*MIC_SIGNS), F.concat(F.lit("invalid mic_sign "), _text(c["mic_sign"]))),
         (has_mic & ~strip(c["mic"]).rlike(MIC_NUMERIC), F.concat(F.lit("non-numeric mic "), _text(c["mic"]))),
     ]
-    errors = F.filter(F.array(*[F.when(hit, message) for hit, message in rules]), lambda e: e.isNotNull())
+    # Flattened rather than filtered: a lambda would take all rules out of generated code.
+    none = F.array().cast("array<string>")
+    errors = F.flatten(F.array(*[F.when(hit, F.array(message)).otherwise(none) for hit, message in rules]))
     return df.withColumn("errors", errors)
 
 
