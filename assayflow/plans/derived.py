@@ -24,28 +24,31 @@ EXTRACTED = """
 SELECT extracted_row, pmid, isolate_id, drug, mic_sign, mic, sir_call,
   CASE WHEN accession LIKE 'SAMN%' THEN accession END AS biosample_accession,
   CASE WHEN accession LIKE 'ERR%' THEN concat('GCF_', substring(isolate_id, 5), '.2') END AS assembly_accession,
-  CAST(NULL AS STRING) AS genbank_accessions, CAST(NULL AS STRING) AS refseq_accessions,
-  CASE WHEN accession LIKE 'ERR%' THEN split_part(accession, ';', 1) END AS sra_accession, CAST(NULL AS STRING) AS other_accessions
+  CASE WHEN accession IS NULL AND isolate_id LIKE 'ISO-%5' THEN concat('CP', substring(isolate_id, 5), '; cq', substring(isolate_id, 5)) END AS genbank_accessions,
+  CASE WHEN accession IS NULL AND isolate_id LIKE 'ISO-%8' THEN concat('NZ_CP', substring(isolate_id, 5), '.1') END AS refseq_accessions,
+  CASE WHEN accession LIKE 'ERR%' THEN split_part(accession, ';', 1) WHEN accession IS NULL AND isolate_id LIKE 'ISO-%1' THEN concat('SRR', substring(isolate_id, 5)) END AS sra_accession,
+  CASE WHEN accession IS NULL AND isolate_id LIKE 'ISO-%4' THEN concat('Odd', substring(isolate_id, 5), ' none') END AS other_accessions
 FROM {ast_long}
 """
 
 TRUTH = """
-SELECT concat('g', CAST(s_suppkey AS STRING)) AS genome_id, antibiotic,
+SELECT CASE WHEN s_suppkey % 5 = 2 THEN '' ELSE concat('g', CAST(s_suppkey AS STRING)) END AS genome_id, antibiotic,
   CASE WHEN (s_suppkey + k) % 4 = 0 THEN 'Susceptible' WHEN (s_suppkey + k) % 4 = 1 THEN 'resistant' WHEN (s_suppkey + k) % 4 = 2 THEN '' ELSE 'S' END AS resistant_phenotype,
   CASE (s_suppkey + k) % 3 WHEN 0 THEN '' WHEN 1 THEN '<=' ELSE '>' END AS measurement_sign,
   CASE (s_suppkey * k) % 4 WHEN 0 THEN '0.5' WHEN 1 THEN '1' WHEN 2 THEN '' ELSE '32/16' END AS measurement_value,
   CASE WHEN s_suppkey % 7 = 0 THEN concat('SAMN', CAST(s_suppkey + 2 AS STRING)) ELSE concat('SAMN', CAST(s_suppkey AS STRING)) END AS `genome.biosample_accession`,
-  concat('GCA_', CAST(s_suppkey AS STRING), '.1') AS `genome.assembly_accession`, CAST(NULL AS STRING) AS `genome.genbank_accessions`,
-  CAST(NULL AS STRING) AS `genome.refseq_accessions`, CAST(NULL AS STRING) AS `genome.sra_accession`
+  concat('GCA_', CAST(s_suppkey AS STRING), '.1') AS `genome.assembly_accession`, CASE WHEN s_suppkey % 10 = 5 THEN concat('CQ', CAST(s_suppkey AS STRING), ',CP', CAST(s_suppkey AS STRING)) END AS `genome.genbank_accessions`,
+  CASE WHEN s_suppkey % 10 = 8 THEN concat('nz_cp', CAST(s_suppkey AS STRING), '.1') WHEN s_suppkey % 10 = 4 THEN concat('ODD', CAST(s_suppkey AS STRING)) END AS `genome.refseq_accessions`,
+  CASE WHEN s_suppkey % 4 < 3 THEN concat('SRR', CAST(s_suppkey AS STRING)) END AS `genome.sra_accession`
 FROM {supplier} CROSS JOIN (SELECT 1 AS k, 'rifampin' AS antibiotic UNION ALL SELECT 2, 'Vancomycin' UNION ALL SELECT 3, 'trimethoprim/sulfamethoxazole' UNION ALL SELECT 3, 'Vancomycin') d
-WHERE s_suppkey % 5 <> 0
 """
 
 META = """
-SELECT concat('ISO-', CAST(s_suppkey AS STRING)) AS isolate_id, concat('SAMEA', CAST(s_suppkey AS STRING)) AS accession, concat('ERR', CAST(s_suppkey AS STRING)) AS secondary_accession
-FROM {supplier} WHERE s_suppkey % 4 = 0
-UNION ALL SELECT concat('OTHER-', CAST(s_suppkey AS STRING)), concat('SAMN', CAST(s_suppkey + 1000 AS STRING)), concat('ERR', CAST(s_suppkey AS STRING)) FROM {supplier} WHERE s_suppkey % 4 = 1
-UNION ALL SELECT concat('ISO-', CAST(s_suppkey AS STRING)), 'none', concat('CP', CAST(100000 + s_suppkey AS STRING)) FROM {supplier} WHERE s_suppkey % 8 = 0
+SELECT CASE s_suppkey % 4 WHEN 0 THEN concat('ISO-', CAST(s_suppkey AS STRING)) WHEN 1 THEN concat('OTHER-', CAST(s_suppkey AS STRING)) END AS isolate_id,
+  CASE s_suppkey % 4 WHEN 0 THEN concat('SAMEA', CAST(s_suppkey AS STRING)) WHEN 1 THEN concat('SAMN', CAST(s_suppkey + 1000 AS STRING)) END AS accession,
+  CASE WHEN s_suppkey % 4 < 2 THEN concat('ERR', CAST(s_suppkey AS STRING)) END AS secondary_accession
+FROM {supplier}
+UNION ALL SELECT concat('ISO-', CAST(s_suppkey AS STRING)), 'none', CASE WHEN s_suppkey % 8 = 0 THEN concat('CP', CAST(100000 + s_suppkey AS STRING)) END FROM {supplier}
 """
 
 ISOLATES = """
@@ -55,10 +58,10 @@ FROM {customer}
 """
 
 STRAINS = """
-SELECT c_custkey AS ordinal, c_name AS strain, concat('PRJNA', CAST(c_nationkey AS STRING)) AS bioproject_accession, concat('SAMN', CAST(c_custkey AS STRING)) AS biosample_accession,
+SELECT c_custkey AS ordinal, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE '' END AS strain, concat('PRJNA', CAST(c_nationkey AS STRING)) AS bioproject_accession, concat('SAMN', CAST(c_custkey AS STRING)) AS biosample_accession,
   CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('SRR', CAST(c_custkey AS STRING)) END AS sra_accession
-FROM {customer} WHERE c_custkey % 2 = 0
-UNION ALL SELECT c_custkey + 1000000, lower(c_name), 'PRJNA0', 'SAMN0', 'SRR0' FROM {customer} WHERE c_custkey % 10 = 0
+FROM {customer}
+UNION ALL SELECT c_custkey + 1000000, CASE WHEN c_custkey % 10 = 0 THEN lower(c_name) ELSE ' ' END, 'PRJNA0', 'SAMN0', 'SRR0' FROM {customer}
 """
 
 TOKENS = """

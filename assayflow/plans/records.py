@@ -13,14 +13,14 @@ _V = r"""CASE WHEN regexp_full_match({0}, 'GC[AF]_\d+(\.\d+)?') THEN ['GCA_' ||
 _SPLIT = r"unnest(regexp_split_to_array(upper(trim({0})), '[,;|\s]+'))"
 COMPARE = rf"""
 ea AS (SELECT DISTINCT acc, unnest({_V.format('a')}) AS v FROM (
-  SELECT concat_ws('#', biosample_accession, assembly_accession, sra_accession) AS acc, {_SPLIT.format("concat_ws(',', biosample_accession, assembly_accession, sra_accession)")} AS a FROM extracted) WHERE a <> ''),
-ta AS (SELECT DISTINCT genome_id, unnest({_V.format('a')}) AS v FROM (SELECT genome_id, {_SPLIT.format("concat_ws(',', \"genome.biosample_accession\", \"genome.assembly_accession\")")} AS a FROM truth)),
+  SELECT concat_ws('#', biosample_accession, assembly_accession, genbank_accessions, refseq_accessions, sra_accession, other_accessions) AS acc, {_SPLIT.format("concat_ws(',', biosample_accession, assembly_accession, genbank_accessions, refseq_accessions, sra_accession, other_accessions)")} AS a FROM extracted) WHERE a NOT IN ('', 'NONE')),
+ta AS (SELECT DISTINCT genome_id, unnest({_V.format('a')}) AS v FROM (SELECT genome_id, {_SPLIT.format("concat_ws(',', \"genome.biosample_accession\", \"genome.assembly_accession\", \"genome.genbank_accessions\", \"genome.refseq_accessions\", \"genome.sra_accession\")")} AS a FROM truth WHERE genome_id <> '')),
 h AS (SELECT ea.acc, count(DISTINCT genome_id) AS n, string_agg(DISTINCT genome_id, ',' ORDER BY genome_id) AS gs, string_agg(DISTINCT ea.v, ',' ORDER BY ea.v) AS vs FROM ea JOIN ta ON ea.v = ta.v GROUP BY ea.acc),
-s AS (SELECT e.*, concat_ws('#', biosample_accession, assembly_accession, sra_accession) AS acc FROM extracted e),
+s AS (SELECT e.*, concat_ws('#', biosample_accession, assembly_accession, genbank_accessions, refseq_accessions, sra_accession, other_accessions) AS acc FROM extracted e),
 m AS (SELECT s.*, CASE WHEN s.acc = '' THEN 'NO_ACCESSIONS' WHEN h.n IS NULL THEN 'NO_GENOME_MATCH' WHEN h.n > 1 THEN 'AMBIGUOUS:' || h.gs ELSE 'MATCHED' END AS genome_match_status,
   CASE WHEN h.n = 1 THEN h.gs ELSE '' END AS genome_id, CASE WHEN h.n = 1 THEN h.vs ELSE '' END AS matched_accessions, {_drug('s.drug')} AS normalized_drug FROM s LEFT JOIN h ON s.acc = h.acc),
 tn AS (SELECT genome_id, {_drug('antibiotic')} AS d, nullif(trim(coalesce(resistant_phenotype, '')), '') AS raw, nullif({_sir('resistant_phenotype')}, '') AS sir,
-  coalesce(nullif({_sign('measurement_sign')}, ''), '=') AS sg, nullif({_number_or_text('measurement_value')}, '') AS val FROM truth),
+  coalesce(nullif({_sign('measurement_sign')}, ''), '=') AS sg, nullif({_number_or_text('measurement_value')}, '') AS val FROM truth WHERE genome_id <> ''),
 ts AS (SELECT genome_id AS tg, d, coalesce(string_agg(DISTINCT raw, ',' ORDER BY raw), '') AS t_raw, coalesce(string_agg(DISTINCT sir, ',' ORDER BY sir), '') AS t_sir,
   coalesce(string_agg(DISTINCT sg, ',' ORDER BY sg) FILTER (val IS NOT NULL), '') AS t_sign, coalesce(string_agg(DISTINCT val, ',' ORDER BY val), '') AS t_val,
   coalesce(list(DISTINCT sg || ' ' || val) FILTER (val IS NOT NULL), []) AS pairs, coalesce(list(DISTINCT sir) FILTER (sir IS NOT NULL), []) AS sirs FROM tn GROUP BY genome_id, d),
@@ -214,7 +214,7 @@ def ensemble_conflicts(get):
 _META = """
 mt AS (SELECT isolate_id AS iso, accession AS a, secondary_accession AS b FROM meta),
 mi AS (SELECT iso, list_sort(list_distinct(flatten(list([a, b])))) AS accs FROM mt GROUP BY iso),
-ml AS (SELECT iso, list_filter(accs, lambda x: x <> 'none') AS accs FROM mi),
+ml AS (SELECT iso, list_filter(accs, lambda x: x <> 'none') AS accs FROM mi WHERE len(list_filter(accs, lambda x: x <> 'none')) > 0),
 mk AS (SELECT token, list_sort(list_distinct(flatten(list(accs)))) AS accs FROM (SELECT unnest(list_filter([a, b], lambda x: x <> 'none')) AS token, list_filter([a, b], lambda x: x <> 'none') AS accs FROM mt) GROUP BY token),
 r AS (SELECT DISTINCT isolate_id, accession FROM ast_long),
 rt AS (SELECT accession, unnest(string_split(accession, '; ')) AS token FROM (SELECT DISTINCT accession FROM r WHERE accession IS NOT NULL)),

@@ -175,7 +175,7 @@ def candidate_metadata_sheet(get):
     m = get("supplier").select(F.concat(F.lit("m"), (s % 13).cast("string")).alias("sheet"), F.floor(s / 13).cast("int").alias("row_idx"), s)
     first = m.select("sheet", "row_idx", F.when(s % 13 == 5, "Strain").otherwise("c0").alias("col_name"), F.when(s % 13 < 6, F.concat(F.lit("SAMN"), s.cast("string"))).otherwise("text").alias("value"))
     second = m.select("sheet", "row_idx", F.lit("c1").alias("col_name"), F.when(s % 13 % 2 == 0, F.concat(F.lit(" iso-"), s.cast("string"))).otherwise("?").alias("value"))
-    ids = get("supplier").where(s % 4 == 0).select(F.concat(F.lit("ISO-"), s.cast("string")).alias("known"), F.lit(True).alias("is_isolate"))
+    ids = get("supplier").select(F.when(s % 4 == 0, F.concat(F.lit("ISO-"), s.cast("string"))).alias("known"), F.lit(True).alias("is_isolate"))
     return enrich.candidate_metadata_sheets(first.unionByName(second), ids)
 
 
