@@ -62,6 +62,18 @@ def python_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def slices(sizes: list[int], rows: int, most: int) -> Iterator[slice]:
+    """Consecutive slices of ``rows`` entries at most, whose sizes add up to ``most`` at most unless there is but one."""
+    start, total = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start == rows or total + size > most):
+            yield slice(start, at)
+            start, total = at, 0
+        total += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

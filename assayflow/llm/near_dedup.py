@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, connected_components, join_by_key, python_batches, release, sized
+from .common import broadcast_if_small, checkpointed, connected_components, join_by_key, python_batches, release, sized, slices
 
 WIDTH, THRESHOLD_PERCENT = 5, 75
 REGISTERS, ROWS = 128, 4
@@ -48,6 +48,10 @@ SIGMAS = 5.0
 BROADCAST_IDS = 1_000_000
 #: Texts that a Python worker holds at a time, and about how many bytes of them.
 TEXTS, BYTES = 400, 64 << 20
+#: Texts that are sketched at a time, and about how many characters of them.
+SKETCHED, CHARS = 200, 2_000_000
+#: Words whose hashes a Python worker remembers, and the longest of these in bytes.
+WORDS, LONGEST_WORD = 200_000, 64
 #: Members of a small bucket, random pivots of a larger one, members of a block compared at a time; none limits the pairs.
 SMALL, PIVOTS, BLOCK = 32, 4, 1000
 #: Shingles of a block's members, about, which bounds its bytes.
@@ -64,12 +68,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words; forgotten when there are too many of them."""
+    """64-bit hashes of words; forgotten when there are too many of them, and not remembered for very long ones."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -140,8 +146,8 @@ def may_link(na: np.ndarray, nb: np.ndarray, ra: np.ndarray, rb: np.ndarray, thr
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for whole in batches:
-        for at in range(0, len(whole), 200):
-            batch = whole.iloc[at : at + 200]
+        for part in slices([len(t or "") for t in whole["text"]], SKETCHED, CHARS):
+            batch = whole.iloc[part]
             sets, keys = [], []
             for text in batch["text"]:
                 words = tokens(text) if text else []

@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import checkpointed, python_batches
+from .common import checkpointed, python_batches, slices
 
 CAPACITY, END_ID = 1024, 2
-#: Entries of the cache of encoded words in each Python worker.
-CACHE = 400_000
-#: Texts that a Python worker holds at a time.
-TEXTS = 512
+#: Entries of the cache of encoded words in each Python worker, and characters of the longest word in it.
+CACHE, LONGEST_WORD = 400_000, 64
+#: Texts that a Python worker holds at a time; texts that it encodes at a time, and about how many characters of them.
+TEXTS, ENCODED, CHARS = 512, 256, 1_000_000
 # Letters of Latin texts, and how the tokenizer's own pattern splits a text of these, blanks, digits and signs.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 LATIN = re.compile(r"[\t\n\r\x20-\x7e¡-±´-¸º»¿-ɏ]*")
@@ -92,7 +92,11 @@ class Encoder:
         get = known.__getitem__
         whole = [t for t, ok in zip(texts, latin, strict=True) if not ok]
         ours, theirs = iter([b"".join(map(get, w)) for w in words]), iter(self._encoded(whole) if whole else [])
-        return [next(ours if ok else theirs) for ok in latin]
+        found = [next(ours if ok else theirs) for ok in latin]
+        for w in new:
+            if len(w) > LONGEST_WORD:
+                del known[w]
+        return found
 
 
 def encoder(path: str) -> Encoder:
@@ -114,8 +118,8 @@ def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
         encode, end = encoder(path), np.array([END_ID], dtype="<u4").tobytes()
         for texts in batches:
             values, out = ["" if t is None else t for t in texts], []
-            for at in range(0, len(values), 256):
-                for raw in encode(values[at : at + 256]):
+            for part in slices([len(t) for t in values], ENCODED, CHARS):
+                for raw in encode(values[part]):
                     raw += end
                     n, rows = len(raw) // 4, []
                     head = n if n <= capacity else n % capacity or capacity

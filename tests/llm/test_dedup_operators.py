@@ -436,3 +436,15 @@ def test_pipeline_stages_with_clashing_columns(spark, tmp_path):
         docs = out
     assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 3, 4, 5, 6]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).where("piece = 0").count() == 5
+
+
+def test_sketches_do_not_depend_on_how_texts_are_sliced(monkeypatch):
+    texts = ["", None, "one", "a b c d e f g", "w" * 300 + " x y z v u", "long text " * 400]
+    frame = pd.DataFrame({"id": range(len(texts)), "th": range(len(texts)), "text": texts})
+    whole = next(near_dedup._sketches(iter([frame])))
+    monkeypatch.setattr(near_dedup, "CHARS", 10)
+    parts = pd.concat(list(near_dedup._sketches(iter([frame]))), ignore_index=True)
+    assert whole["regs"].tolist() == parts["regs"].tolist() and whole["n"].tolist() == parts["n"].tolist()
+    hashes = near_dedup.WordHashes()
+    near_dedup.shingle_hashes(near_dedup.tokens(texts[4]), hashes)
+    assert sorted(hashes) == [b"u", b"v", b"x", b"y", b"z"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from assayflow.llm import chat_format, language_id, packing, pii, queries, secret_scan
+from assayflow.llm.common import slices
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", None, "a", "word " * 3000, "é ß ñ", "日本語 text", "<|endoftext|> x", "a\u0085b\x1cc", "¼ ½ ²", "'s 're  \n\n x", "I'll  go\t\tnow ", "x" * 5000, "🙂 ok", "\u00a0 a"]
@@ -43,6 +44,22 @@ def test_encoder_on_random_texts(texts):
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in packing.encoder(PATH)(texts)] == [reference_ids(t) for t in texts]
 
 
+def test_encoder_forgets_long_words_and_takes_texts_in_slices():
+    long = ["w" * 500 + " plain words", "a" * 65 + " " + "a" * 64, "plain words"]
+    encode = packing.Encoder(PATH)
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(long)] == [reference_ids(t) for t in long]
+    assert max(map(len, encode.known)) <= packing.LONGEST_WORD and " words" in encode.known
+
+
+@given(st.lists(st.integers(0, 50)), st.integers(1, 5), st.integers(0, 60))
+def test_slices_hold_every_entry_once_and_stay_small(sizes, rows, most):
+    parts = list(slices(sizes, rows, most))
+    assert [i for p in parts for i in range(p.start, p.stop)] == list(range(len(sizes)))
+    for p in parts:
+        own = sizes[p]
+        assert 0 < len(own) <= rows and (sum(own) <= most or len(own) == 1)
+
+
 def test_packing_round_trip(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(0, "", "x"), (None, "null id", "x")], "doc_id long, text string, offset string")
     rows = packing.pack(packing.pieces(docs, PATH, with_ids=True)).collect()
