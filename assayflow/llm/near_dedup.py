@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, connected_components, join_by_key, python_batches, release, sized, slices
+from .common import broadcast_if_small, checkpointed, connected_components, join_by_key, python_batches, release, sized, slices, trimmed
 
 WIDTH, THRESHOLD_PERCENT = 5, 75
 REGISTERS, ROWS = 128, 4
@@ -143,6 +143,7 @@ def may_link(na: np.ndarray, nb: np.ndarray, ra: np.ndarray, rb: np.ndarray, thr
     return (estimate >= threshold) | (like[:, -1] >= like[:, :-1].max(1) - SIGMAS**2 / 2)
 
 
+@trimmed
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for whole in batches:
@@ -163,6 +164,7 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+@trimmed
 def _estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for whole in batches:
         for at in range(0, len(whole), 2000):
@@ -216,6 +218,7 @@ def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype=rows["id"].dtype)
 
 
+@trimmed
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for whole in batches:

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import checkpointed, python_batches, slices
+from .common import checkpointed, python_batches, slices, trim, trimmed
 
 CAPACITY, END_ID = 1024, 2
 #: Entries of the cache of encoded words in each Python worker, and characters of the longest word in it.
@@ -114,6 +115,7 @@ def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
     kind = f"array<struct<start:bigint,length:bigint,ids_crc32:bigint{',ids:array<bigint>' if with_ids else ''}>>"
 
     @F.pandas_udf(kind)
+    @trimmed
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode, end = encoder(path), np.array([END_ID], dtype="<u4").tobytes()
         for texts in batches:
@@ -128,6 +130,7 @@ def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
                         row = {"start": start, "length": len(own) // 4, "ids_crc32": zlib.crc32(own)}
                         rows.append(row | {"ids": np.frombuffer(own, dtype="<u4").astype(np.int64)} if with_ids else row)
                     out.append(rows)
+            trim()  # what the tokenizer returns is many times the size of the ids
             yield pd.Series(out)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(cut(F.col(text_col))).alias("piece", "p")).select("doc_id", "piece", "p.*")
@@ -208,7 +211,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -
             taken[n] += times * repeats
             offset += n * times
         sequence += repeats
-    plan = spark.createDataFrame(spans, "length bigint, lo bigint, hi bigint, times bigint, first_sequence bigint, first_offset bigint")
+    # From Arrow, which the JVM reads by itself: rows of Python would start further Python workers on every executor.
+    names = ("length", "lo", "hi", "times", "first_sequence", "first_offset")
+    plan = spark.createDataFrame(pa.table({name: pa.array([s[i] for s in spans], pa.int64()) for i, name in enumerate(names)}))
     # Of a length, its spans as a sorted array: a piece finds its own by its number; one row a length, at most ``capacity`` rows.
     plan = plan.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "times", "first_sequence", "first_offset"))).alias("__spans"))
     order = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece", "ids_crc32", "start")

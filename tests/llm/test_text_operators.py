@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -124,6 +127,32 @@ def test_packing_of_an_empty_table(spark):
     assert packing.pack(packing.pieces(docs, PATH)).count() == 0
 
 
+def test_packing_plan_needs_no_python_workers(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id bigint, text string")
+    read = packing.pack(packing.pieces(docs, PATH))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation [length" in read and "LogicalRDD [length" not in read
+
+
+def test_workers_hold_no_freed_memory_after_a_task():
+    code = """
+import ctypes, re, numpy as np, pandas as pd, pyarrow as pa
+from assayflow.llm import near_dedup
+words = np.random.default_rng(1).integers(0, 1 << 40, (800, 300)).astype(str)
+frame = pd.DataFrame({"id": range(800), "th": range(800), "text": [" ".join(w) for w in words]})
+del words
+def held(trim):
+    if trim:
+        pa.default_memory_pool().release_unused(), ctypes.CDLL(None).malloc_trim(0)
+    return int(re.search(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+held(True)
+for found in near_dedup._sketches(iter([frame[:400], frame[400:]])):
+    del found
+print(held(False) - held(True))
+"""
+    freed = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert float(freed.stdout) < 8  # MB
+
+
 def test_chat_round_trip_and_states(spark):
     rows = [
         (1, 0, "user", "hi <turn user> & &lt; \\n</turn>\n", 1), (1, 1, "assistant", "yes </turn>", 1), (2, 0, "assistant", "first", 1), (3, 0, "system", None, 1), (3, 1, "user", "", 1), (3, 2, "assistant", "é🙂", 1),
