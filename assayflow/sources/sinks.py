@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -12,16 +12,33 @@ from ..functions.text import safe_file_name
 def write_tsv(df: DataFrame, path: str, single: bool = False) -> bool:
     """A TSV with a header and empty cells for nulls; nothing at all for no rows.  Tells whether it was written.
 
-    Written in parts, each with the header; ``single`` is for reports, whose rows go through one task.
+    Written in parts, each with the header and at least one row; ``single`` is for reports, whose rows go through one task.
     """
     if df.isEmpty():
         return False
     text = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
     out = (text.coalesce(1) if single else text).write.mode("overwrite").option("sep", "\t").option("header", True)
     out.option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
+    _drop_part_without_rows(df.sparkSession, path)
     return True
 
 
+def _drop_part_without_rows(spark: SparkSession, path: str) -> None:
+    """Delete the first part if there is nothing but a header in it: Spark writes that of its first partition even without rows, of no other."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    parts = [status.getPath() for status in fs.listStatus(folder) if status.getPath().getName().startswith("part-")]
+    for part in parts if len(parts) > 1 else []:
+        if part.getName().startswith("part-00000-") and part.getName().endswith(".csv"):
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(part), "UTF-8"))
+            lines.readLine()
+            bare = lines.readLine() is None
+            lines.close()
+            if bare:
+                fs.delete(part, False)
+
+
 def write_records(df: DataFrame, path: str) -> bool:
     return write_tsv(df.select(*schemas.RECORD_FINAL.fieldNames()), path)
 

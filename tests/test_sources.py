@@ -140,6 +140,13 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "dl/summary")).first().pmid == "1"
 
 
+def test_no_part_of_a_table_is_without_rows(spark, tmp_path):
+    for at in range(4):  # the row is in each of four partitions in turn
+        df = spark.createDataFrame([(i, "" if i % 2 else None, None) for i in range(4)], "i int, x string, y string").where(f"i = {at}").drop("i")
+        assert df.rdd.getNumPartitions() == 4 and sinks.write_tsv(df, str(tmp_path / f"out{at}"))
+        assert [p.read_text() for p in (tmp_path / f"out{at}").glob("part*")] == ["x\ty\n\t\n"]
+
+
 def test_stream_publishes_each_batch_once(spark, tmp_path):
     kind = "isolate_id string, accession string, drug string, mic_sign string, mic string, sir_call string, notes string"
     rows = spark.createDataFrame([("i", None, "van", "=", "4", None, None), ("i", None, None, "=", "4", None, None)], kind)
