@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words that stand for "no value", by consumer.
@@ -51,11 +51,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with more columns, each computed once a row, however often later steps use them.
+
+    They come out of a generator, as the optimiser would copy those of a projection into every filter above it. Lambdas don't belong here: they run outside of generated code.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def strip(c: Column) -> Column:
     """Without surrounding white space of any script."""
     return F.btrim(c, F.lit(WHITE))
 
 
+def _strip_plain(c: Column) -> Column:
+    """As ``strip``, for a column: its search for each end among all white space runs only where an end isn't a visible ASCII character."""
+    seen = lambda x: F.ascii(x).between(33, 126)
+    return F.when(seen(c) & seen(F.substring(c, -1, 1)), c).otherwise(strip(c))
+
+
 def collapse(c: Column) -> Column:
     """Runs of white space as one blank."""
     return F.regexp_replace(c, r"(?U)\s+", " ")
@@ -63,7 +77,7 @@ def collapse(c: Column) -> Column:
 
 def null_if(c: Column, words: tuple[str, ...]) -> Column:
     """Stripped, or null where the value is one of ``words``."""
-    s = strip(c)
+    s = _strip_plain(c)
     return F.when(~F.lower(s).isin(*words), s)
 
 
@@ -122,36 +136,72 @@ def _integral_or(x: Column, digits: int) -> Column:
     )
 
 
+# Numbers that are their own canonical form, but for zeros at the end of a fraction, and characters that no number has.
+_WHOLE = r"(0|[1-9][0-9]{0,14})"
+_NO_NUMBER = "[^0-9+.eEinftyINFTY-]"
+_NO_RATIO = "[^0-9+.eEinftyINFTY/" + WHITE + "-]"
+
+
+def _short_fraction(s: Column) -> Column:
+    return F.rtrim(F.rtrim(s, F.lit("0")), F.lit("."))
+
+
+def number_of(s: Column) -> Column:
+    """``normalize_number`` of a cleaned column. Plain numbers and words, nearly all there is, don't take the way over doubles."""
+    slow = let(as_number(s), lambda x: F.when(x.isNull(), F.lower(s)).otherwise(_integral_or(x, 12)))
+    return (
+        F.when(s == "", s).when(s.rlike(f"^{_WHOLE}$"), s).when(s.rlike(r"^(0|[1-9][0-9]{0,7})\.[0-9]{1,3}$"), _short_fraction(s))
+        .when(s.rlike(_NO_NUMBER), F.lower(s)).otherwise(slow)
+    )
+
+
 def normalize_number(c: Column) -> Column:
     """Evaluator's canonical number: integral values without a point, others with 12 digits, the rest in lower case."""
-    return let(scorer_clean(c), lambda s: let(as_number(s), lambda x: F.when(x.isNull(), F.lower(s)).otherwise(_integral_or(x, 12))))
+    return let(scorer_clean(c), number_of)
+
+
+def mic_of(s: Column) -> Column:
+    """``normalize_mic`` of a column without blanks; as ``number_of``."""
+    sides = F.transform(F.split(s, "/"), as_number)
+    slow = let(sides, lambda x: F.when(F.forall(x, lambda v: v.isNotNull()), F.array_join(F.transform(x, lambda v: _integral_or(v, 6)), "/")).otherwise(s))
+    return F.when(s.rlike(f"^{_WHOLE}(/{_WHOLE})*$") | s.rlike(_NO_RATIO), s).when(s.rlike(r"^(0|[1-9][0-9]{0,2})\.[0-9]{1,3}$"), _short_fraction(s)).otherwise(slow)
 
 
 def normalize_mic(c: Column) -> Column:
     """Consensus' canonical value: each side of a ratio integral or with six digits; text that isn't a number stays."""
+    return let(null_if(c, BLANK), mic_of)
 
-    def body(s: Column) -> Column:
-        sides = F.transform(F.split(s, "/"), as_number)
-        return let(sides, lambda x: F.when(F.forall(x, lambda v: v.isNotNull()), F.array_join(F.transform(x, lambda v: _integral_or(v, 6)), "/")).otherwise(s))
 
-    return let(null_if(c, BLANK), body)
+def sign_of(s: Column) -> Column:
+    """``normalize_sign`` of a cleaned column."""
+    s = F.replace(F.replace(s, F.lit("≤"), F.lit("<=")), F.lit("≥"), F.lit(">="))
+    return F.when(s.isin("=", "=="), "=").when(s.isin("<", "<=", ">", ">="), s).otherwise("")
 
 
 def normalize_sign(c: Column) -> Column:
-    s = F.replace(F.replace(scorer_clean(c), F.lit("≤"), F.lit("<=")), F.lit("≥"), F.lit(">="))
-    return F.when(s.isin("=", "=="), "=").when(s.isin("<", "<=", ">", ">="), s).otherwise("")
+    return sign_of(scorer_clean(c))
 
 
-def normalize_sir(c: Column) -> Column:
-    s = collapse(F.translate(F.lower(scorer_clean(c)), "‐‑‒–—", "-----"))
+def sir_of(s: Column) -> Column:
+    """``normalize_sir`` of a cleaned column."""
+    s = collapse(F.translate(F.lower(s), "‐‑‒–—", "-----"))
     return F.coalesce(F.try_element_at(lookup(SIR_CALLS), s), F.lit(""))
 
 
-def normalize_drug(c: Column) -> Column:
-    s = collapse(F.lower(scorer_clean(c)))
+def normalize_sir(c: Column) -> Column:
+    return sir_of(scorer_clean(c))
+
+
+def drug_of(s: Column) -> Column:
+    """``normalize_drug`` of a cleaned column."""
+    s = collapse(F.lower(s))
     return F.coalesce(F.try_element_at(lookup(DRUG_ALIASES), s), s)
 
 
+def normalize_drug(c: Column) -> Column:
+    return drug_of(scorer_clean(c))
+
+
 def normalize_id(c: Column) -> Column:
     return F.lower(collapse(strip(c)))
 

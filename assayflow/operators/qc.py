@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.accession import TYPED_COLUMNS
-from ..functions.text import is_blank, strip
+from ..functions.text import BLANK, computed, is_blank, null_if, strip
 
 # What a record may say.
 MIC_SIGNS = ("=", ">", ">=", "<", "<=")
@@ -19,30 +19,29 @@ HEADER_WORDS = (
 )
 
 
-def _text(value: Column) -> Column:
-    return F.coalesce(value, F.lit("None"))
-
-
 def with_errors(df: DataFrame) -> DataFrame:
     """Add ``errors``, the messages of all rules that a record breaks, in rule order."""
     c = {n: F.col(n) for n in df.columns}
-    ids = [c[n] for n in ("isolate_id", "accession", *TYPED_COLUMNS) if n in c]
     no_id = F.lit(True)
-    for x in ids:
-        no_id = no_id & is_blank(x)
-    has_sir, has_sign, has_mic = (~is_blank(c[n]) for n in ("sir_call", "mic_sign", "mic"))
+    for n in ("isolate_id", "accession", *TYPED_COLUMNS):
+        if n in c:
+            no_id = no_id & is_blank(c[n])
+    # What the rules read, once a record: the optimiser would copy it into each use and the whole into each filter.
+    parts = {"no_drug": is_blank(c["drug"]), "no_id": no_id, "sir": null_if(c["sir_call"], BLANK), "sign": null_if(c["mic_sign"], BLANK), "mic": null_if(c["mic"], BLANK)}
+    judged = computed(df, {f"qc_{n}": x for n, x in parts.items()})
+    no_drug, no_id, sir, sign, mic = (F.col(f"qc_{n}") for n in parts)
     rules = [
-        (is_blank(c["drug"]), F.lit("missing drug")),
+        (no_drug, F.lit("missing drug")),
         (no_id, F.lit("missing identifier")),
-        (has_sir & ~F.upper(strip(c["sir_call"])).isin(*CALLS), F.concat(F.lit("invalid sir_call "), _text(c["sir_call"]))),
-        (~has_sir & (~has_mic | ~has_sign), F.lit("missing measurement and call")),
-        (has_sign & ~strip(c["mic_sign"]).isin(*MIC_SIGNS), F.concat(F.lit("invalid mic_sign "), _text(c["mic_sign"]))),
-        (has_mic & ~strip(c["mic"]).rlike(MIC_NUMERIC), F.concat(F.lit("non-numeric mic "), _text(c["mic"]))),
+        (sir.isNotNull() & ~F.upper(sir).isin(*CALLS), F.concat(F.lit("invalid sir_call "), c["sir_call"])),
+        (sir.isNull() & (mic.isNull() | sign.isNull()), F.lit("missing measurement and call")),
+        (sign.isNotNull() & ~sign.isin(*MIC_SIGNS), F.concat(F.lit("invalid mic_sign "), c["mic_sign"])),
+        (mic.isNotNull() & ~mic.rlike(MIC_NUMERIC), F.concat(F.lit("non-numeric mic "), c["mic"])),
     ]
     # Flattened rather than filtered: a lambda would take all rules out of generated code.
     none = F.array().cast("array<string>")
     errors = F.flatten(F.array(*[F.when(hit, F.array(message)).otherwise(none) for hit, message in rules]))
-    return df.withColumn("errors", errors)
+    return computed(judged, {"errors": errors}).drop(*[f"qc_{n}" for n in parts])
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
