@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.accession import TYPED_COLUMNS, split_variants
-from ..functions.text import normalize_drug, normalize_number, normalize_sign, normalize_sir, scorer_clean
+from ..functions.text import computed, drug_of, normalize_drug, normalize_number, normalize_sign, normalize_sir, number_of, scorer_clean, sign_of, sir_of
 from ..schemas import TRUTH_ACCESSIONS
 
 EXTRACTED_ACCESSIONS = tuple(c for c in TYPED_COLUMNS if c != "bioproject_accession")
@@ -22,33 +22,51 @@ def truth_index(truth: DataFrame) -> DataFrame:
     return truth.select(genome.alias("genome"), F.explode(_all_variants(TRUTH_ACCESSIONS)).alias("acc")).where("genome <> ''").distinct()
 
 
-def match_genomes(extracted: DataFrame, truth: DataFrame) -> DataFrame:
-    """Add ``genome_match_status``, ``matched_genome`` and ``matched_accessions`` to every record.
+def _combination(columns: list[str]) -> dict[str, Column]:
+    """``combo``, one text for each combination of accession columns, and ``combo_hash``.
 
-    Matching is done once per distinct combination of accession columns,
-    not per record, and joined back on that combination; records without any accession, often half of them,
-    take no part in the join.
+    Records without accessions have an empty ``combo`` and are spread by a hash of themselves, so that no task gets them all.
     """
-    empty = F.lit(True)
-    for c in EXTRACTED_ACCESSIONS:
-        empty = empty & (F.coalesce(F.col(c), F.lit("")) == "")
-    rows = extracted.where(~empty).withColumn("combo", F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in EXTRACTED_ACCESSIONS]))
-    combos = rows.select("combo", *EXTRACTED_ACCESSIONS).dropDuplicates(["combo"]).withColumn("accs", _all_variants(EXTRACTED_ACCESSIONS))
-    hits = (
-        combos.select("combo", F.explode("accs").alias("acc")).join(truth_index(truth), "acc")
-        .groupBy("combo").agg(F.array_sort(F.collect_set("genome")).alias("genomes"), F.array_sort(F.collect_set("acc")).alias("found"))
+    given = [F.coalesce(F.col(c), F.lit("")) for c in EXTRACTED_ACCESSIONS]
+    empty = F.concat(*given) == ""
+    text = F.concat(*[x for v in given for x in (F.length(v).cast("string"), F.lit(":"), v)])
+    return {"combo": F.when(empty, "").otherwise(text), "combo_hash": F.when(empty, F.xxhash64(*[F.col(f"`{c}`") for c in columns])).otherwise(F.xxhash64(*given))}
+
+
+def _judged(extracted: DataFrame, truth: DataFrame) -> DataFrame:
+    """Status, genome and accessions of each distinct combination of accession columns."""
+    combos = extracted.select(*EXTRACTED_ACCESSIONS).distinct()
+    known = truth_index(truth).select("genome", F.col("acc").alias("t_acc"))
+    found = (
+        computed(combos, _combination(list(EXTRACTED_ACCESSIONS))).select("combo", "combo_hash", F.explode_outer(_all_variants(EXTRACTED_ACCESSIONS)).alias("acc"))
+        .join(known, F.col("acc") == F.col("t_acc"), "left").groupBy("combo", "combo_hash")
+        .agg(F.count("acc").alias("n"), F.array_sort(F.collect_set("genome")).alias("genomes"), F.array_sort(F.collect_set("t_acc")).alias("found"))
     )
-    judged = combos.select("combo", F.size("accs").alias("n")).join(hits, "combo", "left")
+    one = F.size("genomes") == 1
     status = (
-        F.when(F.col("n") == 0, "NO_ACCESSIONS").when(F.col("genomes").isNull(), "NO_GENOME_MATCH")
-        .when(F.size("genomes") > 1, F.concat(F.lit("AMBIGUOUS:"), F.array_join("genomes", ","))).otherwise("MATCHED")
+        F.when(F.col("n") == 0, "NO_ACCESSIONS").when(F.size("genomes") == 0, "NO_GENOME_MATCH")
+        .when(one, "MATCHED").otherwise(F.concat(F.lit("AMBIGUOUS:"), F.array_join("genomes", ",")))
     )
-    one = F.size("genomes") == 1
-    judged = judged.select(
-        "combo", status.alias("genome_match_status"), F.when(one, F.col("genomes")[0]).otherwise("").alias("matched_genome"), F.when(one, F.array_join("found", ",")).otherwise("").alias("matched_accessions")
+    return found.select(
+        F.col("combo").alias("j_combo"), F.col("combo_hash").alias("j_hash"), status.alias("j_status"), F.when(one, F.col("genomes")[0]).alias("j_genome"), F.when(one, F.array_join("found", ",")).alias("j_accessions")
     )
-    none = extracted.where(empty).select(*extracted.columns, F.lit("NO_ACCESSIONS").alias("genome_match_status"), F.lit("").alias("matched_genome"), F.lit("").alias("matched_accessions"))
-    return rows.join(judged, "combo").select(*none.columns).unionByName(none)
+
+
+def _matched(extracted: DataFrame, judged: DataFrame, *more: str) -> DataFrame:
+    keyed = computed(extracted, _combination(extracted.columns))
+    return keyed.join(judged, (F.col("combo_hash") == F.col("j_hash")) & (F.col("combo") == F.col("j_combo")), "left").select(
+        *extracted.columns, F.coalesce("j_status", F.lit("NO_ACCESSIONS")).alias("genome_match_status"), F.coalesce("j_genome", F.lit("")).alias("matched_genome"),
+        F.coalesce("j_accessions", F.lit("")).alias("matched_accessions"), *more,
+    )
+
+
+def match_genomes(extracted: DataFrame, truth: DataFrame) -> DataFrame:
+    """Add ``genome_match_status``, ``matched_genome`` and ``matched_accessions`` to every record.
+
+    Matching is done once per distinct combination of accession columns,
+    not per record, and joined back on that combination. Records are read twice, once for the combinations.
+    """
+    return _matched(extracted, _judged(extracted, truth))
 
 
 def truth_sets(truth: DataFrame) -> DataFrame:
@@ -63,44 +81,57 @@ def truth_sets(truth: DataFrame) -> DataFrame:
     return clean.where("t_genome <> '' and t_drug <> ''").groupBy("t_genome", "t_drug").agg(as_set(given("raw"), "t_raw"), as_set(given("sir"), "t_sir"), as_set(mic, "t_mic"))
 
 
+def _drugs_of_genomes(truth: DataFrame) -> DataFrame:
+    """Per genome a map of its drugs to what the truth says, as sets and as texts."""
+    text = lambda x: F.coalesce(F.array_join(x, ","), F.lit(""))
+    part = lambda name: text(F.array_sort(F.array_distinct(F.transform("t_mic", lambda m: m[name])))).alias(name)
+    drug = F.struct(text("t_raw").alias("raw"), text("t_sir").alias("sir"), part("sign"), part("value"), F.col("t_sir").alias("sirs"), F.col("t_mic").alias("mics"))
+    return truth_sets(truth).groupBy("t_genome").agg(F.map_from_entries(F.collect_list(F.struct("t_drug", drug))).alias("t_drugs"))
+
+
+def _with_drugs(judged: DataFrame, truth: DataFrame) -> DataFrame:
+    """Combinations with the truth of their genome; those without a genome are spread over the tasks."""
+    drugs = _drugs_of_genomes(truth).withColumn("t_part", F.lit(0))
+    part = F.when(F.col("j_genome").isNull(), 1 + F.pmod("j_hash", F.lit(1009))).otherwise(0).cast("int")
+    keyed = computed(judged, {"j_part": part, "j_key": F.coalesce("j_genome", F.lit(""))})
+    return keyed.join(drugs, (F.col("j_part") == F.col("t_part")) & (F.col("j_key") == F.col("t_genome")), "left")
+
+
 def compare(extracted: DataFrame, truth: DataFrame) -> DataFrame:
     """The 20 comparison columns of every extracted record (``extracted_row`` is carried along).
 
-    Only records with a matched genome are joined with the truth.  Each normalised value is a column of its own before it is used, so that it is computed once.
+    The truth of a genome travels with the combinations of accession columns, so that records are joined once, and with few rows.
+    Each cleaned value, and each result, is computed once a record.
     """
-    value = normalize_number(F.col("mic"))
-    normal = match_genomes(extracted, truth).withColumns(
-        {"drug_key": normalize_drug(F.col("drug")), "x_sir_raw": scorer_clean(F.col("sir_call")), "x_sir": normalize_sir(F.col("sir_call")), "x_sign_raw": scorer_clean(F.col("mic_sign")),
-         "x_sign0": normalize_sign(F.col("mic_sign")), "x_mic_raw": scorer_clean(F.col("mic")), "x_value": value}
+    joined = _matched(extracted, _with_drugs(_judged(extracted, truth), truth), "t_drugs")
+    clean = computed(joined, {"x_drug": scorer_clean(F.col("drug")), "x_sir_raw": scorer_clean(F.col("sir_call")), "x_sign_raw": scorer_clean(F.col("mic_sign")), "x_mic_raw": scorer_clean(F.col("mic"))})
+    sign0 = sign_of(F.col("x_sign_raw"))
+    normal = clean.withColumns(
+        {"drug_key": drug_of(F.col("x_drug")), "x_sir": sir_of(F.col("x_sir_raw")), "x_value": number_of(F.col("x_mic_raw")),
+         "x_sign": F.when((F.col("x_mic_raw") != "") & (sign0 == ""), "=").otherwise(sign0)}
     )
-    normal = normal.withColumn("x_sign", F.when((F.col("x_mic_raw") != "") & (F.col("x_sign0") == ""), "=").otherwise(F.col("x_sign0")))
-    matched = F.col("genome_match_status") == "MATCHED"
-    sets = truth_sets(truth)
-    joined = normal.where(matched).join(sets, (F.col("matched_genome") == sets["t_genome"]) & (F.col("drug_key") == sets["t_drug"]), "left")
-    joined = joined.unionByName(normal.where(~matched), allowMissingColumns=True)
-    has_drug = F.col("t_genome").isNotNull()
+    known = normal.withColumn("t", F.try_element_at("t_drugs", F.col("drug_key")))
+    matched, has_drug = F.col("genome_match_status") == "MATCHED", F.col("t").isNotNull()
     sir_raw, sir, sign, value = (F.col(c) for c in ("x_sir_raw", "x_sir", "x_sign", "x_value"))
-    t_sir, t_mic = F.size("t_sir") > 0, F.size("t_mic") > 0
+    t_sir, t_mic = F.size("t.sirs") > 0, F.size("t.mics") > 0
     before = lambda x: F.when(~matched, "NOT_EVALUATED").when(~has_drug, "NO_GT_DRUG").otherwise(x)
     sir_result = (
         F.when((sir_raw != "") & ~t_sir, "NO_GT_VALUE").when((sir_raw != "") & (sir == ""), "UNRECOGNIZED_CALL")
-        .when((sir_raw != "") & F.array_contains("t_sir", sir), "CORRECT").when(sir_raw != "", "INCORRECT")
+        .when((sir_raw != "") & F.array_contains("t.sirs", sir), "CORRECT").when(sir_raw != "", "INCORRECT")
         .when(t_sir, "MISSING_EXTRACTION").otherwise("NOT_APPLICABLE")
     )
-    pair_found = F.array_contains("t_mic", F.struct(sign.alias("sign"), value.alias("value")))
+    pair_found = F.array_contains("t.mics", F.struct(sign.alias("sign"), value.alias("value")))
     mic_result = (
         F.when((value != "") & ~t_mic, "NO_GT_VALUE").when((value != "") & pair_found, "CORRECT").when(value != "", "INCORRECT")
         .when(t_mic, "MISSING_EXTRACTION").otherwise("NOT_APPLICABLE")
     )
-    joined_set = lambda x: F.coalesce(F.array_join(x, ","), F.lit(""))
-    part = lambda name: joined_set(F.array_sort(F.array_distinct(F.transform("t_mic", lambda m: m[name]))))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return joined.select(
+    return computed(known, {"sir_result": before(sir_result), "mic_result": before(mic_result)}).select(
         "extracted_row", text("pmid").alias("pmid"), text("isolate_id").alias("isolate_id"), text("drug").alias("drug"), F.col("drug_key").alias("normalized_drug"),
         F.col("matched_genome").alias("genome_id"), "matched_accessions", "genome_match_status", sir_raw.alias("extracted_sir_raw"), sir.alias("extracted_sir"),
-        joined_set("t_raw").alias("ground_truth_sir_raw"), joined_set("t_sir").alias("ground_truth_sir"), before(sir_result).alias("sir_result"),
+        text("t.raw").alias("ground_truth_sir_raw"), text("t.sir").alias("ground_truth_sir"), "sir_result",
         F.col("x_sign_raw").alias("extracted_mic_sign_raw"), F.col("x_mic_raw").alias("extracted_mic_raw"), sign.alias("extracted_mic_sign"), value.alias("extracted_mic"),
-        part("sign").alias("ground_truth_mic_sign"), part("value").alias("ground_truth_mic"), before(mic_result).alias("mic_result"),
+        text("t.sign").alias("ground_truth_mic_sign"), text("t.value").alias("ground_truth_mic"), "mic_result",
     )
 
 

@@ -86,3 +86,13 @@ def test_cells(spark, raw, expected):
 
 def test_dumped_collections(spark):
     assert values(spark, is_dumped_collection, ["('4', nan)", "[1]", "{}", "(R)", "4", None, "("]) == [True, True, True, False, False, False, False]
+
+
+def test_plain_numbers_keep_their_form(spark):
+    cases = ["0", "7", "999999999999999", "9007199254740993", "1234567890123456789", "0.0", "0.000", "10.0", "12345678.125", "123456789.125", "0.001", "0.0001", "007", "1.", ".5", "+4", "4D", "iNf", "Info", "4/8", "10/20.50", "128.125", "1024.125", "1/", "x"]
+    number = ["0", "7", "999999999999999", "9007199254740992", "1234567890123456768", "0", "0", "10", "12345678.125", "123456789.125", "0.001", "0.0001", "7", "1", "0.5", "4", "4d", "inf", "info", "4/8", "10/20.50", "128.125", "1024.125", "1/", "x"]
+    mic = ["0", "7", "999999999999999", "9007199254740992", "1234567890123456768", "0", "0", "10", "1.23457e+07", "1.23457e+08", "0.001", "0.0001", "7", "1", "0.5", "4", "4D", "inf", "Info", "4/8", "10/20.5", "128.125", "1024.13", "1/", "x"]
+    assert values(spark, X.normalize_number, cases) == number
+    assert values(spark, X.normalize_mic, cases) == mic
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").withColumns({"n": X.number_of(F.col("c")), "m": X.mic_of(F.col("c"))})
+    assert [(r.n, r.m) for r in df.orderBy("i").collect()] == list(zip(number, mic, strict=True))

@@ -107,6 +107,14 @@ def test_evaluation(spark):
         qc.incorrect_rows(out.drop("mic_result"))
 
 
+def test_comparison_passes_over_records_once(spark):
+    out = _evaluated(spark, [("Vancomycin", "=", "2", "s", "SAMN1", None), ("vancomycin", "", "4", "R", "none", None), ("vancomycin", "", "4", "R", None, ""), ("vancomycin", "", "4", "R", "", "SAMN7")])
+    for df in (out, qc.incorrect_rows(out), evaluate.metrics_by_paper(out)):
+        # The other scan is that of the distinct accessions.
+        assert _plan(df).count("Scan ExistingRDD[extracted_row") == 2
+    assert [r.genome_match_status for r in out.orderBy("extracted_row").collect()] == ["MATCHED", "NO_ACCESSIONS", "NO_ACCESSIONS", "NO_GENOME_MATCH"]
+
+
 def test_metrics_of_nothing_are_zero(spark):
     m = evaluate.metrics(_evaluated(spark, [("x", "=", "1", "S", "SAMN1", None)]).limit(0)).first()
     assert m.n_rows == 0 and m.sir_accuracy is None
