@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_id, strip
 
 _SAMPLE = ("bioproject_accession", "biosample_accession", "sra_accession")
-#: Length of the substrings by which fuzzy candidates are found; shorter ids never match.
+#: Shorter ids never match in part.
 GRAM = 3
 
 
@@ -23,30 +23,33 @@ def match_exact(isolates: DataFrame, strains: DataFrame) -> DataFrame:
     return isolates.withColumn("key", normalize_id(F.col("isolate_id"))).join(known, "key")
 
 
-def _grams(df: DataFrame, column: str) -> DataFrame:
-    """Each string with each of its distinct grams in ``g``."""
-    c = F.col(column)
-    return df.withColumn("g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.substring(c, i, F.lit(GRAM))))))
+def _parts(df: DataFrame, column: str, sizes: DataFrame) -> DataFrame:
+    """Each string with its substrings of each of the ``sizes`` in ``part``."""
+    at = F.sequence(F.lit(1), F.length(column) - F.col("size") + 1)
+    each = df.join(F.broadcast(sizes), F.length(column) >= F.col("size")).select(*df.columns, "size", F.explode(at).alias("at"))
+    return each.select(*df.columns, F.substring(F.col(column), F.col("at"), F.col("size")).alias("part"))
 
 
 def _inside(short: DataFrame, a: str, long: DataFrame, b: str) -> DataFrame:
-    """Pairs of distinct strings, ``a`` of ``short`` a part of ``b`` of ``long``.
+    """Pairs of rows, ``a`` of ``short``, where it's distinct, a part of ``b`` of ``long``.
 
-    A part has all its grams in the whole, so it is looked up by the one gram that the fewest whole strings have; grams that many ids begin with don't gather them.
+    A part is looked up whole, among the substrings of the lengths that parts have, so only true pairs are made: a gram of ids
+    that are numbered is in ever more of them. Parts whose first characters are nowhere add no length.
     """
-    wholes = _grams(long.select(b), b)
-    spread = wholes.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    own = _grams(short.select(a), a)
-    rarest = own.join(spread, "g").groupBy(a).agg(F.min_by("g", F.struct("n", "g")).alias("g"))
-    return rarest.join(wholes, "g").where(F.contains(b, F.col(a))).select(a, b)
+    starts = _parts(long.select(b), b, long.sparkSession.range(1).select(F.lit(GRAM).alias("size"))).select("part").distinct()
+    likely = short.join(starts, F.substring(F.col(a), 1, GRAM) == F.col("part"), "left_semi")
+    sizes = likely.select(F.length(a).alias("size")).distinct()
+    return _parts(long, b, sizes).join(likely, F.col("part") == F.col(a)).select(*short.columns, *long.columns)
 
 
 def match_fuzzy(keys: DataFrame, known: DataFrame) -> DataFrame:
     """For each ``key`` the first strain that contains it or is contained in it, both of 3 characters or more."""
     k = keys.select("key").where(F.length("key") >= GRAM).distinct()
     s = known.where(F.length("key") >= GRAM).withColumnRenamed("key", "strain_key")
-    pairs = _inside(k, "key", s, "strain_key").unionByName(_inside(s, "strain_key", k, "key"))
-    return pairs.join(s, "strain_key").groupBy("key").agg(F.min_by(F.struct("strain", *_SAMPLE, "ordinal"), "ordinal").alias("s")).select("key", "s.*")
+    short = s.select("strain_key", "ordinal")
+    pairs = _inside(k, "key", short, "strain_key").unionByName(_inside(short, "strain_key", k, "key"))
+    first = pairs.groupBy("key").agg(F.min(F.struct("ordinal", "strain_key")).alias("f")).select("key", F.col("f.strain_key").alias("strain_key"))
+    return first.join(s, "strain_key").select("key", "strain", *_SAMPLE, "ordinal")
 
 
 def match_all(isolates: DataFrame, strains: DataFrame) -> DataFrame:

@@ -84,6 +84,18 @@ def test_matching_prefers_exact_then_first_substring(spark):
         assert bool(got) == bool(near) and all(g.lower() in " ".join(near) for g in got)
 
 
+def test_parts_are_looked_up_whole(spark):
+    strains = spark.createDataFrame([(i, f"Lab#{i:06d}", "P", f"S{i}", "") for i in range(0, 600, 2)] + [(999, "aaa", "P", "S999", ""), (1000, "0001", "P", "S1000", "")], "ordinal int, strain string, bioproject_accession string, biosample_accession string, sra_accession string")
+    names = [f"lab#{i:06d}" for i in range(1, 600, 2)] + [f"lab#{i:05d}" for i in range(60)] + [f"x{i}" for i in range(300)] + ["aaaaaa", "b#00", "b#0", "01", "xlab#000004x", "00010001"]
+    known, keys = match.first_by_strain(strains), spark.createDataFrame([(n,) for n in names], "key string")
+    strings = {r.key: (r.ordinal, r.strain) for r in known.collect()}
+    want = {n: min(near)[1] for n in names if len(n) >= 3 and (near := [v for s, v in strings.items() if n in s or s in n])}
+    fuzzy = match.match_fuzzy(keys, known)
+    assert {r.key: r.strain for r in fuzzy.collect()} == want
+    # No candidates that share a gram only, which numbered ids do with ever more others.
+    assert "Contains(" not in _plan(fuzzy)
+
+
 def _evaluated(spark, extracted):
     columns = "extracted_row int, pmid string, isolate_id string, drug string, mic_sign string, mic string, sir_call string, biosample_accession string, assembly_accession string, genbank_accessions string, refseq_accessions string, sra_accession string, other_accessions string"
     truth = "genome_id string, antibiotic string, resistant_phenotype string, measurement_sign string, measurement_value string, `genome.biosample_accession` string, `genome.assembly_accession` string, `genome.genbank_accessions` string, `genome.refseq_accessions` string, `genome.sra_accession` string"
