@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.accession import format_combined, tokens
-from ..functions.text import BLANK, normalize_mic, null_if
+from ..functions.text import BLANK, computed, mic_of, null_if
 
 
 def keyed(df: DataFrame) -> DataFrame:
     """Records with a drug and an id, under ``k_id`` (isolate, else accession) and ``k_drug``."""
     iso, acc, drug = (null_if(F.col(c), BLANK) for c in ("isolate_id", "accession", "drug"))
-    return df.withColumns({"k_id": F.coalesce(iso, acc), "k_drug": drug}).where("k_id is not null and k_drug is not null")
+    # The filter would otherwise take copies of all that the columns are made of.
+    return computed(df, {"k_id": F.coalesce(iso, acc), "k_drug": drug}).where("k_id is not null and k_drug is not null")
 
 
 def _reasons() -> Column:
@@ -37,18 +38,24 @@ def consensus(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
         *map(earliest, rest), F.min(at).alias("at"), F.count(F.lit(1)).alias("n")
     )
     v = lambda c: F.col(f"v_{c}")
-    clean = texts.withColumns({"c_sign": null_if(v("mic_sign"), BLANK), "c_mic": normalize_mic(v("mic")), "c_call": F.upper(null_if(v("sir_call"), BLANK))})
+    clean = computed(texts, {"c_sign": null_if(v("mic_sign"), BLANK), "c_text": null_if(v("mic"), BLANK), "c_call": F.upper(null_if(v("sir_call"), BLANK))}).withColumn("c_mic", mic_of(F.col("c_text")))
     as_set = lambda c, name: F.array_sort(F.collect_set(c)).alias(name)
-    own = lambda c: F.min(F.when(v(c).isNotNull(), F.struct("at", v(c).alias("v"))))["v"].alias(c)
+    # A text of its own stays only where no record of the key has a value.
+    own = lambda c, value: F.min(F.when(v(c).isNotNull() & F.col(value).isNull(), F.struct("at", v(c).alias("v"))))["v"].alias(c)
+    # Retained keys need the ends of each set only; the sets are gathered for the reasons of conflicts.
+    values = {"mic_sign": "c_sign", "mic": "c_mic", "sir_call": "c_call"}
+    ends = [end(c).alias(f"{name}_{c}") for c in values.values() for name, end in (("low", F.min), ("high", F.max))]
     grouped = clean.groupBy("k_id", "k_drug").agg(
-        *[F.min(c)["v"].alias(c) for c in rest], *map(own, measured[1:]), as_set("c_sign", "signs"), as_set("c_mic", "mics"), as_set("c_call", "calls"),
+        *[F.min(c)["v"].alias(c) for c in rest], *[own(c, value) for c, value in values.items()], *ends, as_set("c_sign", "signs"), as_set("c_mic", "mics"), as_set("c_call", "calls"),
         F.array_sort(F.collect_set(F.when(v("accession").isNotNull(), F.struct("at", v("accession").alias("a"))))).alias("accs"), F.sum("n").alias("n_records"),
     )
-    grouped = grouped.withColumn("reason", _reasons())
+    conflict = F.lit(False)
+    for c in values.values():
+        conflict = conflict | F.coalesce(F.col(f"low_{c}") != F.col(f"high_{c}"), F.lit(False))
     merged = F.flatten(F.transform("accs", lambda x: tokens(x["a"])))
-    one = lambda values, c: F.coalesce(F.try_element_at(values, F.lit(1)), c).alias(c)
-    kept = grouped.where("reason = ''").select("k_id", "k_drug", *rest, format_combined(merged).alias("accession"), one("signs", "mic_sign"), one("mics", "mic"), one("calls", "sir_call"))
-    return kept, grouped.where("reason <> ''").select("k_id", "k_drug", "reason", "n_records")
+    one = lambda c: F.coalesce(f"low_{values[c]}", c).alias(c)
+    kept = grouped.where(~conflict).select("k_id", "k_drug", *rest, format_combined(merged).alias("accession"), *map(one, values))
+    return kept, grouped.where(conflict).select("k_id", "k_drug", _reasons().alias("reason"), "n_records")
 
 
 def passes(frames: list[DataFrame]) -> DataFrame:

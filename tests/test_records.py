@@ -52,6 +52,15 @@ def test_ensemble(spark, a, b, kept):
         assert (row.accession, row.notes, row.mic) == ("SAMN1,ERR1", "n", "4")
 
 
+def test_consensus_computes_keys_once_and_gathers_no_sets_for_kept_keys(spark):
+    frames = _passes(spark, [("i", "ERR1", "van", " ", "nan", "S", None), ("j", None, "van", None, None, " ", None), ("k", None, "van", "=", "4", None, None)], [("i", "err1", " van", None, None, "s", "n"), ("j", None, "van", " ", None, None, None), ("k", None, "van", "=", "8", "R", None)])
+    good, bad = ensemble.ensemble(frames, ["row_idx"])
+    assert {r.k_id: (r.accession, r.mic_sign, r.mic, r.sir_call) for r in good.collect()} == {"i": ("ERR1", " ", "nan", "S"), "j": (None, " ", None, " ")}
+    assert [(r.k_id, r.reason, r.n_records) for r in bad.collect()] == [("k", "conflicting mic: 4,8", 2)]
+    assert not any("trim(" in x and "Filter" in x for x in _plan(good).split("\n"))
+    assert "collect_set(c_sign" not in _plan(good) and "collect_set(c_sign" in _plan(bad)
+
+
 def test_ensemble_of_one_pass_is_untouched(spark):
     frame = _passes(spark, [("i", None, "van", "=", "4", None, None), ("i", None, "van", "=", "8", None, None)])[0]
     good, bad = ensemble.ensemble([frame, None], ["row_idx"])
