@@ -50,7 +50,9 @@ def names_drug(cell: Column, drugs: tuple[str, ...] = ANTIBIOTICS) -> Column:
     """Whether a cell is a drug of 3 characters or more, or contains one of more than 4."""
     low = F.lower(strip(cell))
     known = [d.lower().strip() for d in drugs if len(d.strip()) >= 3]
-    contained = F.exists(F.array(*[F.lit(d) for d in known if len(d) > 4]), lambda d: F.contains(low, d)) if any(len(d) > 4 for d in known) else F.lit(False)
+    # One pattern: a lambda would clean and lower the cell anew for each drug.
+    long = [r"\Q" + d + r"\E" for d in known if len(d) > 4]
+    contained = low.rlike("|".join(long)) if long else F.lit(False)
     return F.coalesce(low.isin(*known) | contained, F.lit(False)) & (F.coalesce(low, F.lit("")) != "")
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from assayflow import schemas
+from assayflow.functions.drugs import names_drug
 from assayflow.operators import cells as C
 from assayflow.operators import papers, sets
 from assayflow.providers import provider
@@ -54,6 +55,14 @@ def sheet(spark, rows):
     return spark.createDataFrame([("s", r, c, v, True) for r, row in enumerate(rows) for c, v in enumerate(row)], "sheet string, row_idx int, col_idx int, value string, is_string boolean")
 
 
+def test_drug_names_are_sought_in_one_cleaned_cell(spark):
+    df = spark.createDataFrame([("x VANCOMYCIN\u00a0",), (" fa ",), ("antibiotics",), ("sulfa(x).y+",), ("sulfa(x)zy",), ("",), (None,)], "c string")
+    named = df.select(names_drug(F.col("c"), ("Vancomycin", "fa", "ant", "sulfa(x).y+")).alias("n"))
+    assert [r.n for r in named.collect()] == [True, False, False, True, False, False, False]
+    # A lambda over the names would clean the cell for each of them.
+    assert "lambda" not in named._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(("at", "stacked"), [([0], False), ([0, 1], False), ([0, 15], True), ([0, 5], False)])
 def test_stacked_sheets(spark, at, stacked):
     rows = [["vancomycin", "Oxacillin MIC"] if r in at else ["x", "1"] for r in range(20)]
